@@ -179,7 +179,7 @@ def _cln_dates(spark, sf_dir):
 
 def _gappy_parts(spark, sf_dir) -> DataFrame:
     key = F.col("p_partkey")
-    return spark.read.parquet(f"{sf_dir}/part.parquet").select(
+    return star.read_star(spark, sf_dir, "part").select(
         key,
         F.when(key % 10 != 0, F.col("p_size").cast("double")).alias("size"),
         F.when(key % 7 != 0, F.col("p_retailprice").cast("decimal(18,2)")).alias("price"),

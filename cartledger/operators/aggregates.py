@@ -6,12 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cartledger.functions import exact_mean, money
 
-_ZERO = F.lit(0).cast("decimal(28,2)")
-
-
 def _total(column: str) -> Column:
     """Sum that is 0, not null, for a group whose values are all null."""
-    return F.coalesce(F.sum(money(column)), _ZERO)
+    return F.coalesce(F.sum(money(column)), F.lit(0).cast("decimal(28,2)"))
 
 
 def items_per_order(items: DataFrame) -> DataFrame:

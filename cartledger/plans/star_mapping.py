@@ -16,8 +16,24 @@ def _after_hours(ts: str, hours: Column) -> Column:
     return F.timestamp_add("HOUR", hours.cast("int"), F.col(ts))
 
 
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+# Columns of the star-schema tables that the mapping reads. Stating
+# them spares a job per table that would only look up the types.
+_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "part": "p_partkey bigint, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "props string",
+}
+
+
+def read_star(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.schema(_SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +44,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("o_orderstatus") == "P", "processing")
     )
     arrived = (F.col("o_orderstatus") == "F") & (key % 33 != 0)
-    return _read(spark, sf_dir, "orders").select(
+    return read_star(spark, sf_dir, "orders").select(
         key.alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         status.alias("order_status"),
@@ -40,18 +56,31 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _price(factor: Column) -> Column:
-    return F.round(F.col("l_extendedprice").cast("decimal(12,2)") * factor, 2)
+def _hundredths(c: str) -> Column:
+    """A double holding a two-decimal figure, as a whole number of hundredths.
+
+    Casting a double to a decimal goes through its text, row by row; this does not.
+    """
+    return F.rint(F.col(c) * 100).cast("bigint")
+
+
+def _from_cents(cents: Column) -> Column:
+    return money(cents.cast("decimal(18,0)") * F.lit("0.01").cast("decimal(2,2)"))
+
+
+def _percent_of_price(percent: Column) -> Column:
+    """Cents, rounded half up."""
+    return F.floor((_hundredths("l_extendedprice") * percent + 50) / 100)
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "lineitem").select(
+    return read_star(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_suppkey").alias("seller_id"),
-        money("l_extendedprice").alias("price"),
-        money(_price(F.col("l_tax").cast("decimal(4,2)"))).alias("freight_value"),
+        _from_cents(_hundredths("l_extendedprice")).alias("price"),
+        _from_cents(_percent_of_price(_hundredths("l_tax"))).alias("freight_value"),
     )
 
 
@@ -61,17 +90,17 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_returnflag") == "N", "boleto")
         .otherwise("voucher")
     )
-    return _read(spark, sf_dir, "lineitem").select(
+    return read_star(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("payment_sequential"),
         method.alias("payment_type"),
         (F.col("l_linenumber") % 4 + 1).alias("payment_installments"),
-        money(_price(1 - F.col("l_discount").cast("decimal(4,2)"))).alias("payment_value"),
+        _from_cents(_percent_of_price(100 - _hundredths("l_discount"))).alias("payment_value"),
     )
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "part").select(
+    return read_star(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("product_id"),
         F.when(F.col("p_partkey") % 50 != 0, F.col("p_type")).alias("product_category_name"),
     )
@@ -80,7 +109,7 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lower-cased category names; one category has no translation."""
     return (
-        _read(spark, sf_dir, "part")
+        read_star(spark, sf_dir, "part")
         .filter(F.col("p_type") != "SMALL")
         .select(
             F.col("p_type").alias("product_category_name"),
@@ -100,19 +129,19 @@ def _place(df: DataFrame, nation: DataFrame, key: str, nation_key: str, kind: st
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = _read(spark, sf_dir, "nation")
-    return _place(_read(spark, sf_dir, "customer"), nation, "c_custkey", "c_nationkey", "customer")
+    nation = read_star(spark, sf_dir, "nation")
+    return _place(read_star(spark, sf_dir, "customer"), nation, "c_custkey", "c_nationkey", "customer")
 
 
 def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = _read(spark, sf_dir, "nation")
-    return _place(_read(spark, sf_dir, "supplier"), nation, "s_suppkey", "s_nationkey", "seller")
+    nation = read_star(spark, sf_dir, "nation")
+    return _place(read_star(spark, sf_dir, "supplier"), nation, "s_suppkey", "s_nationkey", "seller")
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     comment = F.when(kind == "view", "").when(kind != "click", F.col("props"))
-    return _read(spark, sf_dir, "events").select(
+    return read_star(spark, sf_dir, "events").select(
         F.col("event_id").alias("review_id"),
         (F.col("event_id") % 7500).alias("order_id"),
         F.when(kind != "error", 1 + F.col("user_id") % 5).cast("int").alias("review_score"),

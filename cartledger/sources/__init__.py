@@ -7,12 +7,11 @@ from cartledger.sources.readers import (
     run_query,
     with_file_position,
 )
-from cartledger.sources.schemas import SCHEMAS, TABLES, TableSource
+from cartledger.sources.schemas import TABLES, TableSource
 from cartledger.sources.scratch import scratch_path
 
 __all__ = [
     "FILE_POSITION",
-    "SCHEMAS",
     "TABLES",
     "TableSource",
     "read_catalog",

@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    DecimalType,
+    IntegerType,
+    StringType,
+    StructType,
+    TimestampNTZType,
+)
 
 
 @dataclass(frozen=True)
 class TableSource:
-    """File stem and schema of a table.
+    """File stem and column types of a table; a column not listed is read as text.
 
     ``multi_line`` allows line breaks inside quoted text. Such a file cannot be
     split between tasks, so it is set only for the table that has free text.
@@ -20,55 +26,77 @@ class TableSource:
     multi_line: bool = False
 
 
+_TEXT, _WHOLE, _AMOUNT, _TIME = StringType(), IntegerType(), DecimalType(18, 2), TimestampNTZType()
+
+
+def _source(stem: str, multi_line: bool = False, **columns) -> TableSource:
+    schema = StructType()
+    for name, kind in columns.items():
+        schema.add(name, kind)
+    return TableSource(stem, schema, multi_line)
+
+
 # Table names, file stems, columns and types of the order model.
-_DDL = {
-    "customers": (
+TABLES = {
+    "customers": _source(
         "customers_dataset",
-        "customer_id string, customer_unique_id string, customer_zip_code_prefix string, "
-        "customer_city string, customer_state string",
+        customer_id=_TEXT,
+        customer_city=_TEXT,
+        customer_state=_TEXT,
     ),
-    "orders": (
+    "orders": _source(
         "orders_dataset",
-        "order_id string, customer_id string, order_status string, "
-        "order_purchase_timestamp timestamp_ntz, order_approved_at timestamp_ntz, "
-        "order_delivered_carrier_date timestamp_ntz, "
-        "order_delivered_customer_date timestamp_ntz, "
-        "order_estimated_delivery_date timestamp_ntz",
+        order_id=_TEXT,
+        customer_id=_TEXT,
+        order_status=_TEXT,
+        order_purchase_timestamp=_TIME,
+        order_approved_at=_TIME,
+        order_delivered_carrier_date=_TIME,
+        order_delivered_customer_date=_TIME,
+        order_estimated_delivery_date=_TIME,
     ),
-    "order_items": (
+    "order_items": _source(
         "order_items_dataset",
-        "order_id string, order_item_id int, product_id string, seller_id string, "
-        "shipping_limit_date timestamp_ntz, price decimal(18,2), freight_value decimal(18,2)",
+        order_id=_TEXT,
+        order_item_id=_WHOLE,
+        product_id=_TEXT,
+        seller_id=_TEXT,
+        price=_AMOUNT,
+        freight_value=_AMOUNT,
     ),
-    "products": (
+    "products": _source(
         "products_dataset",
-        "product_id string, product_category_name string",
+        product_id=_TEXT,
+        product_category_name=_TEXT,
     ),
-    "sellers": (
+    "sellers": _source(
         "sellers_dataset",
-        "seller_id string, seller_zip_code_prefix string, seller_city string, "
-        "seller_state string",
+        seller_id=_TEXT,
+        seller_city=_TEXT,
+        seller_state=_TEXT,
     ),
-    "payments": (
+    "payments": _source(
         "order_payments_dataset",
-        "order_id string, payment_sequential int, payment_type string, "
-        "payment_installments int, payment_value decimal(18,2)",
+        order_id=_TEXT,
+        payment_sequential=_WHOLE,
+        payment_type=_TEXT,
+        payment_installments=_WHOLE,
+        payment_value=_AMOUNT,
     ),
-    "reviews": (
+    "reviews": _source(
         "order_reviews_dataset",
-        "review_id string, order_id string, review_score int, review_comment_title string, "
-        "review_comment_message string, review_creation_date timestamp_ntz, "
-        "review_answer_timestamp timestamp_ntz",
+        multi_line=True,
+        review_id=_TEXT,
+        order_id=_TEXT,
+        review_score=_WHOLE,
+        review_comment_message=_TEXT,
+        review_creation_date=_TIME,
+        review_answer_timestamp=_TIME,
     ),
-    "geolocation": ("geolocation_dataset", ""),
-    "category_translation": (
+    "geolocation": _source("geolocation_dataset"),
+    "category_translation": _source(
         "product_category_name_translation",
-        "product_category_name string, product_category_name_english string",
+        product_category_name=_TEXT,
+        product_category_name_english=_TEXT,
     ),
 }
-
-TABLES = {
-    name: TableSource(stem, StructType.fromDDL(ddl) if ddl else StructType(), name == "reviews")
-    for name, (stem, ddl) in _DDL.items()
-}
-SCHEMAS = {name: source.schema for name, source in TABLES.items()}
