@@ -230,7 +230,9 @@ def _mart_sales_summary(spark, sf_dir):
 
 
 def _prf_quality(spark, sf_dir):
-    return quality.quality_report(star.LoadedTables(spark, sf_dir)["sales_summary"])
+    path = scratch_path(spark, "prf_quality")
+    sinks.write_parquet(star.LoadedTables(spark, sf_dir)["sales_summary"], path)
+    return quality.quality_report(read_parquet(spark, path))
 
 
 def _prf_quality_lineitem(spark, sf_dir):

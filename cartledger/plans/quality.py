@@ -6,7 +6,17 @@ from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegralType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from cartledger.functions import r2
 
@@ -18,12 +28,17 @@ def _missing(df: DataFrame, name: str) -> Column:
     return c.isNull()
 
 
-def _as_text(df: DataFrame, name: str) -> Column:
-    """Text that is equal exactly when the values are: NaN is null, -0.0 is 0.0."""
-    c = F.col(name)
-    if isinstance(df.schema[name].dataType, (DoubleType, FloatType)):
-        c = c + F.lit(0.0).cast(df.schema[name].dataType)
-    return F.when(~_missing(df, name), c.cast("string")).alias(name)
+def _common_type(kind: DataType) -> str:
+    """A type that holds every value of ``kind``, shared by as many columns as can be."""
+    if isinstance(kind, IntegralType):
+        return "bigint"
+    if isinstance(kind, (DoubleType, FloatType)):
+        return "double"
+    if isinstance(kind, DecimalType):
+        return f"decimal(38,{kind.scale})"
+    if isinstance(kind, (BooleanType, DateType, TimestampNTZType, TimestampType)):
+        return kind.simpleString()
+    return "string"
 
 
 def _columns_of(df: DataFrame) -> Column:
@@ -40,19 +55,30 @@ def _columns_of(df: DataFrame) -> Column:
     )
 
 
+def _count_columns(df: DataFrame, names: list[str], kind: str) -> DataFrame:
+    values = df.select(
+        *[F.when(~_missing(df, c), F.col(c)).cast(kind).alias(c) for c in names]
+    ).unpivot([], names, "Columna", "_value")
+    return values.groupBy("Columna").agg(
+        F.count("_value").alias("No_Nulos"),
+        F.count_if(F.col("_value").isNull()).alias("Nulos"),
+        F.count_distinct("_value").alias("Valores_Unicos"),
+    )
+
+
 def quality_report(df: DataFrame) -> DataFrame:
     """Per column: type, filled and missing values, percentage missing, distinct values.
 
-    The table is turned into (column, value) rows and grouped, so that one exact
-    distinct count serves all columns; equal values are merged before the shuffle.
+    Columns of like type are turned into (column, value) rows and grouped, so that
+    one exact distinct count serves them all; equal values are merged before the
+    shuffle, and no value is turned into text. Each group of columns scans only
+    itself, so hand in a stored table rather than one that is expensive to compute.
     """
-    values = df.select(*[_as_text(df, c) for c in df.columns]).unpivot(
-        [], df.columns, "Columna", "_value"
-    )
-    counted = values.groupBy("Columna").agg(
-        F.count("_value").alias("No_Nulos"),
-        F.count_if(F.col("_value").isNull()).alias("Nulos"),
-        F.count_distinct("_value").alias("Valores_Unicos"),
+    alike: dict[str, list[str]] = {}
+    for f in df.schema.fields:
+        alike.setdefault(_common_type(f.dataType), []).append(f.name)
+    counted = reduce(
+        DataFrame.unionByName, [_count_columns(df, names, kind) for kind, names in alike.items()]
     )
     rows = F.col("No_Nulos") + F.col("Nulos")
     # The columns themselves are the left side, so an empty table is reported too.

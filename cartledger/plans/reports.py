@@ -65,22 +65,31 @@ def category_sales(t: Tables) -> DataFrame:
     named = t["products"].filter(F.col("product_category_name_english").isNotNull()).select(
         "product_id", F.col("product_category_name_english").alias("categoria")
     )
-    sold = t["order_items"].select(
-        "product_id", "order_id", "order_item_id", money("price").alias("price"),
-        money("freight_value").alias("freight_value"),
-    )
-    per_category = (
-        lookup_join(sold, named, "product_id")
+    totals = (
+        t["order_items"].groupBy("product_id")
+        .agg(
+            F.count("order_item_id").alias("items"),
+            F.sum(money("price")).alias("price"),
+            F.count("price").alias("prices"),
+            F.sum(money("freight_value")).alias("freight"),
+        )
+        .join(named, "product_id")
         .groupBy("categoria")
         .agg(
-            F.count_distinct("order_id").alias("total_ordenes"),
-            F.count("order_item_id").alias("total_items"),
+            F.sum("items").alias("total_items"),
             F.sum("price").alias("revenue"),
-            F.count("price").alias("prices"),
-            F.sum("freight_value").alias("freight"),
+            F.sum("prices").alias("prices"),
+            F.sum("freight").alias("freight"),
         )
         .filter(F.col("revenue") > 1000)
     )
+    # Only the ids travel for the distinct count; the sums went by product.
+    orders = (
+        lookup_join(t["order_items"].select("product_id", "order_id"), named, "product_id")
+        .groupBy("categoria")
+        .agg(F.count_distinct("order_id").alias("total_ordenes"))
+    )
+    per_category = totals.join(orders, "categoria")
     return (
         per_category.select(
             "categoria",
@@ -201,14 +210,18 @@ def top_products(t: Tables) -> DataFrame:
 
 def payment_methods(t: Tables) -> DataFrame:
     """Orders, payments, amounts and instalments per payment method."""
-    per_method = t["payments"].groupBy(F.col("payment_type").alias("metodo_pago")).agg(
-        F.count_distinct("order_id").alias("ordenes_totales"),
+    payments = t["payments"].withColumnRenamed("payment_type", "metodo_pago")
+    totals = payments.groupBy("metodo_pago").agg(
         F.count("payment_sequential").alias("numero_pagos"),
         F.sum(money("payment_value")).alias("value"),
         F.count("payment_value").alias("values"),
         F.sum(F.col("payment_installments").cast("bigint")).alias("instalments"),
         F.count("payment_installments").alias("with_instalments"),
     )
+    orders = payments.groupBy(F.col("metodo_pago").alias("_method")).agg(
+        F.count_distinct("order_id").alias("ordenes_totales")
+    )
+    per_method = totals.join(orders, F.col("metodo_pago").eqNullSafe(F.col("_method")))
     return per_method.select(
         "metodo_pago",
         "ordenes_totales",
