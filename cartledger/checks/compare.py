@@ -34,20 +34,25 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+def compare_rows(columns, rows, answer) -> list[str]:
+    """What is wrong with ``rows`` against an executed DuckDB query."""
+    expected_columns = [d[0] for d in answer.description]
+    expected_rows = answer.fetchall()
+    if sorted(columns) != sorted(expected_columns):
+        return [f"columns {columns} != {expected_columns}"]
+    got, want = _bag(columns, rows), _bag(expected_columns, expected_rows)
+    if got == want:
+        return []
+    return [
+        f"rows {len(rows)} vs {len(expected_rows)}",
+        *[f"only Spark: {r}" for r in list((got - want))[:3]],
+        *[f"only SQL: {r}" for r in list((want - got))[:3]],
+    ]
+
+
 def differences(spark: SparkSession, name: str, sf_dir: str) -> tuple[int, list[str]]:
     """Rows of the Spark result, and what is wrong with it (nothing when equal)."""
     result = queries()[name](spark, sf_dir)
     rows = result.collect()
     with connect(sf_dir) as con:
-        answer = con.execute(oracle_sql()[name])
-        expected_columns = [d[0] for d in answer.description]
-        expected_rows = answer.fetchall()
-    problems = []
-    if sorted(result.columns) != sorted(expected_columns):
-        return len(rows), [f"columns {result.columns} != {expected_columns}"]
-    got, want = _bag(result.columns, rows), _bag(expected_columns, expected_rows)
-    if got != want:
-        problems.append(f"rows {len(rows)} vs {len(expected_rows)}")
-        problems += [f"only Spark: {r}" for r in list((got - want))[:3]]
-        problems += [f"only SQL: {r}" for r in list((want - got))[:3]]
-    return len(rows), problems
+        return len(rows), compare_rows(result.columns, rows, con.execute(oracle_sql()[name]))

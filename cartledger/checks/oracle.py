@@ -92,13 +92,16 @@ _CTES = {
 }
 
 
-def _with_ctes(sql: str) -> str:
-    """Prepend the CTEs that ``sql`` refers to, directly or through other CTEs."""
+def _with_ctes(sql: str, given: frozenset[str] = frozenset()) -> str:
+    """Prepend the CTEs that ``sql`` refers to, directly or through other CTEs.
+
+    Names in ``given`` are left to be resolved as tables.
+    """
     needed: set[str] = set()
     todo = [sql]
     while todo:
         text = todo.pop()
-        for name in set(re.findall(r"\bm_\w+", text)) & set(_CTES) - needed:
+        for name in set(re.findall(r"\bm_\w+", text)) & set(_CTES) - needed - given:
             needed.add(name)
             todo.append(_CTES[name])
     ctes = [f"{name} AS ({_CTES[name].strip()})" for name in _CTES if name in needed]
@@ -547,3 +550,9 @@ _OPERATORS = {
 
 def oracle_sql() -> dict[str, str]:
     return {name: _with_ctes(sql) for name, sql in {**_REPORTS, **_OPERATORS}.items()}
+
+
+def report_over_tables(name: str) -> str:
+    """The SQL of a report over cleaned tables called m_orders, m_items and so on."""
+    derived = {"m_item_totals", "m_payment_totals", "m_sales_summary"}
+    return _with_ctes(_REPORTS[name], frozenset(set(_CTES) - derived))
