@@ -314,11 +314,17 @@ _REPORTS["q12b_dashboard_no_fanout"] = _dashboard(
 )
 
 _SUMMARY_COLUMNS = """order_id, customer_id, order_status, order_purchase_timestamp,
-    order_delivered_customer_date, order_estimated_delivery_date, delivery_time_days,
-    delivery_delay_days, purchase_year, purchase_month, purchase_day_of_week"""
+    order_delivered_customer_date, order_estimated_delivery_date,
+    purchase_year, purchase_month, purchase_day_of_week"""
+_DERIVED = """
+    SELECT * REPLACE (CAST(delivery_time_days AS DOUBLE) AS delivery_time_days,
+                      CAST(delivery_delay_days AS DOUBLE) AS delivery_delay_days)
+    FROM m_derived_orders"""
 _SUMMARY = f"""
     SELECT {', '.join('d.' + c.strip() for c in _SUMMARY_COLUMNS.split(','))},
-           i.total_items, CAST(i.total_price AS DOUBLE) AS total_price,
+           CAST(d.delivery_time_days AS DOUBLE) AS delivery_time_days,
+           CAST(d.delivery_delay_days AS DOUBLE) AS delivery_delay_days,
+           CAST(i.total_items AS DOUBLE) AS total_items, CAST(i.total_price AS DOUBLE) AS total_price,
            CAST(i.total_freight AS DOUBLE) AS total_freight,
            CAST(p.total_payment AS DOUBLE) AS total_payment
     FROM m_derived_orders d
@@ -392,7 +398,8 @@ _ITEMS = """order_id, order_item_id, product_id, seller_id,
     CAST(price AS DOUBLE) AS price, CAST(freight_value AS DOUBLE) AS freight_value"""
 _ORDERS = """order_id, customer_id, order_status, order_purchase_timestamp,
     order_delivered_customer_date, order_estimated_delivery_date"""
-_SUMMARY_RAW = f"""SELECT {_ORDERS}, total_items, CAST(total_price AS DOUBLE) AS total_price,
+_SUMMARY_RAW = f"""SELECT {_ORDERS}, CAST(total_items AS DOUBLE) AS total_items,
+    CAST(total_price AS DOUBLE) AS total_price,
     CAST(total_freight AS DOUBLE) AS total_freight,
     CAST(total_payment AS DOUBLE) AS total_payment FROM m_sales_summary"""
 _DIRTY_PARTS = """
@@ -431,8 +438,8 @@ _OPERATORS = {
         {"orders": "m_orders", "products": "m_products", "customers": "m_customers"}
     ),
     "snk_table": "SELECT * FROM m_sellers",
-    "snk_table_many": """SELECT 'customers' AS "table", TRUE AS ok, COUNT(*) AS "rows"
-                         FROM m_customers UNION ALL
+    "snk_table_many": """SELECT 'customers' AS "table", TRUE AS ok,
+                                CAST(COUNT(*) AS DOUBLE) AS "rows" FROM m_customers UNION ALL
                          SELECT 'broken', FALSE, NULL UNION ALL
                          SELECT 'sellers', TRUE, COUNT(*) FROM m_sellers""",
     "cat_table_exists": """SELECT 'sellers' AS "table", COUNT(*) > 0 AS present FROM m_sellers
@@ -471,9 +478,11 @@ _OPERATORS = {
                 PARTITION BY order_id, order_item_id
                 ORDER BY product_id, seller_id, price, freight_value) AS copy FROM m_items)
         WHERE copy = 1""",
-    "drv_orders": "SELECT * FROM m_derived_orders",
-    "drv_delivery_days": "SELECT order_id, delivery_time_days FROM m_derived_orders",
-    "drv_delay_days": "SELECT order_id, delivery_delay_days FROM m_derived_orders",
+    "drv_orders": _DERIVED,
+    "drv_delivery_days": """SELECT order_id,
+        CAST(delivery_time_days AS DOUBLE) AS delivery_time_days FROM m_derived_orders""",
+    "drv_delay_days": """SELECT order_id,
+        CAST(delivery_delay_days AS DOUBLE) AS delivery_delay_days FROM m_derived_orders""",
     "drv_calendar": """SELECT order_id, purchase_year, purchase_month, purchase_day_of_week
                        FROM m_derived_orders""",
     "jn_orders_items": """
@@ -504,13 +513,14 @@ _OPERATORS = {
         LEFT JOIN m_raw_products p ON i.product_id = p.product_id
         GROUP BY product_category_name""",
     "mart_sales_summary": _SUMMARY,
-    "mart_orders": "SELECT * FROM m_derived_orders",
+    "mart_orders": _DERIVED,
     "mart_customers": "SELECT * FROM m_customers",
     "mart_products": "SELECT * FROM m_products",
     "mart_order_items": f"SELECT {_ITEMS} FROM (SELECT DISTINCT * FROM m_items)",
     "mart_payments": """SELECT order_id, payment_sequential, payment_type, payment_installments,
                           CAST(payment_value AS DOUBLE) AS payment_value FROM m_payments""",
-    "mart_reviews": "SELECT * FROM m_reviews",
+    "mart_reviews": """SELECT * REPLACE (CAST(review_score AS DOUBLE) AS review_score)
+                       FROM m_reviews""",
     "mart_sellers": "SELECT * FROM m_sellers",
     "prf_quality": _profile("m_sales_summary", _SUMMARY_TYPES),
     "prf_quality_lineitem": _profile("lineitem", _LINEITEM_TYPES),

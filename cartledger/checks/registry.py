@@ -1,12 +1,13 @@
 """Every operator and report as a query over the star-schema tables.
 
 Inputs with nulls, copies, bad dates or untidy names are derived from the tables
-themselves, whole. Decimals leave as doubles so that results compare by value.
+themselves, whole. Decimals, and whole numbers that may be null, leave as doubles
+so that results compare by value.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType
@@ -28,20 +29,24 @@ from cartledger.sources import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _doubles(df: DataFrame) -> DataFrame:
+NULLABLE_DAYS = ("delivery_time_days", "delivery_delay_days")
+
+
+def _doubles(df: DataFrame, *nullable: str) -> DataFrame:
     decimals = [f.name for f in df.schema.fields if isinstance(f.dataType, DecimalType)]
-    return df.withColumns({c: F.col(c).cast("double") for c in decimals}) if decimals else df
+    return df.withColumns({c: F.col(c).cast("double") for c in [*decimals, *nullable]})
 
 
 def _report(report) -> Query:
     return lambda spark, sf_dir: report(star.LoadedTables(spark, sf_dir))
 
 
-def _mapped(build: Callable[..., DataFrame], *tables: str) -> Query:
+def _mapped(build: Callable[..., DataFrame], *tables: str, nullable: Sequence[str] = ()) -> Query:
     """``build`` applied to mapped tables, in the order given."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _doubles(build(*[getattr(star, name)(spark, sf_dir) for name in tables]))
+        mapped = [getattr(star, name)(spark, sf_dir) for name in tables]
+        return _doubles(build(*mapped), *nullable)
 
     return query
 
@@ -97,7 +102,7 @@ def _snk_csv(spark, sf_dir):
     summary = star.LoadedTables(spark, sf_dir)["sales_summary"]
     path = scratch_path(spark, "snk_csv")
     sinks.write_csv(summary, path)
-    return _doubles(read_csv(spark, path, summary.schema))
+    return _doubles(read_csv(spark, path, summary.schema), "total_items")
 
 
 def _snk_bundle(spark, sf_dir):
@@ -135,7 +140,8 @@ def _snk_table_many(spark, sf_dir):
     }
     named = {_unique(name, target): df for name, df in tables.items()}
     done = sinks.load_tables(spark, named, target)
-    return done.select(F.substring_index("table", "_", 1).alias("table"), "ok", "rows")
+    named = done.select(F.substring_index("table", "_", 1).alias("table"), "ok", "rows")
+    return _doubles(named, "rows")
 
 
 def _cat_table_exists(spark, sf_dir):
@@ -205,10 +211,6 @@ def _cln_dedup_key(spark, sf_dir):
     return _doubles(cleaning.drop_duplicate_keys(items, ["order_id", "order_item_id"]))
 
 
-def _derived(operator, *columns: str) -> Query:
-    return lambda spark, sf_dir: operator(star.orders(spark, sf_dir)).select("order_id", *columns)
-
-
 # --- joins, aggregates, marts, profiles -------------------------------------------
 
 
@@ -225,7 +227,9 @@ def _mart_sales_summary(spark, sf_dir):
             marts.orders(star.orders(spark, sf_dir)),
             marts.order_items(star.order_items(spark, sf_dir)),
             marts.payments(star.payments(spark, sf_dir)),
-        )
+        ),
+        *NULLABLE_DAYS,
+        "total_items",
     )
 
 
@@ -296,11 +300,22 @@ def queries() -> dict[str, Query]:
         "cln_null_mode": _gappy(cleaning.fill_mode, ["size", "brand"]),
         "cln_dedup_row": _cln_dedup_row,
         "cln_dedup_key": _cln_dedup_key,
-        "drv_orders": _mapped(derive.order_columns, "orders"),
-        "drv_delivery_days": _derived(derive.delivery_days, "delivery_time_days"),
-        "drv_delay_days": _derived(derive.delay_days, "delivery_delay_days"),
-        "drv_calendar": _derived(
-            derive.calendar_parts, "purchase_year", "purchase_month", "purchase_day_of_week"
+        "drv_orders": _mapped(derive.order_columns, "orders", nullable=NULLABLE_DAYS),
+        "drv_delivery_days": _mapped(
+            lambda df: derive.delivery_days(df).select("order_id", "delivery_time_days"),
+            "orders",
+            nullable=["delivery_time_days"],
+        ),
+        "drv_delay_days": _mapped(
+            lambda df: derive.delay_days(df).select("order_id", "delivery_delay_days"),
+            "orders",
+            nullable=["delivery_delay_days"],
+        ),
+        "drv_calendar": _mapped(
+            lambda df: derive.calendar_parts(df).select(
+                "order_id", "purchase_year", "purchase_month", "purchase_day_of_week"
+            ),
+            "orders",
         ),
         "jn_orders_items": _mapped(joins.orders_with_items, "orders", "order_items"),
         "jn_orders_items_products": _mapped(
@@ -313,12 +328,12 @@ def queries() -> dict[str, Query]:
         "agg_payments_per_order": _mapped(aggregates.payments_per_order, "payments"),
         "agg_by_category": _agg_by_category,
         "mart_sales_summary": _mart_sales_summary,
-        "mart_orders": _mapped(marts.orders, "orders"),
+        "mart_orders": _mapped(marts.orders, "orders", nullable=NULLABLE_DAYS),
         "mart_customers": _mapped(marts.customers, "customers"),
         "mart_products": _mapped(marts.products, "raw_products", "category_translation"),
         "mart_order_items": _mapped(marts.order_items, "order_items"),
         "mart_payments": _mapped(marts.payments, "payments"),
-        "mart_reviews": _mapped(marts.reviews, "reviews"),
+        "mart_reviews": _mapped(marts.reviews, "reviews", nullable=["review_score"]),
         "mart_sellers": _mapped(marts.sellers, "sellers"),
         "prf_quality": _prf_quality,
         "prf_quality_lineitem": _prf_quality_lineitem,
