@@ -113,6 +113,21 @@ def _fill_mode_once(df: DataFrame, targets: list[str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(_no_nan(df, c), modes[c]) for c in targets})
 
 
+def handle_missing(
+    df: DataFrame, strategy: str = "drop", columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Treat nulls by the name of a strategy; all columns unless some are named."""
+    strategies = {
+        "drop": drop_nulls,
+        "fill_zero": fill_zero,
+        "fill_mean": fill_mean,
+        "fill_mode": fill_mode,
+    }
+    if strategy not in strategies:
+        raise ValueError(f"strategy must be one of {sorted(strategies)}, not {strategy!r}")
+    return strategies[strategy](df, columns)
+
+
 def _no_nan(df: DataFrame, column: str) -> Column:
     """NaN counts as missing in floating-point columns."""
     c = F.col(column)

@@ -39,7 +39,8 @@ def orders_items_products(
 ) -> DataFrame:
     """Orders with their items, and the product of each item where it is known."""
     sold = orders_with_items(orders, items, policy=policy)
-    return lookup_join(sold, products, "product_id", "left", policy)
+    # An item stays one row in the first join, so its products are as hot there as here.
+    return lookup_join(sold, products, "product_id", "left", policy, keys_of=items)
 
 
 def translate_categories(

@@ -74,16 +74,21 @@ def split_hot_join(
     key: str,
     how: str = "inner",
     policy: SkewPolicy = DEFAULT_POLICY,
+    keys_of: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``many`` to ``one`` on ``key``; ``how`` is inner or left (keeping ``many``).
 
     The part of a row comes from its content plus the index of its input
     partition: distinct rows and identical copies both spread out, and a retried
     task sends each row to the same place as the first attempt did.
+
+    Hot keys are counted in ``keys_of``, a stored table with about the keys of
+    ``many``, where ``many`` itself is costly to compute. Which keys count as hot
+    changes how the rows travel and never which rows come out.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
-    hot = F.broadcast(hot_keys(many, key, policy))
+    hot = F.broadcast(hot_keys(many if keys_of is None else keys_of, key, policy))
     spread = F.xxhash64(*many.columns) + F.spark_partition_id()
     # An unmatched null key keeps its row in a left join; without a part number
     # all such rows would meet in one task.
@@ -108,16 +113,11 @@ def _row_bytes(df: DataFrame) -> Column:
 
 
 def fits_broadcast(df: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> bool:
-    """Measure, on at most ``broadcast_rows + 1`` rows, whether ``df`` is small enough.
-
-    Runs one short job. Reading one row past the limit is enough to answer no.
-    """
-    seen, size = (
-        df.limit(policy.broadcast_rows + 1)
-        .agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df)), F.lit(0)))
-        .first()
-    )
-    return seen <= policy.broadcast_rows and size <= policy.broadcast_bytes
+    """Measure whether ``df`` is small enough to broadcast: one scan, two numbers back."""
+    rows, size = df.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))
+    ).first()
+    return rows <= policy.broadcast_rows and size <= policy.broadcast_bytes
 
 
 def lookup_join(
@@ -126,8 +126,9 @@ def lookup_join(
     key: str,
     how: str = "inner",
     policy: SkewPolicy = DEFAULT_POLICY,
+    keys_of: DataFrame | None = None,
 ) -> DataFrame:
     """Join to a lookup table: broadcast while it measures small, split hot keys beyond."""
     if fits_broadcast(one, policy):
         return many.join(F.broadcast(one), key, how)
-    return split_hot_join(many, one, key, how, policy)
+    return split_hot_join(many, one, key, how, policy, keys_of)

@@ -75,6 +75,16 @@ def test_fill_mode_of_many_columns(spark):
     assert set(cleaning.fill_mode(df).collect()[-1]) == {2}
 
 
+def test_strategies_by_name(spark):
+    df = spark.createDataFrame(GAPPY, GAPPY_SCHEMA)
+    assert cleaning.handle_missing(df).count() == 2
+    assert cleaning.handle_missing(df, "fill_zero", ["n"]).collect()[1].n == 0
+    assert cleaning.handle_missing(df, "fill_mean", ["n"]).collect()[1].n == 6.0
+    assert cleaning.handle_missing(df, "fill_mode", ["n"]).collect()[1].n == 5
+    with pytest.raises(ValueError):
+        cleaning.handle_missing(df, "interpolate")
+
+
 def test_whole_row_copies_go(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (1, None), (1, None)], "k int, s string")
     once = cleaning.drop_duplicate_rows(df)
