@@ -12,10 +12,11 @@ Both return every row a plain join returns.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import BinaryType, IntegerType, StringType, StructField, StructType
 
 # A task sends at most this many histogram rows, whatever it read. An average bucket
 # holds a quarter of the default ``share``, so a bucket above it points to a hot key.
@@ -27,7 +28,7 @@ class SkewPolicy:
     """When a key counts as hot, and what may be broadcast.
 
     ``share`` bounds the number of hot keys (at most ``1 / share``), so the hot-key
-    table is always safe to broadcast. A key below ``min_rows`` fits in one task
+    table is always small enough to hold and to broadcast. A key below ``min_rows`` fits in one task
     and is left alone. Keys between the two are for adaptive execution to split,
     which it can, since both sides of the join come straight from a shuffle.
     """
@@ -42,30 +43,37 @@ class SkewPolicy:
 DEFAULT_POLICY = SkewPolicy()
 
 
-def hot_keys(rows: DataFrame, key: str, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+def hot_keys(
+    rows: DataFrame, key: str, policy: SkewPolicy = DEFAULT_POLICY
+) -> dict[object, int]:
     """Keys above the policy's threshold, each with the number of parts to split it into.
 
+    Returns at most ``1 / share`` keys, null among them if it is as frequent.
     Counting every distinct key would shuffle about as many rows as there are
     keys. A histogram over a fixed number of hash buckets is counted first; only
     keys in an over-full bucket are then counted one by one, which is nothing at
     all on even data. Both passes read the key column alone.
     """
+    total, nulls = rows.agg(F.count(F.lit(1)), F.count_if(F.col(key).isNull())).first()
+    threshold = max(total * policy.share, policy.min_rows)
+    if total <= threshold:
+        return {}
     keys = rows.select(key).filter(F.col(key).isNotNull())
     keys = keys.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(_BUCKETS)))
-    threshold = rows.agg(
-        F.greatest(F.count(F.lit(1)) * F.lit(policy.share), F.lit(float(policy.min_rows)))
-    ).scalar()
     full_buckets = (
         keys.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > threshold)
         .select("_bucket")
     )
-    return (
+    counts = (
         keys.join(F.broadcast(full_buckets), "_bucket", "left_semi")
         .groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > threshold)
-        .select(key, F.ceil(F.col("_n") / F.lit(policy.rows_per_part)).cast("int").alias("_parts"))
     )
+    found = {k: n for k, n in counts.select(key, "_n").collect()}
+    if nulls > threshold:
+        found[None] = nulls
+    return {k: math.ceil(n / policy.rows_per_part) for k, n in found.items()}
 
 
 def split_hot_join(
@@ -78,7 +86,8 @@ def split_hot_join(
 ) -> DataFrame:
     """Join ``many`` to ``one`` on ``key``; ``how`` is inner or left (keeping ``many``).
 
-    The part of a row comes from its content plus the index of its input
+    The hot keys are looked up first. Without any, this is the plain join.
+    Otherwise the part of a row comes from its content plus the index of its input
     partition: distinct rows and identical copies both spread out, and a retried
     task sends each row to the same place as the first attempt did.
 
@@ -88,15 +97,20 @@ def split_hot_join(
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
-    hot = F.broadcast(hot_keys(many if keys_of is None else keys_of, key, policy))
+    hot = hot_keys(many if keys_of is None else keys_of, key, policy)
+    null_parts = hot.pop(None, None)
+    if not hot and (null_parts is None or how == "inner"):
+        return many.join(one, key, how)
+    schema = StructType([many.schema[key], StructField("_parts", IntegerType())])
+    split = F.broadcast(many.sparkSession.createDataFrame(list(hot.items()), schema))
+    # Null keys match nothing, but a left join keeps their rows, all in one task
+    # unless they are numbered too.
+    parts = F.when(F.col(key).isNull(), F.lit(null_parts)).otherwise(F.col("_parts"))
     spread = F.xxhash64(*many.columns) + F.spark_partition_id()
-    # An unmatched null key keeps its row in a left join; without a part number
-    # all such rows would meet in one task.
-    parts = F.when(F.col(key).isNull(), F.lit(_BUCKETS)).otherwise(F.col("_parts"))
-    left = many.join(hot, key, "left").withColumn(
-        "_part", F.coalesce(F.pmod(spread, parts).cast("int"), F.lit(0))
+    left = many.join(split, key, "left").withColumn(
+        "_part", F.when(parts.isNotNull(), F.pmod(spread, parts).cast("int")).otherwise(F.lit(0))
     ).drop("_parts")
-    right = one.join(hot, key, "left").withColumn(
+    right = one.join(split, key, "left").withColumn(
         "_part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))
     ).drop("_parts")
     return left.join(right, [key, "_part"], how).drop("_part")

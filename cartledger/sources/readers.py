@@ -26,40 +26,41 @@ def _existing(path: str, load) -> DataFrame:
         raise
 
 
-def csv_header(spark: SparkSession, path: str, **options) -> list[str]:
-    """Column names in the header line; reads one line."""
-    read = spark.read.option("header", True).option("escape", '"').options(**options)
-    return _existing(path, lambda: read.csv(path)).columns
-
-
 def read_csv(
     spark: SparkSession,
     path: str,
     schema: StructType | None = None,
     multi_line: bool = False,
     null_tokens: Iterable[str] = NULL_TOKENS,
+    infer: bool = False,
     **options,
 ) -> DataFrame:
-    """CSV with a header line, typed by ``schema`` instead of inferred.
+    """CSV with a header line, typed by ``schema``.
 
     Columns are matched to the schema by their cleaned names, so their order and
-    any extra column are free; a column without a declared type is text. A field
-    that does not fit its type is null, and so is each of ``null_tokens``. Other
+    any extra column are free. A column without a declared type is text, or with
+    ``infer`` what Spark makes of it in an extra pass over the file. A field that
+    does not fit its type is null, and so is each of ``null_tokens``. Other
     keywords are Spark CSV options.
     """
-    types = {f.name: f.dataType for f in schema or []}
+
+    def reader():
+        return (
+            spark.read.option("header", True)
+            .option("mode", "PERMISSIVE")
+            .option("escape", '"')
+            .option("multiLine", multi_line)
+            .options(**options)
+        )
+
+    # Without inference this reads the header line only.
+    found = _existing(path, lambda: reader().option("inferSchema", infer).csv(path)).schema
+    declared = {f.name: f.dataType for f in schema or []}
     fields = [
-        StructField(name, types.get(name.lower().strip().replace(" ", "_"), StringType()))
-        for name in csv_header(spark, path, **options)
+        StructField(f.name, declared.get(f.name.lower().strip().replace(" ", "_"), f.dataType))
+        for f in found
     ]
-    read = (
-        spark.read.schema(StructType(fields))
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .options(**options)
-    )
+    read = reader().schema(StructType(fields))
     df = _existing(path, lambda: read.csv(path))
     tokens = list(null_tokens)
     texts = [f.name for f in fields if isinstance(f.dataType, StringType)]

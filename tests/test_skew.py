@@ -34,9 +34,9 @@ def totals(df):
     return df.agg(F.count("*"), F.count("w"), F.sum("w"), F.sum(row)).first()
 
 
-def test_only_the_hot_key_is_found(many):
-    assert [r.k for r in hot_keys(many, "k", POLICY).collect()] == [7]
-    assert hot_keys(many, "k").count() == 0
+def test_only_the_hot_keys_are_found(many):
+    assert hot_keys(many, "k", POLICY) == {7: 11, None: 10}
+    assert hot_keys(many, "k") == {}
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
@@ -67,6 +67,14 @@ def test_no_task_gets_the_hot_key_whole(spark, many, one, how):
     assert max(r["count"] for r in sizes) < 15_000
 
 
+def test_frequent_nulls_alone_are_split(many, one):
+    sparse = many.filter("k IS NULL OR k <> 7")
+    assert hot_keys(sparse, "k", POLICY) == {None: 10}
+    for how in ("inner", "left"):
+        got = split_hot_join(sparse, one, "k", how, POLICY)
+        assert totals(got) == totals(sparse.join(one, "k", how))
+
+
 def test_hot_keys_may_be_counted_elsewhere(many, one):
     """Counting in another table moves rows differently and returns the same ones."""
     plain = totals(many.join(one, "k", "left"))

@@ -47,6 +47,15 @@ def test_csv_null_words_are_configurable_and_options_pass_through(spark, tmp_pat
     assert tuple(read_csv(spark, str(path), null_tokens=("-",), sep=";").first()) == ("NA", None)
 
 
+def test_types_are_inferred_only_on_request(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("n,x,Price\n1,1.5,2\n2,2.5,3\n", encoding="utf-8")
+    text = read_csv(spark, str(path))
+    assert {t for _, t in text.dtypes} == {"string"}
+    typed = read_csv(spark, str(path), TABLES["order_items"].schema, infer=True)
+    assert typed.dtypes == [("n", "int"), ("x", "double"), ("Price", "decimal(18,2)")]
+
+
 def test_untidy_headers_find_their_type(spark, tmp_path):
     path = tmp_path / "items.csv"
     path.write_text(" Order ID ,PRICE\no1,1.50\n", encoding="utf-8")
