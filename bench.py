@@ -22,7 +22,7 @@ from cartledger.plans.reports import REPORTS  # noqa: E402
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = 3
-NAMES = [*REPORTS, "mart_sales_summary", "jn_orders_items", "cln_dedup_key", "prf_quality"]
+NAMES = [*REPORTS, "mart_sales_summary", "jn_orders_items", "cln_dedup_key", "prf_quality_lineitem"]
 
 
 def session() -> SparkSession:

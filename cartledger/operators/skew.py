@@ -106,7 +106,7 @@ def split_hot_join(
     # Null keys match nothing, but a left join keeps their rows, all in one task
     # unless they are numbered too.
     parts = F.when(F.col(key).isNull(), F.lit(null_parts)).otherwise(F.col("_parts"))
-    spread = F.xxhash64(*many.columns) + F.spark_partition_id()
+    spread = F.pmod(F.xxhash64(*many.columns), parts) + F.spark_partition_id()
     left = many.join(split, key, "left").withColumn(
         "_part", F.when(parts.isNotNull(), F.pmod(spread, parts).cast("int")).otherwise(F.lit(0))
     ).drop("_parts")
