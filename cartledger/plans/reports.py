@@ -20,6 +20,19 @@ from cartledger.operators.skew import lookup_join
 
 Tables = Mapping[str, DataFrame]
 
+# The thresholds and list lengths that define the reports.
+MIN_CATEGORY_REVENUE = 1000
+TOP_CATEGORIES = 20
+MIN_SELLER_ORDERS = 10
+TOP_SELLERS = 10
+MIN_STATE_ORDERS = 100
+PRODUCTS_PER_CATEGORY = 3
+SOLD_STATUSES = ("delivered", "shipped")
+MIN_CUSTOMER_ORDERS = 2
+TOP_CUSTOMERS = 20
+MIN_FREIGHT_ORDERS = 50
+COHORT_MONTHS = 4
+
 _PURCHASED = "order_purchase_timestamp"
 _DELIVERED_ON = "order_delivered_customer_date"
 _ESTIMATED = "order_estimated_delivery_date"
@@ -81,7 +94,7 @@ def category_sales(t: Tables) -> DataFrame:
             F.sum("prices").alias("prices"),
             F.sum("freight").alias("freight"),
         )
-        .filter(F.col("revenue") > 1000)
+        .filter(F.col("revenue") > MIN_CATEGORY_REVENUE)
     )
     # Only the ids travel for the distinct count; the sums went by product.
     orders = (
@@ -100,7 +113,7 @@ def category_sales(t: Tables) -> DataFrame:
             r2("freight").alias("costo_envio_total"),
         )
         .orderBy(F.desc_nulls_first("revenue_total"), "categoria")
-        .limit(20)
+        .limit(TOP_CATEGORIES)
     )
 
 
@@ -128,7 +141,7 @@ def top_sellers(t: Tables) -> DataFrame:
             F.sum(F.col("rows") * F.col("score_sum")).alias("score_sum"),
             F.sum(F.col("rows") * F.col("scores")).alias("scores"),
         )
-        .filter(F.col("ordenes_completadas") >= 10)
+        .filter(F.col("ordenes_completadas") >= MIN_SELLER_ORDERS)
     )
     sellers = t["sellers"].select("seller_id", "seller_city", "seller_state")
     return (
@@ -144,7 +157,7 @@ def top_sellers(t: Tables) -> DataFrame:
             r2(exact_mean("score_sum", "scores")).alias("rating_promedio"),
         )
         .orderBy(F.desc_nulls_first("revenue_total"), "seller_id")
-        .limit(10)
+        .limit(TOP_SELLERS)
     )
 
 
@@ -178,7 +191,7 @@ def customers_by_state(t: Tables) -> DataFrame:
             F.sum("payment").alias("payment"),
             F.sum("payments").alias("payments"),
         )
-        .filter(F.col("total_ordenes") >= 100)
+        .filter(F.col("total_ordenes") >= MIN_STATE_ORDERS)
     )
     return per_state.select(
         "estado",
@@ -202,7 +215,7 @@ def top_products(t: Tables) -> DataFrame:
     return (
         named.join(sold, "product_id")
         .withColumn("ranking", F.row_number().over(best_first))
-        .filter(F.col("ranking") <= 3)
+        .filter(F.col("ranking") <= PRODUCTS_PER_CATEGORY)
         .orderBy("categoria", "ranking")
         .select("categoria", "product_id", "veces_vendido", r2("price").alias("revenue"))
     )
@@ -235,7 +248,7 @@ def payment_methods(t: Tables) -> DataFrame:
 def monthly_sales(t: Tables) -> DataFrame:
     """Orders, customers and revenue per month of purchase, latest first."""
     sold = t["sales_summary"].filter(
-        F.col("order_status").isin("delivered", "shipped")
+        F.col("order_status").isin(*SOLD_STATUSES)
         & F.col(_PURCHASED).isNotNull()
         & F.col("order_id").isNotNull()
     )
@@ -302,7 +315,7 @@ def top_customers(t: Tables) -> DataFrame:
             F.sum("score_sum").alias("score_sum"),
             F.sum("scores").alias("scores"),
         )
-        .filter(F.col("total_ordenes") >= 2)
+        .filter(F.col("total_ordenes") >= MIN_CUSTOMER_ORDERS)
     )
     return (
         t["customers"].select("customer_id", "customer_city", "customer_state")
@@ -318,7 +331,7 @@ def top_customers(t: Tables) -> DataFrame:
             r2(exact_mean("score_sum", "scores")).alias("satisfaccion_promedio"),
         )
         .orderBy(F.desc_nulls_first("lifetime_value"), "customer_id")
-        .limit(20)
+        .limit(TOP_CUSTOMERS)
     )
 
 
@@ -357,7 +370,7 @@ def freight_by_state(t: Tables) -> DataFrame:
         .join(per_customer, "customer_id")
         .groupBy(F.col("customer_state").alias("estado"))
         .agg(F.sum("orders").alias("ordenes"), *totals)
-        .filter(F.col("ordenes") >= 50)
+        .filter(F.col("ordenes") >= MIN_FREIGHT_ORDERS)
     )
     return per_state.select(
         "estado",
@@ -393,7 +406,7 @@ def cohort_retention(t: Tables) -> DataFrame:
 
     return (
         placed.groupBy("cohort_mes")
-        .agg(*[bought_after(n) for n in range(4)])
+        .agg(*[bought_after(n) for n in range(COHORT_MONTHS)])
         .orderBy(F.asc_nulls_last("cohort_mes"))
     )
 

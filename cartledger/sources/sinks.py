@@ -83,8 +83,11 @@ class JdbcTarget:
         return spark.read.format("jdbc").options(**self.options(table)).load()
 
     def exists(self, spark: SparkSession, table: str) -> bool:
-        listed = self.read(spark, "information_schema.tables")
-        return not listed.filter(F.col("table_name") == table).limit(1).isEmpty()
+        schema, _, name = table.rpartition(".")
+        listed = self.read(spark, "information_schema.tables").filter(F.col("table_name") == name)
+        if schema:
+            listed = listed.filter(F.col("table_schema") == schema)
+        return not listed.limit(1).isEmpty()
 
 
 @dataclass(frozen=True)

@@ -71,6 +71,21 @@ def test_full_run(spark, source, tmp_path):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def test_parquet_sources(spark, source, tmp_path):
+    root = str(tmp_path / "parquet")
+    for name in FILES:
+        prefix = "" if name.startswith("product_category") else "shop_"
+        df = spark.read.option("header", True).csv(f"{source}/{prefix}{name}.csv")
+        df.coalesce(1).write.parquet(f"{root}/{name}.parquet")
+    cfg = etl.EtlConfig(root, str(tmp_path / "out"), source_format="parquet", export="parquet")
+    result = etl.run(spark, cfg)
+    kept = {r.customer_id: r.customer_city for r in result.tables["customers"].collect()}
+    assert kept == {"c1": "x", "c2": "y"}
+    first = result.tables["orders"].filter("order_id = 'o1'").first()
+    assert (first.order_status, first.delivery_time_days) == ("delivered", 1)
+    assert result.loads is None
+
+
 def test_an_empty_folder_is_an_error(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         etl.run(spark, etl.EtlConfig(str(tmp_path), str(tmp_path / "out")))
