@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartledger.llm import simhash
+from cartledger.llm import mixing, sharding, simhash
 from cartledger.llm.common import table
 
 
@@ -12,6 +12,25 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_simhash": op1_simhash}
+#: Bytes of text in a shard.
+SHARD_LIMIT = 1 << 20
 
-ORACLE_SQL: dict[str, str] = {}
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"), SHARD_LIMIT)
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op4_sharding": op4_sharding,
+    "op9_mixing": op9_mixing,
+}
+
+ORACLE_SQL = {
+    "op4_sharding": sharding.SQL.format(limit=SHARD_LIMIT),
+    "op9_mixing": mixing.SQL,
+}

@@ -196,9 +196,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 def _without(df: DataFrame, rows: DataFrame, key: str, mark: str, how: str = "left_anti"):
     """Rows of ``df`` whose (key, hash) is not among ``rows``; a null key equals a null key."""
-    other = rows.select(F.col("id").alias(" id"), F.col("h").alias(" h"))
-    on = quoted(key).eqNullSafe(quoted(" id")) & (quoted(mark) == quoted(" h"))
-    return df.join(other, on, how)
+    id_, h = free_name(df.columns, "_id"), free_name(df.columns, "_hash")
+    other = rows.select(F.col("id").alias(id_), F.col("h").alias(h))
+    return df.join(other, quoted(key).eqNullSafe(F.col(id_)) & (quoted(mark) == F.col(h)), how)
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
