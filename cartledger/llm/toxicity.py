@@ -29,6 +29,8 @@ THRESHOLD = 0.7
 PRIOR = 2.0
 #: Words and beginnings enter the lexicon above this many standard deviations.
 SIGNIFICANT = 4.0
+#: Words whose log-odds are lower count as words without evidence, or against.
+LEAST = 2.0
 #: Entries of the lexicon, the most significant first.
 MAX_LEXICON = 50_000
 BEGINNINGS = (4, 5, 6)
@@ -103,7 +105,11 @@ def token_scores(words: list[str], known: dict[str, float], begun: dict[str, flo
         best = [begun[w[:k]] for k in BEGINNINGS if len(w) > k and w[:k] in begun]
         return max(best) if best else -DRIFT
 
-    return [min(s, -DRIFT) if s < 0 else s for s in map(score, words)]
+    # A word said again at once is no new evidence.
+    return [
+        -DRIFT if w == last else min(s, -DRIFT) if (s := score(w)) < LEAST else s
+        for w, last in zip(words, ["", *words])
+    ]
 
 
 def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
