@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartledger.llm import mixing, packing, sharding, simhash
+from cartledger.llm import mixing, packing, quality, sharding, simhash, toxicity
 from cartledger.llm.common import table
 
 
@@ -20,6 +20,14 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"), SHARD_LIMIT)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
@@ -31,6 +39,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op4_sharding": op4_sharding,
+    "op5_toxicity": op5_toxicity,
+    "op6_quality": op6_quality,
     "op7_packing": op7_packing,
     "op9_mixing": op9_mixing,
 }

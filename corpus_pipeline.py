@@ -4,16 +4,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartledger.llm import simhash
+from cartledger.llm import mixing, packing, quality, simhash, toxicity
 from cartledger.llm.common import stored, table
 
 
-def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    return quality.good_rows(docs, table(spark, sf_dir, "labels"))
+
+
+def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without toxic passages that decide."""
+    return toxicity.clean_rows(docs, table(spark, sf_dir, "labels"))
+
+
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
     return simhash.keep_one(docs)
 
 
-STAGES = [("simhash_dedup", near_copies)]
+def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mixed_rows(docs)
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in a sequence."""
+    return packing.packed_documents(docs)
+
+
+STAGES = [
+    ("quality", good_documents),
+    ("toxicity", clean_documents),
+    ("simhash_dedup", distinct_documents),
+    ("mixing", mixed_documents),
+    ("packing", packed_sequences),
+]
 
 # The classifiers are trained models, which SQL cannot express.
 ORACLE_SQL = None
