@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartledger.llm import mixing, packing, quality, sharding, simhash, toxicity
+from cartledger.llm import html, mixing, packing, quality, sharding, simhash, toxicity
 from cartledger.llm.common import table
 
 
@@ -12,6 +12,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 #: Bytes of text in a shard.
 SHARD_LIMIT = 1 << 20
 
@@ -38,6 +42,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op3_html": op3_html,
     "op4_sharding": op4_sharding,
     "op5_toxicity": op5_toxicity,
     "op6_quality": op6_quality,
