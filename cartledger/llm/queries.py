@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartledger.llm import html, mixing, packing, quality, sharding, simhash, toxicity
+from cartledger.llm import html, mixing, packing, quality, sharding, simhash, toxicity, warc
 from cartledger.llm.common import table
 
 
@@ -36,6 +36,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(spark, table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -47,6 +53,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
+    "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
 }
 
