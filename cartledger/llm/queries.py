@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartledger.llm import html, mixing, packing, quality, sharding, simhash, toxicity, warc
+from cartledger.llm import crosspolytope, html, mixing, packing, quality, sharding, simhash, toxicity, warc
 from cartledger.llm.common import table
 
 
@@ -46,6 +46,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op10_crosspolytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosspolytope.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_html": op3_html,
@@ -55,6 +59,7 @@ QUERIES = {
     "op7_packing": op7_packing,
     "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
+    "op10_crosspolytope": op10_crosspolytope,
 }
 
 ORACLE_SQL = {
