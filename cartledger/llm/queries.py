@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartledger.llm import crosspolytope, html, mixing, packing, quality, sharding, simhash, toxicity, warc
+from cartledger.llm import crosspolytope, html, mixing, nndescent, packing, quality, sharding, simhash, toxicity, warc
 from cartledger.llm.common import table
 
 
@@ -12,6 +12,16 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+#: Nearest vectors of a query; every vector whose id this divides is a query.
+NEAREST, QUERY_EVERY = 20, 20
+
+
+def op2_nndescent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    queries = rows.where(rows["vec_id"] % QUERY_EVERY == 0)
+    return nndescent.search(nndescent.build(rows), queries, NEAREST)
+
+
 def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
@@ -52,6 +62,7 @@ def op10_crosspolytope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_nndescent": op2_nndescent,
     "op3_html": op3_html,
     "op4_sharding": op4_sharding,
     "op5_toxicity": op5_toxicity,
