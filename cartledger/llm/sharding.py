@@ -92,7 +92,7 @@ def _named(rows: DataFrame, leaves: DataFrame) -> DataFrame:
             .withColumn("shard", F.concat("parent", F.when(F.col("depth") == 0, "").otherwise(bits)))
             .drop("cell", "depth")
         )
-    return _union(parts)
+    return _union(parts or [rows.limit(0).withColumn("shard", F.lit(""))])
 
 
 def shard(docs: DataFrame, limit: int, key: str = "doc_id", text: str = "text") -> DataFrame:
