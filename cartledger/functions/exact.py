@@ -33,13 +33,25 @@ def exact_mean(total: Column | str, n: Column | str) -> Column:
     return F.try_divide(_col(total).cast("double"), _col(n).cast("double"))
 
 
-def _micros_between(later: Column | str, earlier: Column | str) -> Column:
-    return F.timestamp_diff("MICROSECOND", _col(earlier), _col(later))
+def micros_between(later: Column | str, earlier: Column | str) -> Column:
+    """Elapsed microseconds as a whole number.
+
+    Timestamps without a zone are subtracted as they stand. Functions that count units
+    between them would go through the session zone and its clock changes.
+    """
+    seconds = (_col(later) - _col(earlier)).cast("interval second").cast("decimal(18,6)")
+    return (seconds * 1_000_000).cast("bigint")
 
 
 def days_between(later: Column | str, earlier: Column | str) -> Column:
     """Elapsed days with their fraction."""
-    return _micros_between(later, earlier) / F.lit(_MICROS_PER_DAY)
+    return micros_between(later, earlier) / F.lit(_MICROS_PER_DAY)
+
+
+def mean_days(later: Column | str, earlier: Column | str) -> Column:
+    """Mean of the elapsed days: microseconds are added exactly and divided once."""
+    micros = micros_between(later, earlier)
+    return exact_mean(F.sum(micros.cast("decimal(20,0)")), F.count(micros)) / F.lit(_MICROS_PER_DAY)
 
 
 def whole_days(later: Column | str, earlier: Column | str) -> Column:

@@ -14,6 +14,9 @@ from pyspark.sql.types import (
     StringType,
 )
 
+from cartledger.functions import parse_timestamp
+from cartledger.operators.skew import free_name
+
 
 def clean_names(df: DataFrame) -> DataFrame:
     """Lower-case, trim, and turn each inner space into an underscore."""
@@ -24,10 +27,20 @@ def clean_names(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
-def parse_dates(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Read the given columns as timestamps; text that is no date becomes null."""
+def parse_dates(df: DataFrame, columns: Iterable[str], day_first: bool = False) -> DataFrame:
+    """Read the given columns as timestamps, in any of the forms of ``parse_timestamp``.
+
+    Text that is no date becomes null; columns that are dates already stay.
+    """
     present = [c for c in columns if c in df.columns]
-    return df.withColumns({c: F.col(c).try_cast("timestamp_ntz") for c in present})
+    return df.withColumns(
+        {
+            c: parse_timestamp(F.col(c), day_first)
+            if isinstance(df.schema[c].dataType, StringType)
+            else F.col(c).try_cast("timestamp_ntz")
+            for c in present
+        }
+    )
 
 
 def drop_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -49,12 +62,14 @@ def fill_zero(
 
 
 def fill_mean(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Fill numeric nulls with the column mean; the filled column is a double.
+    """Fill numeric nulls with the column mean; the filled column is a double, or for
+    decimals a decimal with six more places.
 
-    Without an explicit list, 32-bit integers are left alone along with text and
-    dates. All means come from one aggregate, read back as a scalar subquery.
+    Without an explicit list, whole numbers are left alone along with text and dates: as
+    doubles the largest would change. All means come from one aggregate, read back as a
+    scalar subquery.
     """
-    wide = (DoubleType, DecimalType, LongType)
+    wide = (DoubleType, DecimalType)
     kinds = NumericType if columns else wide
     targets = [c for c in (columns or df.columns) if isinstance(df.schema[c].dataType, kinds)]
     if not targets:
@@ -62,9 +77,15 @@ def fill_mean(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     means = df.agg(
         F.struct(*[_mean(df, c).alias(c) for c in targets]).alias("means")
     ).scalar()
-    return df.withColumns(
-        {c: F.coalesce(_no_nan(df, c).cast("double"), means[c]) for c in targets}
-    )
+
+    def filled(c: str) -> Column:
+        kind = df.schema[c].dataType
+        if isinstance(kind, DecimalType):
+            finer = DecimalType(38, min(38, kind.scale + 6))
+            return F.coalesce(F.col(c).cast(finer), means[c].cast(finer))
+        return F.coalesce(_no_nan(df, c).cast("double"), means[c])
+
+    return df.withColumns({c: filled(c) for c in targets})
 
 
 def _mean(df: DataFrame, column: str) -> Column:
@@ -155,8 +176,5 @@ def drop_duplicate_keys(
     """
     order = list(order_by or [c for c in df.columns if c not in keys] or keys)
     first = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        df.withColumn("_copy", F.row_number().over(first))
-        .filter(F.col("_copy") == 1)
-        .drop("_copy")
-    )
+    copy = free_name(df, "_copy")
+    return df.withColumn(copy, F.row_number().over(first)).filter(F.col(copy) == 1).drop(copy)

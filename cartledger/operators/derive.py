@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from cartledger.functions import whole_days
 from cartledger.operators.cleaning import parse_dates
 
+# The date columns of an order.
 PURCHASED = "order_purchase_timestamp"
 DELIVERED = "order_delivered_customer_date"
 ESTIMATED = "order_estimated_delivery_date"

@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from cartledger.operators.skew import DEFAULT_POLICY, SkewPolicy, lookup_join, split_hot_join
+from cartledger.operators.skew import (
+    DEFAULT_POLICY,
+    SkewPolicy,
+    free_name,
+    lookup_join,
+    split_hot_join,
+)
 
 
 def orders_with_items(
@@ -12,22 +18,27 @@ def orders_with_items(
     items: DataFrame,
     match_null_ids: bool = False,
     policy: SkewPolicy = DEFAULT_POLICY,
+    keys_of: DataFrame | None = None,
 ) -> DataFrame:
     """Orders joined to their items; ``orders`` has one row per ``order_id``.
 
+    Hot orders are counted in ``keys_of``, a stored table with the order ids of ``items``,
+    where ``items`` itself is costly to compute.
+
     ``match_null_ids`` pairs a null order id with a null order id, as pandas does.
     The null orders join as one more hot key, since ``orders`` holds at most one.
     """
     columns = [*orders.columns, *[c for c in items.columns if c != "order_id"]]
-    matched = split_hot_join(items, orders, "order_id", "inner", policy).select(*columns)
+    matched = split_hot_join(items, orders, "order_id", "inner", policy, keys_of).select(*columns)
     if not match_null_ids:
         return matched
-    null_order = orders.filter(F.col("order_id").isNull()).withColumn("_null", F.lit(True))
+    null = free_name(orders, "_null", items)
+    null_order = orders.filter(F.col("order_id").isNull()).withColumn(null, F.lit(True))
     null_items = (
-        items.filter(F.col("order_id").isNull()).drop("order_id").withColumn("_null", F.lit(True))
+        items.filter(F.col("order_id").isNull()).drop("order_id").withColumn(null, F.lit(True))
     )
     # One row at most after de-duplication by order_id; measured before broadcasting.
-    paired = lookup_join(null_items, null_order, "_null", "inner", policy)
+    paired = lookup_join(null_items, null_order, null, "inner", policy)
     return matched.unionByName(paired.select(*columns))
 
 

@@ -43,6 +43,14 @@ class SkewPolicy:
 DEFAULT_POLICY = SkewPolicy()
 
 
+def free_name(df: DataFrame, wanted: str, *others: DataFrame) -> str:
+    """A column name like ``wanted`` that none of the frames has."""
+    taken = {c.lower() for frame in (df, *others) for c in frame.columns}
+    while wanted.lower() in taken:
+        wanted = f"_{wanted}"
+    return wanted
+
+
 def hot_keys(
     rows: DataFrame, key: str, policy: SkewPolicy = DEFAULT_POLICY
 ) -> dict[object, int]:
@@ -59,18 +67,19 @@ def hot_keys(
     if total <= threshold:
         return {}
     keys = rows.select(key).filter(F.col(key).isNotNull())
-    keys = keys.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(_BUCKETS)))
+    bucket, n = free_name(keys, "_bucket"), free_name(keys, "_n")
+    keys = keys.withColumn(bucket, F.pmod(F.xxhash64(key), F.lit(_BUCKETS)))
     full_buckets = (
-        keys.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > threshold)
-        .select("_bucket")
+        keys.groupBy(bucket).agg(F.count(F.lit(1)).alias(n))
+        .filter(F.col(n) > threshold)
+        .select(bucket)
     )
     counts = (
-        keys.join(F.broadcast(full_buckets), "_bucket", "left_semi")
-        .groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > threshold)
+        keys.join(F.broadcast(full_buckets), bucket, "left_semi")
+        .groupBy(key).agg(F.count(F.lit(1)).alias(n))
+        .filter(F.col(n) > threshold)
     )
-    found = {k: n for k, n in counts.select(key, "_n").collect()}
+    found = {k: rows for k, rows in counts.select(key, n).collect()}
     if nulls > threshold:
         found[None] = nulls
     return {k: math.ceil(n / policy.rows_per_part) for k, n in found.items()}
@@ -101,19 +110,20 @@ def split_hot_join(
     null_parts = hot.pop(None, None)
     if not hot and (null_parts is None or how == "inner"):
         return many.join(one, key, how)
-    schema = StructType([many.schema[key], StructField("_parts", IntegerType())])
+    part, n_parts = free_name(many, "_part", one), free_name(many, "_parts", one)
+    schema = StructType([many.schema[key], StructField(n_parts, IntegerType())])
     split = F.broadcast(many.sparkSession.createDataFrame(list(hot.items()), schema))
     # Null keys match nothing, but a left join keeps their rows, all in one task
     # unless they are numbered too.
-    parts = F.when(F.col(key).isNull(), F.lit(null_parts)).otherwise(F.col("_parts"))
+    parts = F.when(F.col(key).isNull(), F.lit(null_parts)).otherwise(F.col(n_parts))
     spread = F.pmod(F.xxhash64(*many.columns), parts) + F.spark_partition_id()
     left = many.join(split, key, "left").withColumn(
-        "_part", F.when(parts.isNotNull(), F.pmod(spread, parts).cast("int")).otherwise(F.lit(0))
-    ).drop("_parts")
+        part, F.when(parts.isNotNull(), F.pmod(spread, parts).cast("int")).otherwise(F.lit(0))
+    ).drop(n_parts)
     right = one.join(split, key, "left").withColumn(
-        "_part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))
-    ).drop("_parts")
-    return left.join(right, [key, "_part"], how).drop("_part")
+        part, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(n_parts), F.lit(1)) - 1))
+    ).drop(n_parts)
+    return left.join(right, [key, part], how).drop(part)
 
 
 def _row_bytes(df: DataFrame) -> Column:

@@ -48,10 +48,11 @@ def test_fill_zero_leaves_text_unless_asked(spark):
     assert cleaning.fill_zero(df, ["s"], include_text=True).collect()[2].s == "0"
 
 
-def test_fill_mean_skips_small_integers_and_text(spark):
+def test_fill_mean_skips_whole_numbers_and_text(spark):
     df = spark.createDataFrame([*GAPPY, (None, None, None, None)], GAPPY_SCHEMA)
     last = cleaning.fill_mean(df).collect()[-1]
-    assert tuple(last) == (None, 20.0, None, 6.0)
+    assert tuple(last) == (None, 20.0, None, None)
+    assert cleaning.fill_mean(df, ["n"]).collect()[-1].n == 6.0
     assert cleaning.fill_mean(df, ["k"]).collect()[-1].k == 3.0
 
 
@@ -105,3 +106,14 @@ def test_keyed_copies_keep_the_first_and_null_keys_are_equal(spark):
 def test_keyed_copies_of_key_only_table(spark):
     df = spark.createDataFrame([(1,), (1,), (2,)], "k int")
     assert bag(cleaning.drop_duplicate_keys(df, ["k"])) == [(1,), (2,)]
+
+
+def test_whole_numbers_keep_their_value_unless_named(spark):
+    df = spark.createDataFrame([(9007199254740993, 1.0), (None, None)], "n long, x double")
+    assert bag(cleaning.fill_mean(df), "n", "x") == [(None, 1.0), (9007199254740993, 1.0)]
+    assert cleaning.fill_mean(df, ["n"]).schema["n"].dataType.simpleString() == "double"
+
+
+def test_a_column_named_like_the_helper_stays(spark):
+    df = spark.createDataFrame([(1, 5, "b"), (1, 7, "a")], "k int, _copy int, x string")
+    assert bag(cleaning.drop_duplicate_keys(df, ["k"])) == [(1, 5, "b")]

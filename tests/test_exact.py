@@ -5,7 +5,15 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from cartledger.functions import days_between, exact_mean, month_start, r2, whole_days
+from cartledger.functions import (
+    days_between,
+    exact_mean,
+    mean_days,
+    month_start,
+    parse_timestamp,
+    r2,
+    whole_days,
+)
 
 
 def one(spark, sql, column):
@@ -68,3 +76,43 @@ def test_month_start_and_month_step(spark):
     assert df.schema["m"].dataType.simpleString() == "timestamp_ntz"
     step = df.select("m", F.col("m") + F.make_ym_interval(F.lit(0), F.lit(2))).first()
     assert tuple(step) == (dt.datetime(2024, 12, 1), dt.datetime(2025, 2, 1))
+
+
+def test_days_do_not_depend_on_the_session_zone(spark):
+    """Midnight of 2017-10-15 did not exist in this zone."""
+    rows = spark.createDataFrame(
+        [("2017-10-15 00:30:00", "2017-10-16 00:45:00")], "a string, b string"
+    ).select(F.col("a").cast("timestamp_ntz").alias("a"), F.col("b").cast("timestamp_ntz").alias("b"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        got = rows.select(whole_days("b", "a"), days_between("b", "a"), parse_timestamp(F.lit("15/10/2017 00:30"))).first()
+        mean = rows.agg(mean_days("b", "a")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got[0] == 1
+    assert got[1] == mean == pytest.approx(87300 / 86400)
+    assert got[2] == dt.datetime(2017, 10, 15, 0, 30)
+
+
+@pytest.mark.parametrize(
+    "text, value",
+    [
+        ("2023-01-05", dt.datetime(2023, 1, 5)),
+        ("2023-01-05T10:00:01.5", dt.datetime(2023, 1, 5, 10, 0, 1, 500000)),
+        ("2023/01/06", dt.datetime(2023, 1, 6)),
+        ("05/01/2023 10:00", dt.datetime(2023, 5, 1, 10)),
+        ("25/01/2023", dt.datetime(2023, 1, 25)),
+        ("20230105", dt.datetime(2023, 1, 5)),
+        ("Jan 5, 2023", dt.datetime(2023, 1, 5)),
+        ("5 January 2023 9:05", dt.datetime(2023, 1, 5, 9, 5)),
+        ("2023-13-45", None),
+        ("99/99/2020", None),
+        ("Foo 5, 2023", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_forms_of_dates(spark, text, value):
+    row = spark.createDataFrame([(text,)], "t string").select(parse_timestamp(F.col("t"))).first()
+    assert row[0] == value
