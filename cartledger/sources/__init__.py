@@ -1,6 +1,7 @@
 from cartledger.sources.catalog import read_catalog
 from cartledger.sources.readers import (
     FILE_POSITION,
+    REJECTED,
     read_csv,
     read_jdbc,
     read_parquet,
@@ -8,16 +9,18 @@ from cartledger.sources.readers import (
     with_file_position,
 )
 from cartledger.sources.schemas import TABLES, TableSource
-from cartledger.sources.scratch import scratch_path
+from cartledger.sources.scratch import run_folder, scratch_path
 
 __all__ = [
     "FILE_POSITION",
+    "REJECTED",
     "TABLES",
     "TableSource",
     "read_catalog",
     "read_csv",
     "read_jdbc",
     "read_parquet",
+    "run_folder",
     "run_query",
     "scratch_path",
     "with_file_position",

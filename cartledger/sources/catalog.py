@@ -23,11 +23,13 @@ def read_catalog(
     prefix: str = "",
     files: Mapping[str, str] | None = None,
     fmt: str = "csv",
+    **csv,
 ) -> Catalog:
     """Open every known table found under ``root``; list those that are missing.
 
     A table's file is ``{prefix}{stem}.{fmt}``, or without the prefix when that
-    does not exist. ``files`` overrides the file name of single tables.
+    does not exist. ``files`` overrides the file name of single tables. Other keywords
+    go to ``read_csv``, such as ``infer`` or ``rejects``.
     """
     if fmt not in ("csv", "parquet"):
         raise ValueError(f"unknown table format {fmt!r}")
@@ -40,7 +42,7 @@ def read_catalog(
             path = f"{root.rstrip('/')}/{file}"
             try:
                 if fmt == "csv":
-                    df = read_csv(spark, path, source.schema, source.multi_line)
+                    df = read_csv(spark, path, source.schema, source.multi_line, **csv)
                 else:
                     df = read_parquet(spark, path)
             except FileNotFoundError:

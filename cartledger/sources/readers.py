@@ -2,11 +2,30 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    IntegerType,
+    IntegralType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
+
+from cartledger.functions import parse_timestamp
 
 # The text pandas reads as missing by default.
 NULL_TOKENS = (
@@ -14,6 +33,8 @@ NULL_TOKENS = (
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+#: Names of the fields of a row that did not fit their type, where a reader is asked for them.
+REJECTED = "_rejected"
 FILE_POSITION = ("_file", "_block", "_row")
 
 
@@ -26,6 +47,87 @@ def _existing(path: str, load) -> DataFrame:
         raise
 
 
+def _clean(name: str) -> str:
+    return name.lower().strip().replace(" ", "_")
+
+
+def _unused(name: str, taken: Iterable[str]) -> str:
+    if _clean(name) in map(_clean, taken):
+        raise ValueError(f"the column {name!r} is there already")
+    return name
+
+
+def _groups(spark: SparkSession, path: str, reader) -> list[tuple[list[str], list[str]]]:
+    """(header, files) of the files that share a header; a header is one line read per file.
+
+    The lines are read by small jobs, several at a time; only names come to the driver.
+    """
+    whole = _existing(path, lambda: reader().csv(path))
+    files = sorted(whole.inputFiles())
+    if len(files) < 2:
+        return [(whole.columns, [path])]
+    with ThreadPoolExecutor(16) as pool:
+        headers = list(pool.map(lambda file: reader().csv(unquote(file)).columns, files))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for header, file in zip(headers, files):
+        if header:  # a file without any line has no columns
+            found.setdefault(tuple(header), []).append(unquote(file))
+    if len(found) < 2:
+        return [(list(next(iter(found), whole.columns)), [path])]
+    return [(list(header), files) for header, files in found.items()]
+
+
+def _convert(text: Column, kind: DataType, day_first: bool) -> Column:
+    """Text as a value of ``kind``; null where it does not fit without loss."""
+    if isinstance(kind, IntegralType):
+        exact = text.try_cast("decimal(38,10)")
+        return F.when(exact == F.floor(exact), exact).try_cast(kind)
+    if isinstance(kind, DecimalType):
+        exact = text.try_cast("decimal(38,10)")
+        value = text.try_cast(kind)
+        return F.when(exact == value, value)
+    if isinstance(kind, TimestampNTZType):
+        return parse_timestamp(text, day_first)
+    if isinstance(kind, DateType):
+        return parse_timestamp(text, day_first).cast(kind)
+    return text.try_cast(kind)
+
+
+def _inferred(df: DataFrame, columns: list[str]) -> dict[str, DataType]:
+    """What the non-null values of text columns all are, in one pass: boolean, whole
+    number, double, or text. A number written with leading zeros is a code, hence text."""
+    if not columns:
+        return {}
+
+    def tests(name: str) -> Column:
+        text = F.trim(_quoted(name))
+        whole, real = text.try_cast("bigint"), text.try_cast("double")
+        return F.struct(
+            F.count(text).alias("n"),
+            F.count_if(F.lower(text).isin("true", "false")).alias("boolean"),
+            F.count(whole).alias("whole"),
+            F.count(real).alias("real"),
+            F.count_if(text.rlike(r"^[+-]?0\d")).alias("codes"),
+            F.coalesce(F.min(whole), F.lit(0)).alias("least"),
+            F.coalesce(F.max(whole), F.lit(0)).alias("most"),
+        )
+
+    seen = df.agg(*[tests(c).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    kinds: dict[str, DataType] = {}
+    for i, c in enumerate(columns):
+        t = seen[f"c{i}"]
+        if not t["n"] or t["codes"]:
+            kinds[c] = StringType()
+        elif t["boolean"] == t["n"]:
+            kinds[c] = BooleanType()
+        elif t["whole"] == t["n"]:
+            small = -(1 << 31) <= t["least"] and t["most"] < 1 << 31
+            kinds[c] = IntegerType() if small else LongType()
+        else:
+            kinds[c] = DoubleType() if t["real"] == t["n"] else StringType()
+    return kinds
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -33,15 +135,23 @@ def read_csv(
     multi_line: bool = False,
     null_tokens: Iterable[str] = NULL_TOKENS,
     infer: bool = False,
+    rejects: str | None = None,
+    file_position: bool = False,
+    day_first: bool = False,
     **options,
 ) -> DataFrame:
     """CSV with a header line, typed by ``schema``.
 
-    Columns are matched to the schema by their cleaned names, so their order and
-    any extra column are free. A column without a declared type is text, or with
-    ``infer`` what Spark makes of it in an extra pass over the file. A field that
-    does not fit its type is null, and so is each of ``null_tokens``. Other
-    keywords are Spark CSV options.
+    Columns are matched by their cleaned names in every file, so their order may differ
+    from file to file and from the schema, and a file may lack some; the first file's
+    spelling names the column. All fields are read as text, ``null_tokens`` become null,
+    and the rest is converted: whole numbers may be written ``1.0``, amounts must fit
+    their scale, dates have the forms of ``parse_timestamp``. A field that does not fit is
+    null, and ``rejects`` adds an array of the names of such fields to each row.
+
+    A column without a declared type is text, or with ``infer`` what all its values are,
+    found in an extra pass. ``file_position`` adds ``FILE_POSITION``. Other keywords are
+    Spark CSV options.
     """
 
     def reader():
@@ -53,20 +163,46 @@ def read_csv(
             .options(**options)
         )
 
-    # Without inference this reads the header line only.
-    found = _existing(path, lambda: reader().option("inferSchema", infer).csv(path)).schema
-    declared = {f.name: f.dataType for f in schema or []}
-    fields = [
-        StructField(f.name, declared.get(f.name.lower().strip().replace(" ", "_"), f.dataType))
-        for f in found
-    ]
-    read = reader().schema(StructType(fields))
-    df = _existing(path, lambda: read.csv(path))
+    spelled: dict[str, str] = {}
+    parts = []
+    for header, files in _groups(spark, path, reader):
+        clean = [_clean(c) for c in header]
+        if len(set(clean)) < len(clean):
+            raise ValueError(f"columns of {files[0]} have the same cleaned name: {header}")
+        for c, name in zip(clean, header):
+            spelled.setdefault(c, name)
+        text = StructType([StructField(c, StringType()) for c in header])
+        # Files are checked against the header they were grouped by.
+        part = reader().schema(text).option("enforceSchema", False).csv(files)
+        if file_position:
+            part = with_file_position(part)
+        # One by one by their place: the names may hold dots and quotes.
+        named = [spelled[c] for c in clean] + list(FILE_POSITION if file_position else ())
+        parts.append(part.toDF(*named))
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    fields = list(spelled.values())
+
     tokens = list(null_tokens)
-    texts = [f.name for f in fields if isinstance(f.dataType, StringType)]
-    if not tokens or not texts:
-        return df
-    return df.withColumns({c: F.when(~_quoted(c).isin(tokens), _quoted(c)) for c in texts})
+    if tokens and fields:
+        df = df.withColumns({c: F.when(~_quoted(c).isin(tokens), _quoted(c)) for c in fields})
+    declared = {_clean(f.name): f.dataType for f in schema or []}
+    undeclared = [c for c in fields if _clean(c) not in declared]
+    inferred = _inferred(df, undeclared) if infer else {}
+    kinds = {c: declared.get(_clean(c)) or inferred.get(c) or StringType() for c in fields}
+    converted = {
+        c: _convert(F.trim(_quoted(c)), kind, day_first)
+        for c, kind in kinds.items()
+        if not isinstance(kind, StringType)
+    }
+    if rejects:
+        lost = [
+            F.when(_quoted(c).isNotNull() & value.isNull(), F.lit(c)) for c, value in converted.items()
+        ]
+        names = F.array_compact(F.array(*lost)) if lost else F.array().cast("array<string>")
+        df = df.withColumns(converted | {_unused(rejects, df.columns): names})
+    else:
+        df = df.withColumns(converted)
+    return df
 
 
 def _quoted(name: str):
@@ -79,7 +215,7 @@ def with_file_position(df: DataFrame) -> DataFrame:
     Within a task rows are numbered as read, and a task reads the blocks of a file
     one after the other, so (file, block, number) is the order in the file.
     """
-    file, block, row = FILE_POSITION
+    file, block, row = (_unused(c, df.columns) for c in FILE_POSITION)
     return df.withColumns(
         {
             file: F.col("_metadata.file_path"),
@@ -121,7 +257,15 @@ def read_jdbc(
 def run_query(
     spark: SparkSession, query: str, tables: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:
-    """Result of a SQL query over catalogue tables and the given ones, by name."""
-    for name, df in (tables or {}).items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(query.strip().rstrip(";"))
+    """Result of a SQL query over catalogue tables and the given ones, by name.
+
+    A given table is named where it stands alone; as a prefix of a column give it an alias.
+    """
+    text = query.strip().rstrip(";")
+    if not tables:
+        return spark.sql(text)
+    # A frame handed to the session as an argument gets a view of its own for this one
+    # query, so views of the caller with the same name stay as they are.
+    names = "|".join(sorted(map(re.escape, tables), key=len, reverse=True))
+    marked = re.sub(rf"'[^']*'|(?<![\w.{{`])({names})(?![\w.`])", lambda m: f"{{{m[1]}}}" if m[1] else m[0].replace("{", "{{").replace("}", "}}"), text)
+    return spark.sql(marked, **tables)

@@ -14,10 +14,22 @@ def _local_base() -> str:
     return tempfile.mkdtemp(prefix="run-")
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the cluster's shared checkpoint folder.
+def run_folder(spark: SparkSession) -> str:
+    """The one folder that holds all scratch tables of this application.
 
-    Only a session that names no such folder (a local test) gets a local one.
+    It lies in the cluster's shared ``spark.checkpoint.dir``; whoever owns the run removes
+    it when the results are written. Only in local mode, where the executors are this
+    very process, may that be unset: a cluster would spread the rows over its disks.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _local_base()
-    return f"{base.rstrip('/')}/cartledger/{label}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set spark.checkpoint.dir to a shared folder to run on {master}")
+        base = _local_base()
+    return f"{base.rstrip('/')}/cartledger-{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the run's folder."""
+    return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"

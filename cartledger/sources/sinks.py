@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
+from threading import Thread
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -59,12 +60,15 @@ def write_bundle(spark: SparkSession, tables: Mapping[str, DataFrame], path: str
 class JdbcTarget:
     """Tables of a database reached over JDBC.
 
-    ``connections`` bounds how many tasks write at once.
+    ``connections`` bounds how many tasks write at once. ``truncate`` empties a table that
+    is replaced instead of dropping it, which keeps its columns, so only for loads whose
+    columns never change.
     """
 
     url: str
     properties: Mapping[str, str] = field(default_factory=dict)
     connections: int = 16
+    truncate: bool = False
 
     def options(self, table: str) -> dict[str, str]:
         return {
@@ -72,7 +76,7 @@ class JdbcTarget:
             "dbtable": table,
             "batchsize": str(INSERT_BATCH_ROWS),
             "numPartitions": str(self.connections),
-            "truncate": "true",
+            "truncate": str(self.truncate).lower(),
             **self.properties,
         }
 
@@ -118,17 +122,33 @@ class CatalogTarget:
 Target = JdbcTarget | CatalogTarget
 
 
-def load_table(df: DataFrame, target: Target, table: str, if_exists: str = "replace") -> int:
+#: Seconds to wait for the row count of a finished write.
+COUNT_WAIT = 60.0
+
+
+def _observed(written: Observation) -> int | None:
+    """The counted rows, or nothing where the write reports none in time."""
+    rows: list[int] = []
+    waiting = Thread(target=lambda: rows.append(written.get["rows"]), daemon=True)
+    waiting.start()
+    waiting.join(COUNT_WAIT)
+    return rows[0] if rows else None
+
+
+def load_table(
+    df: DataFrame, target: Target, table: str, if_exists: str = "replace"
+) -> int | None:
     """Load one table and return the rows written; any failure is raised.
 
-    The rows are counted by the write itself, so nothing is computed twice.
+    The rows are counted by the write itself, so nothing is computed twice. Nothing is
+    returned for a write that reports no count within ``COUNT_WAIT``.
     """
     if if_exists not in SAVE_MODES:
         raise ValueError(f"if_exists must be one of {sorted(SAVE_MODES)}, not {if_exists!r}")
     written = Observation()
     counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
     target.save(counted, table, SAVE_MODES[if_exists])
-    return written.get["rows"]
+    return _observed(written)
 
 
 def load_tables(

@@ -89,6 +89,6 @@ def test_jdbc_write_options():
         "dbtable": "t",
         "batchsize": "1000",
         "numPartitions": "4",
-        "truncate": "true",
+        "truncate": "false",
         "user": "u",
     }

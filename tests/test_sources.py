@@ -12,6 +12,7 @@ from cartledger.sources import (
     read_csv,
     read_parquet,
     run_query,
+    scratch_path,
     with_file_position,
 )
 from cartledger.sources.readers import read_jdbc
@@ -141,3 +142,69 @@ def test_jdbc_read_options():
         "upperBound": "100",
         "numPartitions": "8",
     }
+
+
+def test_columns_are_matched_by_name_in_every_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("seller_id,seller_city,seller_state\ns1,Lima,PE\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text("seller_state, Seller ID \nBR,s2\n", encoding="utf-8")
+    got = read_csv(spark, str(tmp_path), TABLES["sellers"].schema)
+    assert got.columns == ["seller_id", "seller_city", "seller_state"]
+    assert bag(got) == [("s1", "Lima", "PE"), ("s2", None, "BR")]
+
+
+def test_fields_that_do_not_fit_are_null_and_named(spark, tmp_path):
+    path = tmp_path / "items.csv"
+    path.write_text(
+        "order_id,order_item_id,price,freight_value\no1,1.0,12.30,1\no2,1.5,12.345,x\no3,NA,1e2,\n",
+        encoding="utf-8",
+    )
+    rows = read_csv(spark, str(path), TABLES["order_items"].schema, rejects="lost").collect()
+    assert [tuple(r) for r in rows] == [
+        ("o1", 1, Decimal("12.30"), Decimal("1.00"), []),
+        ("o2", None, None, None, ["order_item_id", "price", "freight_value"]),
+        ("o3", None, Decimal("100.00"), None, []),
+    ]
+
+
+def test_inference_looks_past_missing_words(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("n,zip,big,flag,mixed\n1,01310,5000000000,true,1\nNA,4,1,False,a\n3,5,NA,NA,2\n", encoding="utf-8")
+    typed = read_csv(spark, str(path), infer=True)
+    assert [t for _, t in typed.dtypes] == ["int", "string", "bigint", "boolean", "string"]
+    assert [r.n for r in typed.collect()] == [1, None, 3]
+
+
+def test_a_taken_helper_name_is_an_error(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("_row,lost\n1,2\n", encoding="utf-8")
+    with pytest.raises(ValueError):
+        read_csv(spark, str(path), file_position=True)
+    with pytest.raises(ValueError):
+        read_csv(spark, str(path), rejects="lost")
+
+
+def test_a_query_leaves_the_callers_views_alone(spark):
+    spark.range(3).createOrReplaceTempView("mine")
+    got = run_query(spark, "SELECT count(*) AS n, 'mine' AS mine_text FROM mine", {"mine": spark.range(7)})
+    assert tuple(got.first()) == (7, "mine")
+    assert spark.table("mine").count() == 3
+
+
+class Master:
+    """Stands in for a session on some master."""
+
+    def __init__(self, master, folder=None):
+        self.sparkContext = self
+        self.conf = self
+        self.master, self.folder, self.applicationId = master, folder, "app-1"
+
+    def get(self, name, default):
+        return self.folder or default
+
+
+def test_scratch_data_needs_a_shared_folder_on_a_cluster():
+    assert scratch_path(Master("yarn", "/shared/"), "t").startswith("/shared/cartledger-app-1/t-")
+    assert scratch_path(Master("local[4]"), "t")
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            scratch_path(Master(master), "t")
