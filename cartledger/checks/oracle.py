@@ -56,7 +56,7 @@ _CTES = {
                n_name AS seller_state
         FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
     "m_reviews": """
-        SELECT event_id AS review_id, event_id % 7500 AS order_id,
+        SELECT event_id AS review_id, (event_id // 2) * 3 AS order_id,
                CASE WHEN event_type = 'error' THEN NULL
                     ELSE CAST(1 + user_id % 5 AS INTEGER) END AS review_score,
                CASE event_type WHEN 'view' THEN '' WHEN 'click' THEN NULL
@@ -121,19 +121,24 @@ def _mean(x: str) -> str:
     return f"CAST(SUM({x}) AS DOUBLE) / NULLIF(COUNT({x}), 0)"
 
 
-def _days(later: str, earlier: str) -> str:
-    return f"((epoch_us({later}) - epoch_us({earlier})) / 86400000000.0)"
+def _micros(later: str, earlier: str) -> str:
+    return f"(epoch_us({later}) - epoch_us({earlier}))"
 
 
-_ARRIVAL = _days("order_delivered_customer_date", "order_purchase_timestamp")
-_EARLINESS = _days("order_estimated_delivery_date", "order_delivered_customer_date")
-_ANSWER = _days("review_answer_timestamp", "review_creation_date")
+def _mean_days(micros: str) -> str:
+    return f"(CAST(SUM({micros}) AS DOUBLE) / NULLIF(COUNT({micros}), 0) / 86400000000.0)"
+
+
+_ARRIVAL = _micros("order_delivered_customer_date", "order_purchase_timestamp")
+_EARLINESS = _micros("order_estimated_delivery_date", "order_delivered_customer_date")
+_ANSWER = _micros("review_answer_timestamp", "review_creation_date")
 
 
 def _share(part: str, whole: str) -> str:
     return f"100.0 * {part} / CAST({whole} AS DOUBLE)"
 
 
+# The thresholds, list lengths and statuses in the reports define them.
 _REPORTS = {
     "q01_category_sales": f"""
         WITH sales AS (
@@ -175,8 +180,8 @@ _REPORTS = {
             AND order_delivered_customer_date IS NOT NULL)
         SELECT order_status,
                COUNT(order_id) AS total_ordenes,
-               {_r2('AVG(taken)')} AS dias_entrega_promedio,
-               {_r2('AVG(early)')} AS diferencia_estimado_real,
+               {_r2(_mean_days('taken'))} AS dias_entrega_promedio,
+               {_r2(_mean_days('early'))} AS diferencia_estimado_real,
                COUNT(*) FILTER (WHERE early < 0) AS entregas_tarde,
                {_r2(_share('COUNT(*) FILTER (WHERE early < 0)', 'COUNT(order_id)'))}
                  AS porcentaje_tarde
@@ -203,7 +208,7 @@ _REPORTS = {
         WHERE categoria IS NOT NULL
         GROUP BY categoria, product_id
         QUALIFY ROW_NUMBER() OVER (
-          PARTITION BY categoria ORDER BY veces_vendido DESC, product_id) < 4
+          PARTITION BY categoria ORDER BY veces_vendido DESC, product_id) <= 3
         ORDER BY categoria, veces_vendido DESC, product_id""",
     "q06_payment_methods": f"""
         SELECT payment_type AS metodo_pago,
@@ -220,7 +225,7 @@ _REPORTS = {
                  CAST(date_part('month', order_purchase_timestamp) AS INTEGER) AS mes,
                  order_id, customer_id, total_payment
           FROM m_sales_summary
-          WHERE order_status = 'delivered' OR order_status = 'shipped')
+          WHERE order_status IN ('delivered', 'shipped'))
         SELECT "año", mes,
                COUNT(DISTINCT order_id) AS ordenes,
                COUNT(DISTINCT customer_id) AS clientes_unicos,
@@ -235,7 +240,7 @@ _REPORTS = {
                {_r2(_share('COUNT(review_id)', '(SELECT COUNT(review_id) FROM scored)'))}
                  AS porcentaje,
                COUNT(*) FILTER (WHERE review_comment_message <> '') AS reviews_con_comentario,
-               {_r2('AVG(answered)')} AS dias_promedio_respuesta
+               {_r2(_mean_days('answered'))} AS dias_promedio_respuesta
         FROM scored GROUP BY review_score ORDER BY review_score DESC""",
     "q09_top_customers": f"""
         WITH bought AS (
@@ -252,12 +257,13 @@ _REPORTS = {
           FROM bought GROUP BY customer_id)
         SELECT totals.*, customer_city, customer_state
         FROM totals JOIN m_customers USING (customer_id)
-        WHERE total_ordenes > 1
+        WHERE total_ordenes >= 2
         ORDER BY lifetime_value DESC NULLS FIRST, customer_id LIMIT 20""",
     "q10_freight_by_state": f"""
         WITH shipped AS (
           SELECT customer_state AS estado, order_id, freight_value,
-                 CAST(freight_value AS DOUBLE) / NULLIF(CAST(price AS DOUBLE), 0) AS part
+                 CAST(CAST(freight_value AS DOUBLE) / NULLIF(CAST(price AS DOUBLE), 0)
+                      AS DECIMAL(20,12)) AS part
           FROM m_items JOIN m_orders USING (order_id) JOIN m_customers USING (customer_id)
           WHERE freight_value > 0 AND order_status = 'delivered')
         SELECT estado,
@@ -266,7 +272,7 @@ _REPORTS = {
                {_r2('MIN(freight_value)')} AS costo_envio_minimo,
                {_r2('MAX(freight_value)')} AS costo_envio_maximo,
                {_r2('SUM(freight_value)')} AS costo_envio_total,
-               {_r2('100.0 * AVG(part)')} AS porcentaje_envio_vs_precio
+               {_r2('100.0 * ' + _mean('part'))} AS porcentaje_envio_vs_precio
         FROM shipped GROUP BY estado HAVING COUNT(DISTINCT order_id) >= 50
         ORDER BY costo_envio_promedio DESC NULLS FIRST, estado""",
     "q11_cohort_retention": f"""
@@ -304,7 +310,7 @@ def _dashboard(copies: str) -> str:
                 FROM m_items SEMI JOIN delivered USING (order_id)) AS total_productos,
                revenue_total,
                {_r2('revenue_total / NULLIF(total_ordenes, 0)')} AS ticket_promedio,
-               (SELECT {_r2(f'AVG({_ARRIVAL})')} FROM m_orders
+               (SELECT {_r2(_mean_days(_ARRIVAL))} FROM m_orders
                 WHERE order_status = 'delivered') AS avg_delivery_days,
                (SELECT {_r2(_mean('review_score'))} FROM m_reviews) AS avg_rating
         FROM figures"""
@@ -407,12 +413,77 @@ _DIRTY_PARTS = """
            CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) END AS size,
            CASE WHEN p_partkey % 7 = 0 THEN NULL
                 ELSE CAST(p_retailprice AS DECIMAL(18,2)) END AS price,
+           p_partkey + 9007199254740992 AS ean,
            CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE p_brand END AS brand
     FROM part"""
 
+
+
+def _soiled(table: str, key: str, **changes: str) -> str:
+    """The table, and every fifth key once more with other values."""
+    key = key.split(",")[0]
+    replaced = ", ".join(f"{value} AS {c}" for c, value in changes.items())
+    return f"""SELECT * FROM {table} UNION ALL
+        SELECT * REPLACE ({replaced}) FROM {table} WHERE {key} % 5 = 0"""
+
+
+def _first(table: str, keys: str, columns: str) -> str:
+    """The least row of each key, by the other columns in their order, nulls before all."""
+    order = ", ".join(f"{c.strip()} NULLS FIRST" for c in columns.split(","))
+    return f"""SELECT * FROM {table}
+        QUALIFY ROW_NUMBER() OVER (PARTITION BY {keys} ORDER BY {order}) = 1"""
+
+
+_RUN = {
+    "customers": ("m_customers", "m_customers"),
+    "orders": ("m_orders", "m_orders"),
+    "order_items": ("m_items", "(SELECT DISTINCT * FROM m_items)"),
+    "products": ("m_raw_products", "m_products"),
+    "sellers": ("m_sellers", "m_sellers"),
+    "payments": ("m_payments", "m_payments"),
+    "reviews": ("m_reviews", "m_reviews"),
+}
+
+
+def _phases() -> str:
+    """Rows in and out of each phase of a run that exports Parquet."""
+    n = "CAST((SELECT COUNT(*) FROM {}) AS {})".format
+    rows = []
+    for name, (raw, cleaned) in _RUN.items():
+        rows += [
+            f"SELECT 'extract' AS step, '{name}' AS \"table\", NULL AS rows_in, {n(raw, 'BIGINT')} AS rows_out",
+            f"SELECT 'clean', '{name}', {n(raw, 'DOUBLE')}, {n(cleaned, 'BIGINT')}",
+            f"SELECT 'export_parquet', '{name}', {n(cleaned, 'DOUBLE')}, {n(cleaned, 'BIGINT')}",
+        ]
+    rows += [
+        f"SELECT 'extract', 'category_translation', NULL, {n('m_translation', 'BIGINT')}",
+        f"SELECT 'summarise', 'sales_summary', {n('m_orders', 'DOUBLE')}, {n('m_orders', 'BIGINT')}",
+        f"SELECT 'export_parquet', 'sales_summary', {n('m_orders', 'DOUBLE')}, {n('m_orders', 'BIGINT')}",
+    ]
+    return "\nUNION ALL\n".join(rows)
+
+
 _OPERATORS = {
     "src_csv": "SELECT * FROM m_customers",
     "src_parquet": f"SELECT {_ITEMS} FROM m_items",
+    "src_csv_mixed": "SELECT * FROM m_customers",
+    "src_csv_dirty": """
+        SELECT order_id,
+               CASE WHEN order_id % 5 = 0 OR order_id % 7 = 0 THEN NULL
+                    ELSE CAST(customer_id AS DOUBLE) END AS customer_id,
+               CASE WHEN order_id % 97 <> 0 THEN order_purchase_timestamp END
+                 AS order_purchase_timestamp,
+               concat_ws(',', CASE WHEN order_id % 5 <> 0 AND order_id % 7 = 0
+                                   THEN 'customer_id' END,
+                              CASE WHEN order_id % 97 = 0 THEN 'order_purchase_timestamp' END)
+                 AS misfits
+        FROM m_orders""",
+    "src_catalog_types": """
+        SELECT (SELECT COUNT(*) FROM part) AS "rows", "column", "type"
+        FROM (VALUES ('product_id', 'string'), ('product_category_name', 'string'),
+                     ('product_height_cm', 'int'), ('product_weight_g', 'double'),
+                     ('product_code', 'string'), ('product_photos_qty', 'int'),
+                     ('product_ean', 'bigint')) t("column", "type")""",
     "src_catalog": _counts(
         {
             "customers": "m_customers",
@@ -434,9 +505,7 @@ _OPERATORS = {
                       SELECT order_id, payment_sequential, payment_type, payment_installments,
                         CAST(payment_value AS DOUBLE) AS payment_value FROM m_payments""",
     "snk_csv": _SUMMARY_RAW,
-    "snk_bundle": _counts(
-        {"orders": "m_orders", "products": "m_products", "customers": "m_customers"}
-    ),
+    "snk_bundle": 'SELECT *, COUNT(*) OVER () AS "rows" FROM m_customers',
     "snk_table": "SELECT * FROM m_sellers",
     "snk_table_many": """SELECT 'customers' AS "table", TRUE AS ok,
                                 CAST(COUNT(*) AS DOUBLE) AS "rows" FROM m_customers UNION ALL
@@ -450,17 +519,18 @@ _OPERATORS = {
                       CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_orderdate END
                         AS order_purchase_timestamp
                     FROM orders""",
-    "cln_null_drop": f"""SELECT p_partkey, size, CAST(price AS DOUBLE) AS price, brand
+    "cln_null_drop": f"""SELECT p_partkey, size, CAST(price AS DOUBLE) AS price, ean, brand
         FROM ({_DIRTY_PARTS}) WHERE size IS NOT NULL AND price IS NOT NULL
           AND brand IS NOT NULL""",
     "cln_null_zero": f"""SELECT p_partkey, COALESCE(size, 0) AS size,
-          CAST(COALESCE(price, 0) AS DOUBLE) AS price, brand FROM ({_DIRTY_PARTS})""",
+          CAST(COALESCE(price, 0) AS DOUBLE) AS price, ean, brand FROM ({_DIRTY_PARTS})""",
     "cln_null_mean": f"""WITH d AS ({_DIRTY_PARTS})
         SELECT p_partkey,
                COALESCE(size, (SELECT SUM(size) / COUNT(size) FROM d)) AS size,
                COALESCE(CAST(price AS DOUBLE),
-                        (SELECT CAST(SUM(price) AS DOUBLE) / COUNT(price) FROM d)) AS price,
-               brand
+                        (SELECT CAST(CAST(CAST(SUM(price) AS DOUBLE) / COUNT(price)
+                                          AS DECIMAL(38,8)) AS DOUBLE) FROM d)) AS price,
+               ean, brand
         FROM d""",
     "cln_null_mode": f"""WITH d AS ({_DIRTY_PARTS}),
         top AS (SELECT brand FROM d WHERE brand IS NOT NULL GROUP BY brand
@@ -468,7 +538,8 @@ _OPERATORS = {
         top_size AS (SELECT size FROM d WHERE size IS NOT NULL GROUP BY size
                      ORDER BY COUNT(*) DESC, size LIMIT 1)
         SELECT p_partkey, COALESCE(size, (SELECT size FROM top_size)) AS size,
-               CAST(price AS DOUBLE) AS price, COALESCE(brand, (SELECT brand FROM top)) AS brand
+               CAST(price AS DOUBLE) AS price, ean,
+               COALESCE(brand, (SELECT brand FROM top)) AS brand
         FROM d""",
     "cln_dedup_row": f"SELECT {_ORDERS} FROM m_orders",
     "cln_dedup_key": """
@@ -498,6 +569,22 @@ _OPERATORS = {
                CAST(freight_value AS DOUBLE) AS freight_value, product_category_name
         FROM m_orders o JOIN m_items i ON o.order_id = i.order_id
         LEFT JOIN m_raw_products p ON i.product_id = p.product_id""",
+    "jn_orders_items_skewed": f"""
+        WITH skewed AS (
+          SELECT * REPLACE (CASE WHEN order_item_id % 3 = 0 THEN 6 ELSE order_id END AS order_id)
+          FROM m_items)
+        SELECT {', '.join('o.' + c.strip() for c in _ORDERS.split(','))}, order_item_id, product_id, seller_id,
+               CAST(price AS DOUBLE) AS price, CAST(freight_value AS DOUBLE) AS freight_value
+        FROM m_orders o JOIN skewed i ON o.order_id = i.order_id""",
+    "jn_products_skewed": f"""
+        WITH skewed AS (
+          SELECT * REPLACE (CASE WHEN order_item_id % 3 = 0 THEN 6 ELSE product_id END AS product_id)
+          FROM m_items)
+        SELECT i.product_id, {', '.join('o.' + c.strip() for c in _ORDERS.split(','))}, order_item_id, seller_id,
+               CAST(price AS DOUBLE) AS price, CAST(freight_value AS DOUBLE) AS freight_value,
+               product_category_name
+        FROM m_orders o JOIN skewed i ON o.order_id = i.order_id
+        LEFT JOIN m_raw_products p ON i.product_id = p.product_id""",
     "jn_translate": """SELECT product_id, product_category_name, product_category_name_english
                        FROM m_products""",
     "agg_items_per_order": """SELECT order_id, total_items,
@@ -513,15 +600,32 @@ _OPERATORS = {
         LEFT JOIN m_raw_products p ON i.product_id = p.product_id
         GROUP BY product_category_name""",
     "mart_sales_summary": _SUMMARY,
-    "mart_orders": _DERIVED,
-    "mart_customers": "SELECT * FROM m_customers",
-    "mart_products": "SELECT * FROM m_products",
-    "mart_order_items": f"SELECT {_ITEMS} FROM (SELECT DISTINCT * FROM m_items)",
+    "mart_orders": f"""WITH soiled AS ({_soiled('m_orders', 'order_id', customer_id='1099511627776')}),
+        first AS ({_first('soiled', 'order_id', 'customer_id, order_status')}),
+        cleaned AS (
+          SELECT * REPLACE (CASE WHEN order_id % 97 <> 0 THEN order_purchase_timestamp END
+                            AS order_purchase_timestamp) FROM first),
+        derived AS ({_CTES['m_derived_orders'].replace('m_orders', 'cleaned')})
+        SELECT * REPLACE (CAST(delivery_time_days AS DOUBLE) AS delivery_time_days,
+                          CAST(delivery_delay_days AS DOUBLE) AS delivery_delay_days)
+        FROM derived""",
+    "mart_customers": f"""WITH soiled AS ({_soiled('m_customers', 'customer_id', customer_city="'zz'")})
+        {_first('soiled', 'customer_id', 'customer_city, customer_state')}""",
+    "mart_products": f"""
+        WITH soiled AS ({_soiled('m_raw_products', 'product_id', product_category_name="'zz'")}),
+        first AS ({_first('soiled', 'product_id', 'product_category_name')})
+        SELECT first.*, product_category_name_english
+        FROM first LEFT JOIN m_translation USING (product_category_name)""",
+    "mart_order_items": f"""WITH twice AS (
+          SELECT * FROM m_items UNION ALL SELECT * FROM m_items WHERE order_id % 5 = 0)
+        SELECT {_ITEMS} FROM (SELECT DISTINCT * FROM twice)""",
     "mart_payments": """SELECT order_id, payment_sequential, payment_type, payment_installments,
                           CAST(payment_value AS DOUBLE) AS payment_value FROM m_payments""",
-    "mart_reviews": """SELECT * REPLACE (CAST(review_score AS DOUBLE) AS review_score)
-                       FROM m_reviews""",
-    "mart_sellers": "SELECT * FROM m_sellers",
+    "mart_reviews": f"""WITH soiled AS ({_soiled('m_reviews', 'review_id', review_score='9')}),
+        first AS ({_first('soiled', 'review_id, order_id', 'review_score, review_comment_message')})
+        SELECT * REPLACE (CAST(review_score AS DOUBLE) AS review_score) FROM first""",
+    "mart_sellers": f"""WITH soiled AS ({_soiled('m_sellers', 'seller_id', seller_city="'zz'")})
+        {_first('soiled', 'seller_id', 'seller_city, seller_state')}""",
     "prf_quality": _profile("m_sales_summary", _SUMMARY_TYPES),
     "prf_quality_lineitem": _profile("lineitem", _LINEITEM_TYPES),
     "prf_table_info": _info("sales_summary", _SUMMARY_TYPES),
@@ -542,18 +646,8 @@ _OPERATORS = {
         UNION ALL
         SELECT 'drop_duplicate_keys', 'order_items', COUNT(*),
                COUNT(DISTINCT (order_id, order_item_id)) FROM m_items""",
-    "etl_full": _counts(
-        {
-            "orders": "m_orders",
-            "customers": "m_customers",
-            "products": "m_products",
-            "order_items": "(SELECT DISTINCT * FROM m_items)",
-            "payments": "m_payments",
-            "reviews": "m_reviews",
-            "sellers": "m_sellers",
-            "sales_summary": "m_orders",
-        }
-    ),
+    "etl_full": _SUMMARY,
+    "aud_run": _phases(),
 }
 
 

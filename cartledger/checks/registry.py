@@ -14,9 +14,11 @@ from pyspark.sql.types import DecimalType
 
 from cartledger.operators import aggregates, cleaning, derive, joins
 from cartledger.plans import etl, marts, quality, star_mapping as star
+from cartledger.operators.skew import SkewPolicy
 from cartledger.plans.audit import AuditLog
 from cartledger.plans.reports import REPORTS
 from cartledger.sources import (
+    REJECTED,
     TABLES,
     read_catalog,
     read_csv,
@@ -109,7 +111,9 @@ def _snk_bundle(spark, sf_dir):
     loaded = star.LoadedTables(spark, sf_dir)
     chosen = {name: loaded[name] for name in ("orders", "products", "customers")}
     manifest = sinks.write_bundle(spark, chosen, scratch_path(spark, "snk_bundle"))
-    return manifest.select("table", "rows")
+    # Customers are read back through the manifest, each beside the rows it states.
+    entry = manifest.filter(F.col("table") == "customers").first()
+    return read_parquet(spark, entry["path"]).withColumn("rows", F.lit(entry["rows"]))
 
 
 def _target(spark, label) -> sinks.CatalogTarget:
@@ -162,6 +166,61 @@ def _cat_row_count(spark, sf_dir):
     return sinks.row_count(spark, target, table)
 
 
+def _src_csv_mixed(spark, sf_dir):
+    """Two kinds of files in one folder, with their columns in different order."""
+    customers = star.customers(spark, sf_dir)
+    path = scratch_path(spark, "src_csv_mixed")
+    even = F.col("customer_id") % 2 == 0
+    sinks.write_csv(customers.filter(even), path)
+    turned = customers.filter(~even).select(*reversed(customers.columns))
+    sinks.write_csv(turned.toDF(*[f" {c.upper()} " for c in turned.columns]), path, "append")
+    return cleaning.clean_names(read_csv(spark, path, customers.schema))
+
+
+def _src_csv_dirty(spark, sf_dir):
+    """Dates in three forms, whole numbers with a decimal point, missing words, misfits."""
+    orders = star.orders(spark, sf_dir)
+    key, bought = F.col("order_id"), F.col("order_purchase_timestamp")
+    written = (
+        F.when(key % 97 == 0, "no date")
+        .when(key % 3 == 0, F.date_format(bought, "MM/dd/yyyy HH:mm"))
+        .when(key % 3 == 1, F.date_format(bought, "MMM d, yyyy HH:mm:ss"))
+        .otherwise(bought.cast("string"))
+    )
+    dirty = orders.select(
+        F.concat(key.cast("string"), F.lit(".0")).alias("order_id"),
+        F.when(key % 5 == 0, "NA").when(key % 7 == 0, "1.5").otherwise(F.col("customer_id").cast("string")).alias("customer_id"),
+        written.alias("order_purchase_timestamp"),
+    )
+    path = scratch_path(spark, "src_csv_dirty")
+    sinks.write_csv(dirty, path)
+    schema = orders.select("order_id", "customer_id", "order_purchase_timestamp").schema
+    read = read_csv(spark, path, schema, rejects=REJECTED)
+    fields = F.array_join(REJECTED, ",").alias("misfits")
+    return read.select("order_id", F.col("customer_id").cast("double"), "order_purchase_timestamp", fields)
+
+
+def _src_catalog_types(spark, sf_dir):
+    """Types of the product file's columns, most of them not declared."""
+    root = scratch_path(spark, "source_types")
+    parts = star.read_star(spark, sf_dir, "part")
+    sinks.write_csv(
+        parts.select(
+            F.col("p_partkey").alias("product_id"),
+            F.col("p_type").alias("product_category_name"),
+            F.col("p_size").alias("product_height_cm"),
+            F.col("p_retailprice").alias("product_weight_g"),
+            F.lpad(F.col("p_partkey").cast("string"), 9, "0").alias("product_code"),
+            F.when(F.col("p_size") % 2 == 0, "NA").otherwise("7").alias("product_photos_qty"),
+            (F.col("p_partkey") + (1 << 40)).alias("product_ean"),
+        ),
+        f"{root}/{TABLES['products'].stem}.csv",
+    )
+    products = read_catalog(spark, root, infer=True).tables["products"]
+    kinds = F.array(*[F.struct(F.lit(n).alias("column"), F.lit(k).alias("type")) for n, k in products.dtypes])
+    return products.agg(F.count(F.lit(1)).alias("rows")).select("rows", F.inline(kinds))
+
+
 # --- cleaning and derivation ------------------------------------------------------
 
 
@@ -189,6 +248,7 @@ def _gappy_parts(spark, sf_dir) -> DataFrame:
         key,
         F.when(key % 10 != 0, F.col("p_size").cast("double")).alias("size"),
         F.when(key % 7 != 0, F.col("p_retailprice").cast("decimal(18,2)")).alias("price"),
+        (key + (1 << 53)).alias("ean"),
         F.when(key % 10 != 0, F.col("p_brand")).alias("brand"),
     )
 
@@ -221,6 +281,69 @@ def _agg_by_category(spark, sf_dir):
     return _doubles(aggregates.sales_by_category(sold))
 
 
+def _untidy(df: DataFrame) -> DataFrame:
+    return df.toDF(*[f" {c.replace('_', ' ').title()} " for c in df.columns])
+
+
+def _with_copies(df: DataFrame, key: str, changes: dict[str, object]) -> DataFrame:
+    """Every fifth key once more, with other values that sort after its own."""
+    again = df.filter(F.col(key) % 5 == 0)
+    return df.unionByName(again.withColumns({c: F.lit(v).cast(df.schema[c].dataType) for c, v in changes.items()}))
+
+
+def _dates_as_text(df: DataFrame, *columns: str) -> DataFrame:
+    """Dates as text in two forms."""
+    key = F.col(df.columns[0])
+    return df.withColumns(
+        {
+            c: F.when(key % 3 == 0, F.date_format(c, "yyyy/MM/dd HH:mm:ss.SSSSSS")).otherwise(F.col(c).cast("string"))
+            for c in columns
+        }
+    )
+
+
+def _dirty_orders(spark, sf_dir):
+    orders = _with_copies(star.orders(spark, sf_dir), "order_id", {"customer_id": 1 << 40})
+    text = _dates_as_text(orders, *[c for c in derive.ORDER_DATES if c in orders.columns])
+    bad = F.when(F.col("order_id") % 97 == 0, "bad").otherwise(F.col("order_purchase_timestamp"))
+    return _untidy(text.withColumn("order_purchase_timestamp", bad))
+
+
+def _mart_orders(spark, sf_dir):
+    return _doubles(marts.orders(_dirty_orders(spark, sf_dir)), *NULLABLE_DAYS)
+
+
+def _mart_customers(spark, sf_dir):
+    dirty = _with_copies(star.customers(spark, sf_dir), "customer_id", {"customer_city": "zz"})
+    return marts.customers(_untidy(dirty))
+
+
+def _mart_sellers(spark, sf_dir):
+    dirty = _with_copies(star.sellers(spark, sf_dir), "seller_id", {"seller_city": "zz"})
+    return marts.sellers(_untidy(dirty))
+
+
+def _mart_products(spark, sf_dir):
+    dirty = _with_copies(
+        star.raw_products(spark, sf_dir), "product_id", {"product_category_name": "zz"}
+    )
+    return marts.products(_untidy(dirty), _untidy(star.category_translation(spark, sf_dir)))
+
+
+def _mart_order_items(spark, sf_dir):
+    items = star.order_items(spark, sf_dir)
+    return _doubles(marts.order_items(_untidy(items.unionByName(items.filter(F.col("order_id") % 5 == 0)))))
+
+
+def _mart_payments(spark, sf_dir):
+    return _doubles(marts.payments(_untidy(star.payments(spark, sf_dir))))
+
+
+def _mart_reviews(spark, sf_dir):
+    dirty = _with_copies(star.reviews(spark, sf_dir), "review_id", {"review_score": 9})
+    return _doubles(marts.reviews(_untidy(_dates_as_text(dirty, *marts.REVIEW_DATES))), "review_score")
+
+
 def _mart_sales_summary(spark, sf_dir):
     return _doubles(
         marts.sales_summary(
@@ -233,6 +356,27 @@ def _mart_sales_summary(spark, sf_dir):
     )
 
 
+#: Small enough that a third of the rows is hot, is split, and no side is broadcast.
+_EAGER = SkewPolicy(share=1 / 4, min_rows=100, rows_per_part=500, broadcast_rows=0)
+
+
+def _skewed_items(spark, sf_dir, key: str):
+    """A third of all items on one key."""
+    value = F.when(F.col("order_item_id") % 3 == 0, F.lit(6).cast("bigint")).otherwise(F.col(key))
+    return star.order_items(spark, sf_dir).withColumn(key, value)
+
+
+def _jn_orders_items_skewed(spark, sf_dir):
+    items = _skewed_items(spark, sf_dir, "order_id")
+    return _doubles(joins.orders_with_items(star.orders(spark, sf_dir), items, policy=_EAGER))
+
+
+def _jn_products_skewed(spark, sf_dir):
+    items = _skewed_items(spark, sf_dir, "product_id")
+    products = star.raw_products(spark, sf_dir)
+    return _doubles(joins.orders_items_products(star.orders(spark, sf_dir), items, products, _EAGER))
+
+
 def _prf_quality(spark, sf_dir):
     path = scratch_path(spark, "prf_quality")
     sinks.write_parquet(star.LoadedTables(spark, sf_dir)["sales_summary"], path)
@@ -268,14 +412,24 @@ def _aud_counts(spark, sf_dir):
     return audit.counts().select("step", "table", "rows_in", "rows_out")
 
 
-def _etl_full(spark, sf_dir):
+def _run(spark, sf_dir, export: str) -> etl.EtlResult:
     cfg = etl.EtlConfig(
-        source=_write_sources(spark, sf_dir),
-        output=scratch_path(spark, "etl"),
-        export="all",
-        target=None,
+        source=_write_sources(spark, sf_dir), output=scratch_path(spark, "etl"), export=export
     )
-    return etl.run(spark, cfg).summary
+    return etl.run(spark, cfg)
+
+
+def _etl_full(spark, sf_dir):
+    """The sales mart of a whole run, read back from its output."""
+    summary = _run(spark, sf_dir, "all").tables["sales_summary"]
+    ids = {c: F.col(c).cast("bigint") for c in ("order_id", "customer_id")}
+    return _doubles(summary.withColumns(ids), *NULLABLE_DAYS, "total_items")
+
+
+def _aud_run(spark, sf_dir):
+    """Each phase of a run with the rows it took and gave."""
+    audit = _run(spark, sf_dir, "parquet").audit
+    return _doubles(audit.select("step", "table", "rows_in", "rows_out"), "rows_in")
 
 
 def queries() -> dict[str, Query]:
@@ -283,7 +437,10 @@ def queries() -> dict[str, Query]:
         **{name: _report(report) for name, report in REPORTS.items()},
         "src_csv": _src_csv,
         "src_parquet": _src_parquet,
+        "src_csv_mixed": _src_csv_mixed,
+        "src_csv_dirty": _src_csv_dirty,
         "src_catalog": _src_catalog,
+        "src_catalog_types": _src_catalog_types,
         "src_query": _src_query,
         "snk_parquet": _snk_parquet,
         "snk_csv": _snk_csv,
@@ -296,7 +453,7 @@ def queries() -> dict[str, Query]:
         "cln_dates": _cln_dates,
         "cln_null_drop": _gappy(cleaning.drop_nulls, ["size", "price", "brand"]),
         "cln_null_zero": _gappy(cleaning.fill_zero, ["size", "price", "brand"]),
-        "cln_null_mean": _gappy(cleaning.fill_mean, ["size", "price", "brand"]),
+        "cln_null_mean": _gappy(cleaning.fill_mean),
         "cln_null_mode": _gappy(cleaning.fill_mode, ["size", "brand"]),
         "cln_dedup_row": _cln_dedup_row,
         "cln_dedup_key": _cln_dedup_key,
@@ -321,6 +478,8 @@ def queries() -> dict[str, Query]:
         "jn_orders_items_products": _mapped(
             joins.orders_items_products, "orders", "order_items", "raw_products"
         ),
+        "jn_orders_items_skewed": _jn_orders_items_skewed,
+        "jn_products_skewed": _jn_products_skewed,
         "jn_translate": _mapped(
             joins.translate_categories, "raw_products", "category_translation"
         ),
@@ -328,17 +487,18 @@ def queries() -> dict[str, Query]:
         "agg_payments_per_order": _mapped(aggregates.payments_per_order, "payments"),
         "agg_by_category": _agg_by_category,
         "mart_sales_summary": _mart_sales_summary,
-        "mart_orders": _mapped(marts.orders, "orders", nullable=NULLABLE_DAYS),
-        "mart_customers": _mapped(marts.customers, "customers"),
-        "mart_products": _mapped(marts.products, "raw_products", "category_translation"),
-        "mart_order_items": _mapped(marts.order_items, "order_items"),
-        "mart_payments": _mapped(marts.payments, "payments"),
-        "mart_reviews": _mapped(marts.reviews, "reviews", nullable=["review_score"]),
-        "mart_sellers": _mapped(marts.sellers, "sellers"),
+        "mart_orders": _mart_orders,
+        "mart_customers": _mart_customers,
+        "mart_products": _mart_products,
+        "mart_order_items": _mart_order_items,
+        "mart_payments": _mart_payments,
+        "mart_reviews": _mart_reviews,
+        "mart_sellers": _mart_sellers,
         "prf_quality": _prf_quality,
         "prf_quality_lineitem": _prf_quality_lineitem,
         "prf_table_info": _prf_table_info,
         "prf_run_summary": _prf_run_summary,
         "aud_counts": _aud_counts,
+        "aud_run": _aud_run,
         "etl_full": _etl_full,
     }

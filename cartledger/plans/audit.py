@@ -8,6 +8,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from cartledger.sources.readers import REJECTED
+
 
 def _rows(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
@@ -19,20 +21,46 @@ class AuditLog:
     they are read off the file footers and cannot be inflated by a retried task."""
 
     entries: list[DataFrame] = field(default_factory=list)
+    rejections: list[DataFrame] = field(default_factory=list)
+
+    def record(
+        self, step: str, table: str, before: DataFrame | None, after: DataFrame | int | None
+    ) -> None:
+        """A step from one stored table to another; ``after`` may be a known number of rows.
 
-    def record(self, step: str, table: str, before: DataFrame, after: DataFrame) -> None:
+        Without ``before`` the step began outside. Where the table written has the column
+        ``REJECTED``, the values that did not fit their type are counted by column.
+        """
         now = datetime.now(timezone.utc).replace(tzinfo=None)
-        counted = _rows(after, "rows_out").select(
-            F.lit(len(self.entries)).alias("position"),
-            F.lit(now).cast("timestamp_ntz").alias("ts"),
-            F.lit(step).alias("step"),
-            F.lit(table).alias("table"),
-            _rows(before, "rows_in").scalar().alias("rows_in"),
-            "rows_out",
+        read = F.lit(None).cast("bigint") if before is None else _rows(before, "n").scalar()
+        if isinstance(after, DataFrame):
+            counted = _rows(after, "rows_out")
+        else:
+            counted = before.sparkSession.range(1).select(
+                F.lit(after).cast("bigint").alias("rows_out")
+            )
+        self.entries.append(
+            counted.select(
+                F.lit(len(self.entries)).alias("position"),
+                F.lit(now).cast("timestamp_ntz").alias("ts"),
+                F.lit(step).alias("step"),
+                F.lit(table).alias("table"),
+                read.alias("rows_in"),
+                "rows_out",
+            )
         )
-        self.entries.append(counted)
+        if isinstance(after, DataFrame) and REJECTED in after.columns:
+            self.rejections.append(
+                after.select(F.explode(REJECTED).alias("column")).groupBy("column")
+                .agg(F.count(F.lit(1)).alias("rejected"))
+                .select(F.lit(step).alias("step"), F.lit(table).alias("table"), "column", "rejected")
+            )
 
     def counts(self) -> DataFrame:
         """One row per step, with the rows it removed or added."""
         log = reduce(DataFrame.unionByName, self.entries)
         return log.withColumn("removed", F.col("rows_in") - F.col("rows_out"))
+
+    def rejected(self) -> DataFrame | None:
+        """(step, table, column, rejected): values lost for not fitting their type."""
+        return reduce(DataFrame.unionByName, self.rejections) if self.rejections else None

@@ -15,7 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from cartledger.plans import marts
 from cartledger.plans.audit import AuditLog
 from cartledger.plans.quality import quality_report, run_summary
-from cartledger.sources import read_catalog, read_parquet, with_file_position
+from cartledger.sources import (
+    REJECTED,
+    read_catalog,
+    read_csv,
+    read_parquet,
+    with_file_position,
+)
 from cartledger.sources.sinks import (
     Target,
     load_tables,
@@ -25,6 +31,7 @@ from cartledger.sources.sinks import (
 )
 
 EXPORT_FORMATS = ("csv", "parquet", "bundle", "all")
+# The tables of the bundle.
 BUNDLE_TABLES = ("orders", "sales_summary", "products", "customers")
 
 
@@ -36,6 +43,8 @@ class EtlConfig:
     source_format: str = "csv"
     export: str = "csv"
     target: Target | None = None
+    infer: bool = False
+    day_first: bool = False
 
     def __post_init__(self):
         if self.export not in EXPORT_FORMATS:
@@ -47,6 +56,7 @@ class EtlResult:
     tables: dict[str, DataFrame]
     missing: list[str]
     audit: DataFrame
+    rejected: DataFrame | None
     summary: DataFrame
     quality: DataFrame | None
     loads: DataFrame | None
@@ -58,15 +68,26 @@ def _store(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return read_parquet(spark, path)
 
 
-def extract(spark: SparkSession, cfg: EtlConfig) -> tuple[dict[str, DataFrame], list[str]]:
-    """Land the source tables as Parquet, each row with its place in the file."""
-    found = read_catalog(spark, cfg.source, cfg.prefix, fmt=cfg.source_format)
+def extract(
+    spark: SparkSession, cfg: EtlConfig, audit: AuditLog
+) -> tuple[dict[str, DataFrame], list[str]]:
+    """Land the source tables as Parquet, each row with its place in the file.
+
+    From CSV each row also names its fields that did not fit their type; the audit counts
+    them. Types that are not declared are inferred here, once, if asked for.
+    """
+    csv = cfg.source_format == "csv"
+    options = {"infer": cfg.infer, "day_first": cfg.day_first, "rejects": REJECTED, "file_position": True}
+    found = read_catalog(
+        spark, cfg.source, cfg.prefix, fmt=cfg.source_format, **(options if csv else {})
+    )
     if not found.tables:
         raise FileNotFoundError(f"no known table under {cfg.source}")
-    landed = {
-        name: _store(spark, with_file_position(df), f"{cfg.output}/landing/{name}")
-        for name, df in found.tables.items()
-    }
+    landed = {}
+    for name, df in found.tables.items():
+        placed = df if csv else with_file_position(df)
+        landed[name] = _store(spark, placed, f"{cfg.output}/landing/{name}")
+        audit.record("extract", name, None, landed[name])
     return landed, found.missing
 
 
@@ -86,26 +107,34 @@ def transform(
 
 
 def load(
-    spark: SparkSession, cfg: EtlConfig, tables: dict[str, DataFrame]
+    spark: SparkSession, cfg: EtlConfig, tables: dict[str, DataFrame], audit: AuditLog
 ) -> tuple[DataFrame | None, DataFrame | None]:
     """Export the tables, profile the sales mart, and fill the database if there is one."""
     reports = f"{cfg.output}/reports"
     if cfg.export in ("csv", "all"):
         for name, df in tables.items():
             write_csv(df, f"{reports}/csv/{name}")
+            written = read_csv(spark, f"{reports}/csv/{name}", multi_line=True)
+            audit.record("export_csv", name, df, written)
     if cfg.export in ("parquet", "all"):
         for name, df in tables.items():
-            write_parquet(df, f"{reports}/parquet/{name}")
+            written = _store(spark, df, f"{reports}/parquet/{name}")
+            audit.record("export_parquet", name, df, written)
     if cfg.export in ("bundle", "all"):
         chosen = {name: tables[name] for name in BUNDLE_TABLES if name in tables}
         if chosen:
             write_bundle(spark, chosen, f"{reports}/bundle")
+            for name, df in chosen.items():
+                audit.record("export_bundle", name, df, read_parquet(spark, f"{reports}/bundle/{name}"))
     quality = None
     if "sales_summary" in tables:
         path = f"{reports}/quality/sales_summary"
         quality = _store(spark, quality_report(tables["sales_summary"]), path)
         write_csv(quality, f"{reports}/csv/data_quality_report")
     loads = load_tables(spark, tables, cfg.target) if cfg.target else None
+    if loads is not None:
+        for r in loads.collect():  # one row per table
+            audit.record("load", r["table"], tables[r["table"]], r["rows"])
     return quality, loads
 
 
@@ -113,13 +142,17 @@ def run(spark: SparkSession, cfg: EtlConfig) -> EtlResult:
     """The whole run. The session is the caller's; an error in any phase is raised."""
     start = time.monotonic()
     audit = AuditLog()
-    landed, missing = extract(spark, cfg)
+    landed, missing = extract(spark, cfg, audit)
     tables = transform(spark, cfg, landed, audit)
-    quality, loads = load(spark, cfg, tables)
+    quality, loads = load(spark, cfg, tables, audit)
+    rejected = audit.rejected()
+    if rejected is not None:
+        rejected = _store(spark, rejected, f"{cfg.output}/audit/rejected")
     return EtlResult(
         tables=tables,
         missing=missing,
-        audit=audit.counts(),
+        audit=_store(spark, audit.counts(), f"{cfg.output}/audit/steps"),
+        rejected=rejected,
         summary=run_summary(tables),
         quality=quality,
         loads=loads,

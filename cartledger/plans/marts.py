@@ -15,7 +15,7 @@ from cartledger.operators.cleaning import (
 )
 from cartledger.operators.derive import order_columns
 from cartledger.operators.joins import translate_categories
-from cartledger.sources.readers import FILE_POSITION
+from cartledger.sources.readers import FILE_POSITION, REJECTED
 
 REVIEW_DATES = ("review_creation_date", "review_answer_timestamp")
 
@@ -23,13 +23,13 @@ REVIEW_DATES = ("review_creation_date", "review_answer_timestamp")
 def _first_per_key(raw: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key: the first in the files where ``raw`` has its file position,
     else the least in column order."""
-    df = clean_names(raw)
+    df = clean_names(raw).drop(REJECTED)
     position = [c for c in FILE_POSITION if c in df.columns]
     return drop_duplicate_keys(df, keys, position or None).drop(*position)
 
 
 def _all_rows(raw: DataFrame) -> DataFrame:
-    return clean_names(raw).drop(*FILE_POSITION)
+    return clean_names(raw).drop(*FILE_POSITION, REJECTED)
 
 
 def orders(raw: DataFrame) -> DataFrame:

@@ -9,11 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cartledger.functions import money
+from cartledger.operators.joins import translate_categories
+from cartledger.operators.skew import lookup_join
 from cartledger.plans import marts
 
 
 def _after_hours(ts: str, hours: Column) -> Column:
-    return F.timestamp_add("HOUR", hours.cast("int"), F.col(ts))
+    return F.col(ts) + F.make_dt_interval(F.lit(0), hours.cast("int"))
 
 
 # Columns of the star-schema tables that the mapping reads. Stating
@@ -120,7 +122,8 @@ def category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _place(df: DataFrame, nation: DataFrame, key: str, nation_key: str, kind: str) -> DataFrame:
-    named = df.join(nation, df[nation_key] == nation["n_nationkey"])
+    # Few nations and many rows: broadcast while the nations measure small.
+    named = lookup_join(df, nation.withColumnRenamed("n_nationkey", nation_key), nation_key)
     return named.select(
         F.col(key).alias(f"{kind}_id"),
         F.concat(F.lit("city_"), (F.col(key) % 40).cast("string")).alias(f"{kind}_city"),
@@ -143,7 +146,8 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     comment = F.when(kind == "view", "").when(kind != "click", F.col("props"))
     return read_star(spark, sf_dir, "events").select(
         F.col("event_id").alias("review_id"),
-        (F.col("event_id") % 7500).alias("order_id"),
+        # Orders run half as far again as events at every scale; so do these ids.
+        (F.floor(F.col("event_id") / 2).cast("bigint") * 3).alias("order_id"),
         F.when(kind != "error", 1 + F.col("user_id") % 5).cast("int").alias("review_score"),
         comment.alias("review_comment_message"),
         F.col("ts").alias("review_creation_date"),
@@ -178,9 +182,9 @@ class LoadedTables(dict):
 
     def _open(self, name: str) -> DataFrame:
         if name == "products":
-            raw = raw_products(self._spark, self._sf_dir)
-            return raw.join(
-                category_translation(self._spark, self._sf_dir), "product_category_name", "left"
+            return translate_categories(
+                raw_products(self._spark, self._sf_dir),
+                category_translation(self._spark, self._sf_dir),
             )
         if name == "sales_summary":
             return marts.sales_summary(self["orders"], self["order_items"], self["payments"])

@@ -56,7 +56,13 @@ def test_full_run(spark, source, tmp_path):
         assert (first.order_status, first.delivery_time_days) == ("delivered", 1)
         assert [float(first[c]) for c in ("total_items", "total_price", "total_freight",
                                           "total_payment")] == [2, 15.25, 1.5, 33.5]
-        assert {r.table: r.removed for r in result.audit.collect()}["order_items"] == 1
+        steps = {(r.step, r.table): r for r in result.audit.collect()}
+        assert steps["clean", "order_items"].removed == 1
+        assert steps["extract", "orders"].rows_in is None
+        assert steps["extract", "orders"].rows_out == 3
+        for step in ("export_csv", "export_parquet", "export_bundle", "load"):
+            assert steps[step, "sales_summary"].rows_in == steps[step, "sales_summary"].rows_out == 2
+        assert result.rejected.collect() == []
         assert {r.Columna: r.Nulos for r in result.quality.collect()}["total_items"] == 1
         assert all(r.ok for r in result.loads.collect())
         assert glob.glob(f"{out}/reports/csv/sales_summary/part-*")

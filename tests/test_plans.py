@@ -1,5 +1,7 @@
 """Shapes of the physical plans that matter at scale."""
 
+import re
+
 import pytest
 
 from cartledger.checks.registry import queries
@@ -64,3 +66,18 @@ def test_sales_mart_shuffles_each_input_once(plan):
     """Once for the copies in orders and items and once per total; the joins add none."""
     physical = plan("mart_sales_summary").split("== Physical Plan ==")[1]
     assert physical.count("Exchange hashpartitioning(order_id") == 4
+
+
+def test_items_are_shuffled_once_for_the_distinct_products(plan):
+    """By order for the semi join; afterwards only the ids of products move."""
+    physical = plan("q12_dashboard").split("== Physical Plan ==")[1]
+    assert "Exchange hashpartitioning(order_id" in physical
+    assert "hashpartitioning(order_id#" not in "".join(
+        line for line in physical.splitlines() if "product_id" in line and "hashpartitioning" in line
+    )
+
+
+@pytest.mark.parametrize("name", ["q01_category_sales", "q05_top_products"])
+def test_products_do_not_meet_by_category(plan, name):
+    physical = plan(name).split("== Physical Plan ==")[1]
+    assert not re.search(r"hashpartitioning\(product_category_name#\d+, \d+\)", physical)
