@@ -65,20 +65,46 @@ _NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'
 _PARTS = re.compile(r"[a-z]+")
 
 
-def runs(page: str) -> Iterator[tuple[str, str, tuple[str, ...], int]]:
-    """(text, break before it, names around it from the outermost in, tags since the last).
+class _Place:
+    """An open element, with what its names and those around it say.
+
+    ``label``: inside a marked article; ``other``: inside matter that is none, by its name;
+    ``link``: inside a link; ``worth``: the weight of a word here, by the innermost name
+    that tells. Each is known from the parent, so deep nesting costs nothing.
+    """
+
+    __slots__ = ("tag", "parent", "names", "label", "other", "link", "worth", "inside", "outside")
+
+    def __init__(self, tag: str, names: list[str], parent: _Place | None, weights: dict[str, float]):
+        self.tag, self.names, self.parent = tag, names, parent
+        self.label = bool(parent and parent.label) or any(n in _LABELS for n in names)
+        self.link = bool(parent and parent.link) or tag == "a"
+        # The header of an article is its headline.
+        telling = [n for n in names if not (n == "header" and self.label)]
+        self.other = bool(parent and parent.other) or any(n in OTHER_NAMES for n in telling)
+        self.worth = parent.worth if parent else NEUTRAL
+        for name in reversed(telling):
+            w = weights.get(name, 0.0)
+            if abs(w) >= TELLS:
+                self.worth = max(w, LEAST)
+                break
+        self.inside = self.outside = 0
+
+
+def runs(page: str, weights: dict[str, float]) -> Iterator[tuple[str, str, _Place, int]]:
+    """(text, break before it, its place, block and link tags since the last text).
 
     The break is a space after a block element and nothing after an inline one. Raw
     elements, comments and the head are skipped; elements left open end with their parent.
     """
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    names: tuple[str, ...] = ()
+    place = _Place("", [], None, weights)
+    open_tags: Counter[str] = Counter()
     at, gap, tags = 0, "", 0
     end = len(page)
     while at < end:
         m = _TOKEN.search(page, at)
         if m is None or m.start() > at:
-            yield page[at : m.start() if m else end], gap, names, tags
+            yield page[at : m.start() if m else end], gap, place, tags
             gap, tags = "", 0
             if m is None:
                 return
@@ -88,9 +114,10 @@ def runs(page: str) -> Iterator[tuple[str, str, tuple[str, ...], int]]:
             continue
         name, closing = name.lower(), m["close"] or m["close2"]
         rest = m["rest"] if m["name"] else m["rest2"]
-        tags += 1
         if name not in _INLINE:
             gap = " "
+        if name not in _INLINE or name == "a":
+            tags += 1
         if name in _RAW and not closing:
             if not rest.endswith("/"):
                 over = re.compile(rf"</{re.escape(name)}\b[^>]*+(?:>|\Z)", re.I).search(page, at)
@@ -101,46 +128,30 @@ def runs(page: str) -> Iterator[tuple[str, str, tuple[str, ...], int]]:
         if name in _UNTRACKED:
             continue
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    names = stack[i][1]
-                    del stack[i:]
+            # Without an open element of this name the tag closes nothing.
+            while open_tags[name]:
+                tag, place = place.tag, place.parent
+                open_tags[tag] -= 1
+                if tag == name:
                     break
             continue
         if name in _INLINE and name != "a":
             continue
-        stack.append((name, names))
+        open_tags[name] += 1
         own = [name]
         for value in _NAMED.findall(rest):
             own += _PARTS.findall("".join(value).lower())
-        names = (*names, *own)
-
-
-def _score(names: tuple[str, ...], weights: dict[str, float]) -> float:
-    """Weight of a word by the innermost name that tells."""
-    for name in reversed(names):
-        w = weights.get(name, 0.0)
-        if abs(w) >= TELLS:
-            return max(w, LEAST)
-    return NEUTRAL
-
-
-def _placed(names: tuple[str, ...]) -> tuple[str, ...]:
-    """The names that decide whether text is kept: links stand in articles as elsewhere, and
-    the header of an article is its headline."""
-    inside = any(n in _LABELS for n in names)
-    return tuple(n for n in names if n != "a" and not (inside and n == "header"))
+        place = _Place(name, own, place, weights)
 
 
 def main_text(page: str | None, weights: dict[str, float], tag_cost: float) -> str:
     """The text of the best region; empty when nothing scores above 0."""
-    found = list(runs(page or ""))
+    found = list(runs(page or "", weights))
     best = total = 0.0
     start = first = last = 0
-    for i, (text, _, names, tags) in enumerate(found):
-        n = len(text.split())
-        gain = n * _score(_placed(names), weights)
-        if gain > 0 and "a" in names:
+    for i, (text, _, place, tags) in enumerate(found):
+        gain = len(text.split()) * place.worth
+        if gain > 0 and place.link:  # links stand in articles as elsewhere
             gain = 0.0
         cost = tag_cost * tags
         if total - cost <= 0:
@@ -150,38 +161,63 @@ def main_text(page: str | None, weights: dict[str, float], tag_cost: float) -> s
         if total > best:
             best, first, last = total, start, i + 1
     parts = []
-    for text, gap, names, _ in found[first:last]:
-        if _score(_placed(names), weights) > 0:
-            parts += (gap, text)
-        else:
-            parts.append(" ")
+    for text, gap, place, _ in found[first:last]:
+        parts += (gap, text) if place.worth > 0 else (" ",)
     return " ".join(unescape("".join(parts)).split())
 
 
+def _tally(page: str) -> tuple[dict[str, list[int]], int, int]:
+    """Words (inside, outside) marked articles around which each name stands; the tags and
+    the words inside."""
+    places: dict[int, _Place] = {}
+    tags_inside = words_inside = 0
+    for text, _, place, tags in runs(page, {}):
+        n = len(text.split())
+        if place.label and not place.other:
+            place.inside += n
+            words_inside += n
+            tags_inside += tags
+        else:
+            place.outside += n
+        while place is not None and id(place) not in places:
+            places[id(place)] = place
+            place = place.parent
+    sums: dict[str, list[int]] = {}
+    # Inner places come after outer ones as created; add them up from the innermost.
+    children: Counter[int] = Counter(id(p.parent) for p in places.values() if p.parent)
+    ready = [p for i, p in places.items() if not children[i]]
+    while ready:
+        p = ready.pop()
+        for name in set(p.names):
+            side = sums.setdefault(name, [0, 0])
+            side[0] += p.inside
+            side[1] += p.outside
+        if p.parent:
+            p.parent.inside += p.inside
+            p.parent.outside += p.outside
+            children[id(p.parent)] -= 1
+            if not children[id(p.parent)]:
+                ready.append(p.parent)
+    return sums, tags_inside, words_inside
+
+
 def _counted(pages: DataFrame) -> DataFrame:
     """(name, inside, outside) words and (null, tags inside, words inside) of labelled pages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            inside, outside = Counter(), Counter()
+            sums: dict[str | None, list[int]] = {None: [0, 0]}
             for value in batch.column(0):
-                for text, _, names, tags in runs(value.as_py() or ""):
-                    n = len(text.split())
-                    content = any(x in _LABELS for x in names) and not any(
-                        x in OTHER_NAMES for x in _placed(names)
-                    )
-                    side = inside if content else outside
-                    for x in set(names):
-                        side[x] += n
-                    side[None] += tags
-                    if content:
-                        inside[""] += n
-            keys = list(inside.keys() | outside.keys())
+                found, tags, words = _tally(value.as_py() or "")
+                for name, (i, o) in [*found.items(), (None, (tags, words))]:
+                    side = sums.setdefault(name, [0, 0])
+                    side[0] += i
+                    side[1] += o
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(keys, pa.string()),
-                    pa.array([inside[x] for x in keys], pa.int64()),
-                    pa.array([outside[x] for x in keys], pa.int64()),
+                    pa.array(list(sums), pa.string()),
+                    pa.array([i for i, _ in sums.values()], pa.int64()),
+                    pa.array([o for _, o in sums.values()], pa.int64()),
                 ],
                 names=["name", "inside", "outside"],
             )
@@ -205,8 +241,7 @@ def learn(pages: DataFrame, html: str = "html", key: str = "page_id") -> tuple[d
         .orderBy((F.col("i") + F.col("o")).desc(), "name").limit(MAX_NAMES).collect()
     )
     counts = {r["name"]: (r["i"], r["o"]) for r in sums}
-    tags, _ = counts.pop(None, (0, 0))
-    words, _ = counts.pop("", (0, 0))
+    tags, words = counts.pop(None, (0, 0))
     weights = {}
     for name in (counts.keys() | CONTENT_NAMES | OTHER_NAMES) - _LAYOUT:
         i, o = counts.get(name, (0, 0))
