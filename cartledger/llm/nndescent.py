@@ -33,7 +33,7 @@ GAIN, MAX_ROUNDS = 0.02, 8
 #: Partners that a node may win from one neighbourhood.
 WINS = 8
 #: Best nodes that a search remembers, expands in a hop, and measures exactly; hops at most.
-WIDTH, EXPAND, EXACT, MAX_HOPS = 320, 80, 128, 16
+WIDTH, EXPAND, EXACT, MAX_HOPS = 448, 96, 128, 16
 SEED = 5
 
 
@@ -398,3 +398,46 @@ def search(index: Index, queries: DataFrame, k: int, key: str = "vec_id") -> Dat
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
+
+
+def recall(index: Index, found: DataFrame, k: int, queries: int = 200) -> float:
+    """Share of the true ``k`` nearest that ``found`` holds, over about so many of its queries.
+
+    The sampled queries' vectors are compared with all vectors, each task with its own.
+    """
+    vectors = index.members.join(index.nodes.select("node", "vec"), "node")
+    asked = found.select("query_id").distinct()
+    n = asked.count()
+    if not n:
+        return 1.0
+    asked = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(1_000_000)) <= int(1_000_000 * queries / n))
+    sample = vectors.join(asked, F.col("id") == F.col("query_id")).select(
+        "query_id", F.col("vec").cast("array<double>").alias("vec")
+    ).dropDuplicates(["query_id"]).toPandas()  # a bounded sample
+    if not len(sample):
+        return 1.0
+    ids, q = sample["query_id"].to_numpy(), np.array(sample["vec"].tolist(), float)
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            scores = q @ matrix(batch.column(1)).T
+            own = batch.column(0).to_numpy(zero_copy_only=False)
+            scores[ids[:, None] == own[None, :]] = -np.inf
+            top = np.argsort(-scores, axis=1)[:, :k]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(ids.repeat(top.shape[1])), pa.array(own[top.ravel()]),
+                    pa.array(np.take_along_axis(scores, top, 1).ravel()),
+                ],
+                names=["query_id", "vec_id", "score"],
+            )
+
+    candidates = vectors.select("id", F.col("vec").cast("array<double>").alias("vec")).mapInArrow(
+        best, "query_id long, vec_id long, score double"
+    )
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    true = candidates.where("score > double('-inf')").withColumn("place", place).where(F.col("place") <= k)
+    hits = true.join(found, ["query_id", "vec_id"], "left_semi").count()
+    return hits / true.count()
