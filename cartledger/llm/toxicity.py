@@ -171,7 +171,7 @@ def _statistics(labelled: DataFrame, lexicon, scale: float) -> DataFrame:
 
 
 def _splitter():
-    """The words of a text in lower case, as Spark's ``\\p{L}+`` finds them."""
+    """The runs of letters of a text, in lower case."""
     pattern = re.compile(r"[^\W\d_]+")
     return lambda text: pattern.findall((text or "").lower())
 
