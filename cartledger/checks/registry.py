@@ -187,9 +187,14 @@ def _src_csv_dirty(spark, sf_dir):
         .when(key % 3 == 1, F.date_format(bought, "MMM d, yyyy HH:mm:ss"))
         .otherwise(bought.cast("string"))
     )
+    customer = (
+        F.when(key % 5 == 0, "NA")
+        .when(key % 7 == 0, "1.5")
+        .otherwise(F.col("customer_id").cast("string"))
+    )
     dirty = orders.select(
         F.concat(key.cast("string"), F.lit(".0")).alias("order_id"),
-        F.when(key % 5 == 0, "NA").when(key % 7 == 0, "1.5").otherwise(F.col("customer_id").cast("string")).alias("customer_id"),
+        customer.alias("customer_id"),
         written.alias("order_purchase_timestamp"),
     )
     path = scratch_path(spark, "src_csv_dirty")
@@ -288,7 +293,8 @@ def _untidy(df: DataFrame) -> DataFrame:
 def _with_copies(df: DataFrame, key: str, changes: dict[str, object]) -> DataFrame:
     """Every fifth key once more, with other values that sort after its own."""
     again = df.filter(F.col(key) % 5 == 0)
-    return df.unionByName(again.withColumns({c: F.lit(v).cast(df.schema[c].dataType) for c, v in changes.items()}))
+    other = {c: F.lit(v).cast(df.schema[c].dataType) for c, v in changes.items()}
+    return df.unionByName(again.withColumns(other))
 
 
 def _dates_as_text(df: DataFrame, *columns: str) -> DataFrame:
@@ -332,7 +338,8 @@ def _mart_products(spark, sf_dir):
 
 def _mart_order_items(spark, sf_dir):
     items = star.order_items(spark, sf_dir)
-    return _doubles(marts.order_items(_untidy(items.unionByName(items.filter(F.col("order_id") % 5 == 0)))))
+    copies = items.filter(F.col("order_id") % 5 == 0)
+    return _doubles(marts.order_items(_untidy(items.unionByName(copies))))
 
 
 def _mart_payments(spark, sf_dir):

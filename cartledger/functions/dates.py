@@ -29,14 +29,12 @@ def parse_timestamp(text: Column, day_first: bool = False) -> Column:
 
         number = part(month)
         if named:
-            place = F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(F.substring(number, 1, 3)))
-            number = place.cast("string")
-        time = part(4)
-        iso = F.concat(
-            part(year), F.lit("-"), F.lpad(number, 2, "0"), F.lit("-"), F.lpad(part(day), 2, "0"),
-            F.when(time == "", "").otherwise(F.concat(F.lit(" "), F.lpad(F.substring_index(time, ":", 1), 2, "0"),
-                                                      F.regexp_replace(time, r"^\d+", ""))),
-        )
+            first = F.lower(F.substring(number, 1, 3))
+            number = F.array_position(F.array(*map(F.lit, MONTHS)), first).cast("string")
+        hour = F.lpad(F.substring_index(part(4), ":", 1), 2, "0")
+        clock = F.concat(F.lit(" "), hour, F.regexp_replace(part(4), r"^\d+", ""))
+        date = F.concat_ws("-", part(year), F.lpad(number, 2, "0"), F.lpad(part(day), 2, "0"))
+        iso = F.concat(date, F.when(part(4) == "", "").otherwise(clock))
         return F.when(text.rlike(pattern), iso).try_cast("timestamp_ntz")
 
     first, second = ((2, 1), (1, 2)) if day_first else ((1, 2), (2, 1))

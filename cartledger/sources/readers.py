@@ -267,5 +267,9 @@ def run_query(
     # A frame handed to the session as an argument gets a view of its own for this one
     # query, so views of the caller with the same name stay as they are.
     names = "|".join(sorted(map(re.escape, tables), key=len, reverse=True))
-    marked = re.sub(rf"'[^']*'|(?<![\w.{{`])({names})(?![\w.`])", lambda m: f"{{{m[1]}}}" if m[1] else m[0].replace("{", "{{").replace("}", "}}"), text)
-    return spark.sql(marked, **tables)
+
+    def argument(m: re.Match) -> str:
+        return f"{{{m[1]}}}" if m[1] else m[0].replace("{", "{{").replace("}", "}}")
+
+    quoted_or_table = rf"'[^']*'|(?<![\w.{{`])({names})(?![\w.`])"
+    return spark.sql(re.sub(quoted_or_table, argument, text), **tables)
