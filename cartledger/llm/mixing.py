@@ -76,7 +76,7 @@ def _thresholds(rows: DataFrame, goals: DataFrame) -> DataFrame:
 
     The last hash counts when it brings the sum nearer to the budget.
     """
-    open_goals = goals.where("budget > 0").select("source", "budget", F.lit(0).cast("long").alias("cell"))
+    open_goals = goals.where("budget > 0").select("source", "budget")
     todo, at, found = rows, 0, []
     while True:
         at = min(at + STEP, BITS)
@@ -86,30 +86,28 @@ def _thresholds(rows: DataFrame, goals: DataFrame) -> DataFrame:
         )
         running = Window.partitionBy("source").orderBy("cell")  # at most 2^STEP rows a source
         upto = sums.withColumn("upto", F.sum("size").over(running))
-        ends = (
-            upto.join(open_goals.select(F.col("source").alias("s"), "budget"),
-                      F.col("source").eqNullSafe(F.col("s")))
+        budgets = open_goals.select(F.col("source").alias("s"), "budget")
+        bucket = F.struct("cell", "size", "upto", "low", "high", "budget")
+        ends = stored(
+            upto.join(budgets, F.col("source").eqNullSafe(F.col("s")))
             .where("upto >= budget")
             .groupBy("source")
-            .agg(F.min_by(F.struct("cell", "size", "upto", "low", "high", "budget"), "cell").alias("e"))
-            .select("source", "e.*")
+            .agg(F.min_by(bucket, "cell").alias("end"))
+            .select("source", "end.*"),
+            "ends",
         )
-        ends = stored(ends, "ends")
         left = F.col("budget") - (F.col("upto") - F.col("size"))
         single = (F.col("low") == F.col("high")) | F.lit(at == BITS)
-        found.append(
-            ends.where(single).select(
-                "source", F.when(left * 2 >= F.col("size"), F.col("low") + 1).otherwise(F.col("low")).alias("below")
-            )
+        below = F.col("low") + (left * 2 >= F.col("size")).cast("long")
+        found.append(ends.where(single).select("source", below.alias("below")))
+        open_goals = stored(
+            ends.where(~single).select("source", left.alias("budget"), "cell"), "open"
         )
-        open_goals = stored(ends.where(~single).select("source", left.alias("budget"), "cell"), "open")
         if open_goals.isEmpty():
             break
         boundary = open_goals.select(F.col("source").alias("s"), F.col("cell").alias("c"))
-        todo = stored(
-            todo.join(boundary, F.col("source").eqNullSafe(F.col("s")) & (cell == F.col("c")), "left_semi"),
-            "boundary",
-        )
+        inside = F.col("source").eqNullSafe(F.col("s")) & (cell == F.col("c"))
+        todo = stored(todo.join(boundary, inside, "left_semi"), "boundary")
     whole = found[0]
     for part in found[1:]:
         whole = whole.union(part)
@@ -122,12 +120,12 @@ def plan(sized: DataFrame, weights=WEIGHTS, share=SHARE, repeats=REPEATS) -> Dat
     Each row is taken ``base`` times, and once more if its hash is under ``below``.
     """
     sizes = stored(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "sizes")
+    whole = F.floor(F.col("target") / F.col("source_size"))
     goals = targets(sizes, weights, share, repeats).withColumn(
-        "base", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    )
-    goals = stored(
-        goals.withColumn("budget", F.col("target") - F.col("base") * F.col("source_size")), "goals"
+        "base", F.when(F.col("source_size") > 0, whole).otherwise(0)
     )
+    rest = F.col("target") - F.col("base") * F.col("source_size")
+    goals = stored(goals.withColumn("budget", rest), "goals")
     below = _thresholds(sized, goals).withColumnRenamed("source", "s")
     return goals.join(below, F.col("source").eqNullSafe(F.col("s")), "left").select(
         "source", "source_size", "target", F.col("base").cast("long").alias("base"),
@@ -157,7 +155,11 @@ def mix(
     goals = stored(plan(sized, weights, share, repeats), "plan").withColumnRenamed("source", "s")
     copies = F.col("base") + (F.col("h") < F.col("below")).cast("long")
     return sized.join(goals, F.col("source").eqNullSafe(F.col("s"))).select(
-        F.col("id").alias(key), "size", "source_size", "target", (copies * F.col("size")).alias("taken")
+        F.col("id").alias(key),
+        "size",
+        "source_size",
+        "target",
+        (copies * F.col("size")).alias("taken"),
     )
 
 
