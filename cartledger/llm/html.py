@@ -33,6 +33,8 @@ TAG_COST = 0.75
 #: A word where nothing tells.
 NEUTRAL = 0.5
 PSEUDO = 50.0
+#: The share of the marked words that stands in a wrapper of the article.
+ALL = 0.98
 
 # Names whose meaning is common knowledge.
 CONTENT_NAMES = frozenset("article main content post entry story articlebody maincontent".split())
@@ -43,6 +45,7 @@ OTHER_NAMES = frozenset(
     "respond disqus reply replies related recommended share sharing social breadcrumb "
     "breadcrumbs pagination pager skip copyright legal login search toolbar tags".split()
 )
+_FIXED = dict.fromkeys(CONTENT_NAMES, 1.0) | dict.fromkeys(OTHER_NAMES, -1.0)
 _LABELS = frozenset(("article", "main"))
 _RAW = frozenset("script style noscript template iframe object svg math head title textarea select option audio video canvas noframes".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -61,34 +64,64 @@ _TOKEN = re.compile(
     r"|<[!?/][^>]*+(?:>|\Z)",
     re.S,
 )
-_NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+#: One attribute after another, so that no text of a value is taken for a name.
+_ATTRIBUTE = re.compile(
+    r"[\s/]*+([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]*+)))?"
+)
 _PARTS = re.compile(r"[a-z]+")
+#: First parts of a name that tell what is around an element or filed under, not what it is.
+_QUALIFIERS = frozenset("no non not has have with without tag category cat".split())
+
+
+def _names(tag: str, rest: str) -> list[tuple[str, ...]]:
+    """The names of an element: its own, and by parts those in its class, id and role."""
+    found = [(tag,)]
+    for name, *values in _ATTRIBUTE.findall(rest):
+        if name.lower() in ("class", "id", "role"):
+            for word in "".join(values).lower().split():
+                parts = tuple(_PARTS.findall(word))
+                if parts and parts[0] not in _QUALIFIERS or parts == (word,):
+                    # A word that is more than the one part is a compound also with one part.
+                    found.append(parts if parts == (word,) or len(parts) > 1 else (*parts, ""))
+    return found
 
 
 class _Place:
     """An open element, with what its names and those around it say.
 
-    ``label``: inside a marked article; ``other``: inside matter that is none, by its name;
-    ``link``: inside a link; ``worth``: the weight of a word here, by the innermost name
-    that tells. Each is known from the parent, so deep nesting costs nothing.
+    ``label``: inside a marked article; ``link``: inside a link; ``verdict``: the weight of
+    the deciding name of this element, 0 when none tells; ``worth``: the weight of a word
+    here, by the innermost verdict. Each is known from the parent, so deep nesting costs
+    nothing.
+
+    The last telling name decides, and in a compound its last telling part. Parts of
+    compounds that speak against an element do not count beside a name that speaks for it,
+    unless it stands in other matter: an article is no sidebar for having one.
     """
 
-    __slots__ = ("tag", "parent", "names", "label", "other", "link", "worth", "inside", "outside")
+    __slots__ = ("tag", "parent", "names", "label", "link", "verdict", "worth", "marked", "inside", "outside")
 
-    def __init__(self, tag: str, names: list[str], parent: _Place | None, weights: dict[str, float]):
+    def __init__(
+        self, tag: str, names: list[tuple[str, ...]], parent: _Place | None, weights: dict[str, float]
+    ):
         self.tag, self.names, self.parent = tag, names, parent
-        self.label = bool(parent and parent.label) or any(n in _LABELS for n in names)
+        self.label = bool(parent and parent.label) or any(len(n) == 1 and n[0] in _LABELS for n in names)
         self.link = bool(parent and parent.link) or tag == "a"
-        # The header of an article is its headline.
-        telling = [n for n in names if not (n == "header" and self.label)]
-        self.other = bool(parent and parent.other) or any(n in OTHER_NAMES for n in telling)
         self.worth = parent.worth if parent else NEUTRAL
-        for name in reversed(telling):
-            w = weights.get(name, 0.0)
-            if abs(w) >= TELLS:
-                self.worth = max(w, LEAST)
-                break
-        self.inside = self.outside = 0
+        told = []
+        for parts in names:
+            for part in reversed(parts):
+                w = weights.get(part, 0.0)
+                # The header of an article is its headline.
+                if abs(w) >= TELLS and not (part == "header" and self.label):
+                    told.append((w, len(parts) > 1))
+                    break
+        if self.worth > 0 and any(w > 0 for w, _ in told):
+            told = [(w, compound) for w, compound in told if w > 0 or not compound]
+        self.verdict = told[-1][0] if told else 0.0
+        if told:
+            self.worth = max(self.verdict, LEAST)
+        self.marked = self.inside = self.outside = 0
 
 
 def runs(page: str, weights: dict[str, float]) -> Iterator[tuple[str, str, _Place, int]]:
@@ -138,10 +171,7 @@ def runs(page: str, weights: dict[str, float]) -> Iterator[tuple[str, str, _Plac
         if name in _INLINE and name != "a":
             continue
         open_tags[name] += 1
-        own = [name]
-        for value in _NAMED.findall(rest):
-            own += _PARTS.findall("".join(value).lower())
-        place = _Place(name, own, place, weights)
+        place = _Place(name, _names(name, rest), place, weights)
 
 
 def main_text(page: str | None, weights: dict[str, float], tag_cost: float) -> str:
@@ -168,36 +198,56 @@ def main_text(page: str | None, weights: dict[str, float], tag_cost: float) -> s
 
 def _tally(page: str) -> tuple[dict[str, list[int]], int, int]:
     """Words (inside, outside) marked articles around which each name stands; the tags and
-    the words inside."""
+    the words inside.
+
+    Matter that is none by its name counts as outside, unless as good as all that is marked
+    on the page, or in the article around it, stands in it: then the page speaks against
+    the name. The header of an article does not count for headers.
+    """
+    found = list(runs(page, _FIXED))
     places: dict[int, _Place] = {}
+    children: Counter[int] = Counter()
+    for text, _, place, _ in found:
+        if place.label:
+            place.marked += len(text.split())
+        while place is not None and id(place) not in places:
+            places[id(place)] = place
+            place = place.parent
+            if place:
+                children[id(place)] += 1
+    # From the innermost outwards, a place after all those in it.
+    order = [p for i, p in places.items() if not children[i]]
+    for p in order:
+        if p.parent:
+            p.parent.marked += p.marked
+            children[id(p.parent)] -= 1
+            if not children[id(p.parent)]:
+                order.append(p.parent)
+    # (marked words around, whether it is other matter) of each place, outer ones first.
+    state: dict[int, tuple[int, bool]] = {}
+    for p in reversed(order):
+        whole, other = state[id(p.parent)] if p.parent else (p.marked, False)
+        other = other or (p.verdict < 0 and p.marked < ALL * whole)
+        outermost = p.label and not (p.parent and p.parent.label)
+        state[id(p)] = (p.marked if outermost else whole, other)
     tags_inside = words_inside = 0
-    for text, _, place, tags in runs(page, {}):
+    for text, _, place, tags in found:
         n = len(text.split())
-        if place.label and not place.other:
+        if place.label and not state[id(place)][1]:
             place.inside += n
             words_inside += n
             tags_inside += tags
         else:
             place.outside += n
-        while place is not None and id(place) not in places:
-            places[id(place)] = place
-            place = place.parent
     sums: dict[str, list[int]] = {}
-    # Inner places come after outer ones as created; add them up from the innermost.
-    children: Counter[int] = Counter(id(p.parent) for p in places.values() if p.parent)
-    ready = [p for i, p in places.items() if not children[i]]
-    while ready:
-        p = ready.pop()
-        for name in set(p.names):
+    for p in order:
+        for name in {part for parts in p.names for part in parts} - ({"", "header"} if p.label else {""}):
             side = sums.setdefault(name, [0, 0])
             side[0] += p.inside
             side[1] += p.outside
         if p.parent:
             p.parent.inside += p.inside
             p.parent.outside += p.outside
-            children[id(p.parent)] -= 1
-            if not children[id(p.parent)]:
-                ready.append(p.parent)
     return sums, tags_inside, words_inside
 
 
@@ -247,13 +297,8 @@ def learn(pages: DataFrame, html: str = "html", key: str = "page_id") -> tuple[d
         i, o = counts.get(name, (0, 0))
         i += 1 + PSEUDO * (name in CONTENT_NAMES)
         o += 1 + PSEUDO * (name in OTHER_NAMES)
-        w = float(np.clip(np.log(i / o), -MOST, MOST))
-        # A known name keeps its meaning, whatever the sample says.
-        if name in OTHER_NAMES:
-            w = min(w, -TELLS)
-        elif name in CONTENT_NAMES:
-            w = max(w, TELLS)
-        weights[name] = w
+        # The pseudo-counts of a known name give way to many words that say otherwise.
+        weights[name] = float(np.clip(np.log(i / o), -MOST, MOST))
     # Inside articles a tag pays for itself after half the words that come between two.
     return weights, float(np.clip(0.5 * NEUTRAL * words / tags, 0.1, TAG_COST)) if tags else TAG_COST
 

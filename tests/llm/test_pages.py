@@ -65,6 +65,32 @@ def test_plain_cases(weights, page, text):
     assert html.main_text(page, *weights) == text
 
 
+@pytest.mark.parametrize(
+    "opening",
+    [
+        "<article class='post no-sidebar'>", "<article class='hentry tag-search'>", "<div class='content has-sidebar'>",
+        "<article data-id='ad-12'>", "<article id=ad-12>", "<div class='entry-content related-posts-on'>",
+        "<article title=\"a class='ad'\">", "<div class=has-sidebar>",
+    ],
+)
+def test_names_beside_the_article_do_not_lose_it(weights, opening):
+    close = f"</{opening[1:].split()[0]}>"
+    text = "Long enough words of a story that goes on for a while, and then some more."
+    page = f"<nav>Home News</nav>{opening}{STORY}{close}<div class=post-comments><article class=comment-body><p>I say.</p></article></div>"
+    assert html.main_text(page, *weights) == text
+
+
+def test_labelled_pages_overrule_the_fixed_names(spark):
+    """Where articles stand in a form and a promo, though not where they hold one."""
+    page = f"<form><article class=promo>{STORY}<div class=ad>{'buy ' * 9}</div></article><footer>{'us ' * 9}</footer></form>"
+    rows = spark.createDataFrame([(i, "u", page, "", 0, 0) for i in range(60)], PAGES)
+    learned = html.learn(rows)
+    assert learned[0]["form"] > -html.TELLS and learned[0]["promo"] > -html.TELLS
+    assert learned[0]["ad"] <= -html.TELLS and learned[0]["footer"] <= -html.TELLS
+    text = "Long enough words of a story that goes on for a while, and then some more."
+    assert {r.text for r in html.extract(rows).collect()} == {text}
+
+
 def test_hostile_markup_is_linear(weights):
     for page in ("<a b='" * 20_000, "<" * 200_000, "<div>" * 50_000 + "x", "<!--" * 50_000, "&amp" * 50_000):
         html.main_text(page, *weights)
