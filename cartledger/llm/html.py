@@ -47,11 +47,22 @@ OTHER_NAMES = frozenset(
 )
 _FIXED = dict.fromkeys(CONTENT_NAMES, 1.0) | dict.fromkeys(OTHER_NAMES, -1.0)
 _LABELS = frozenset(("article", "main"))
-_RAW = frozenset("script style noscript template iframe object svg math head title textarea select option audio video canvas noframes".split())
+#: Elements whose content is no markup, and the head.
+_RAW = frozenset("script style iframe head title textarea noframes noembed xmp".split())
+#: Elements that hold markup but nothing to read. Those that are closed are skipped whole; one
+#: left open ends with its parent and is other matter, but for an article that starts in it.
+_HIDDEN = frozenset("noscript template object svg select datalist optgroup option audio video canvas".split())
+#: Elements that end an ``svg`` left open, as in browsers.
+_ENDS_SVG = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 hr i img li listing menu meta "
+    "nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby "
-    "s samp small span strike strong sub sup time tt u var wbr img".split()
+    "s samp small span strike strong sub sup time tt u var wbr img "
+    "math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot munder mover munderover mstyle mspace mfenced "
+    "mpadded mphantom menclose mmultiscripts merror semantics annotation".split()
 )
 #: Elements that lay out content and other matter alike, so their names never tell.
 _LAYOUT = frozenset("a div section span ul ol dl table center figure details summary blockquote pre address".split())
@@ -91,15 +102,16 @@ class _Place:
 
     ``label``: inside a marked article; ``link``: inside a link; ``verdict``: the weight of
     the deciding name of this element, 0 when none tells; ``worth``: the weight of a word
-    here, by the innermost verdict. Each is known from the parent, so deep nesting costs
-    nothing.
+    here, by the innermost verdict; ``hidden``: the innermost hidden element around, or
+    itself, and ``closed`` whether it was closed. Each is known from the parent, so deep
+    nesting costs nothing.
 
     The last telling name decides, and in a compound its last telling part. Parts of
     compounds that speak against an element do not count beside a name that speaks for it,
     unless it stands in other matter: an article is no sidebar for having one.
     """
 
-    __slots__ = ("tag", "parent", "names", "label", "link", "verdict", "worth", "marked", "inside", "outside")
+    __slots__ = ("tag", "parent", "names", "label", "link", "verdict", "worth", "hidden", "closed", "marked", "inside", "outside")
 
     def __init__(
         self, tag: str, names: list[tuple[str, ...]], parent: _Place | None, weights: dict[str, float]
@@ -108,6 +120,10 @@ class _Place:
         self.label = bool(parent and parent.label) or any(len(n) == 1 and n[0] in _LABELS for n in names)
         self.link = bool(parent and parent.link) or tag == "a"
         self.worth = parent.worth if parent else NEUTRAL
+        self.hidden, self.closed = self if tag in _HIDDEN else parent and parent.hidden, False
+        if self.hidden is self:
+            self.names = names = []
+            self.worth = LEAST
         told = []
         for parts in names:
             for part in reversed(parts):
@@ -124,23 +140,27 @@ class _Place:
         self.marked = self.inside = self.outside = 0
 
 
-def runs(page: str, weights: dict[str, float]) -> Iterator[tuple[str, str, _Place, int]]:
+def runs(page: str, weights: dict[str, float]) -> list[tuple[str, str, _Place, int]]:
     """(text, break before it, its place, block and link tags since the last text).
 
-    The break is a space after a block element and nothing after an inline one. Raw
-    elements, comments and the head are skipped; elements left open end with their parent.
+    The break is a space after a block element and nothing after an inline one. Raw and
+    hidden elements, comments and the head are skipped; elements left open end with their
+    parent. Tags within hidden elements are not counted.
     """
+    found = []
     place = _Place("", [], None, weights)
     open_tags: Counter[str] = Counter()
+    hidden: list[_Place] = []
+    unclosed: set[str] = set()
     at, gap, tags = 0, "", 0
     end = len(page)
     while at < end:
         m = _TOKEN.search(page, at)
         if m is None or m.start() > at:
-            yield page[at : m.start() if m else end], gap, place, tags
+            found.append((page[at : m.start() if m else end], gap, place, tags))
             gap, tags = "", 0
             if m is None:
-                return
+                break
         at = m.end()
         name = m["name"] or m["name2"]
         if name is None:
@@ -149,34 +169,67 @@ def runs(page: str, weights: dict[str, float]) -> Iterator[tuple[str, str, _Plac
         rest = m["rest"] if m["name"] else m["rest2"]
         if name not in _INLINE:
             gap = " "
-        if name not in _INLINE or name == "a":
+        if not place.hidden and (name not in _INLINE or name == "a"):
             tags += 1
         if name in _RAW and not closing:
             if not rest.endswith("/"):
-                over = re.compile(rf"</{re.escape(name)}\b[^>]*+(?:>|\Z)", re.I).search(page, at)
-                if over is None and name in ("head", "title"):
-                    continue  # never closed: what follows is the page
+                over = None
+                if name not in unclosed:
+                    over = re.compile(rf"</{re.escape(name)}\b[^>]*+(?:>|\Z)", re.I).search(page, at)
+                if over is None:
+                    unclosed.add(name)
+                    if name in ("head", "title"):
+                        continue  # never closed: what follows is the page
                 at = over.end() if over else end
             continue
+        if open_tags["svg"] and not closing and name in _ENDS_SVG and not open_tags["foreignobject"]:
+            place = _closed("svg", place, open_tags)
         if name in _UNTRACKED:
             continue
         if closing:
             # Without an open element of this name the tag closes nothing.
-            while open_tags[name]:
-                tag, place = place.tag, place.parent
-                open_tags[tag] -= 1
-                if tag == name:
-                    break
+            if open_tags[name]:
+                place = _closed(name, place, open_tags, True)
             continue
         if name in _INLINE and name != "a":
             continue
+        if name in _HIDDEN:
+            if rest.endswith("/"):
+                continue
+            # An option ends the one before.
+            while name in ("option", "optgroup") and place.tag in ("option", name):
+                place = _closed(place.tag, place, open_tags)
         open_tags[name] += 1
         place = _Place(name, _names(name, rest), place, weights)
+        if place.hidden is place:
+            hidden.append(place)
+    for p in hidden:  # outer ones first
+        outer = p.parent.hidden
+        p.closed = p.closed or bool(outer and outer.closed)
+    shown, gap, tags = [], "", 0
+    for text, before, place, passed in found:
+        gap, tags = gap or before, tags + passed
+        if place.hidden and place.hidden.closed:
+            gap = " "
+        else:
+            shown.append((text, gap, place, tags))
+            gap, tags = "", 0
+    return shown
+
+
+def _closed(name: str, place: _Place, open_tags: Counter[str], own_tag: bool = False) -> _Place:
+    """The place around the innermost open element ``name``, which ends with all in it."""
+    while True:
+        inner, place = place, place.parent
+        open_tags[inner.tag] -= 1
+        if inner.tag == name:
+            inner.closed = own_tag
+            return place
 
 
 def main_text(page: str | None, weights: dict[str, float], tag_cost: float) -> str:
     """The text of the best region; empty when nothing scores above 0."""
-    found = list(runs(page or "", weights))
+    found = runs(page or "", weights)
     best = total = 0.0
     start = first = last = 0
     for i, (text, _, place, tags) in enumerate(found):
@@ -204,7 +257,7 @@ def _tally(page: str) -> tuple[dict[str, list[int]], int, int]:
     on the page, or in the article around it, stands in it: then the page speaks against
     the name. The header of an article does not count for headers.
     """
-    found = list(runs(page, _FIXED))
+    found = runs(page, _FIXED)
     places: dict[int, _Place] = {}
     children: Counter[int] = Counter()
     for text, _, place, _ in found:

@@ -80,6 +80,29 @@ def test_names_beside_the_article_do_not_lose_it(weights, opening):
     assert html.main_text(page, *weights) == text
 
 
+ARTICLE = "Long enough words of a story that goes on for a while, and then some more."
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<header><form><datalist><option value=a>A<option value=b>B</datalist></form></header><article>{STORY}</article>", ARTICLE),
+        (f"<header><form><datalist><option value=a><option value=b></datalist></form></header><article>{STORY}</article><select><option>z</option></select>", ARTICLE),
+        *((f"<header><{tag}>other</header><article>{STORY}</article>", ARTICLE)
+          for tag in ("object", "svg", "video", "audio", "canvas", "math", "noscript", "template", "select")),
+        *((f"<header>menu</header><{tag}><article>{STORY}</article>", ARTICLE) for tag in ("object", "svg", "video", "canvas")),
+        *((f"<article><p>one two <{tag}><g class=content><article>no</article></g></{tag}> three</p>{STORY}</article>", f"one two three {ARTICLE}")
+          for tag in ("object", "svg", "video", "audio", "canvas", "noscript", "template", "select")),
+        (f"<article><svg><path d=M0>{STORY}</article>", ARTICLE),
+        ("<article><p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p></article>", "so x=2 holds"),
+        (f"<article>{STORY}</article><textarea>never closed <article>no</article>", ARTICLE),
+        (f"<article>{STORY}<svg>{'<path/>' * 99}</svg>{STORY}</article>", f"{ARTICLE} {ARTICLE}"),
+    ],
+)
+def test_unclosed_elements_do_not_swallow_the_page(weights, page, text):
+    assert html.main_text(page, *weights) == text
+
+
 def test_labelled_pages_overrule_the_fixed_names(spark):
     """Where articles stand in a form and a promo, though not where they hold one."""
     page = f"<form><article class=promo>{STORY}<div class=ad>{'buy ' * 9}</div></article><footer>{'us ' * 9}</footer></form>"
