@@ -4,8 +4,9 @@ The graph starts from random-projection trees, whose leaves are compared within.
 then joins every node with its neighbours and those that have it as neighbour, compares
 these among each other, and keeps each node's best: neighbours of neighbours are likely
 neighbours. A search walks the graph from the query's own leaf, always on from the best
-nodes seen, a few dozen a hop for all queries at once. Both work on one byte a component;
-the best found are measured again in double precision on the vectors themselves.
+nodes seen, a few dozen a hop for all queries at once. Both work on whole numbers of about
+23 bits a component, as fine as single precision, so that close copies are told apart; all
+that a walk remembers is measured again in double precision on the vectors themselves.
 """
 
 from __future__ import annotations
@@ -28,36 +29,37 @@ REVERSE = 20
 TREES, LEAF, FROM_TREE = 12, 512, 16
 #: Vectors that the trees are fitted on, about, and of these in the smallest leaf.
 SAMPLE, SAMPLE_LEAF = 16_384, 32
-#: Rounds end when the mean likeness of neighbours rises by less than this share.
-GAIN, MAX_ROUNDS = 0.02, 8
+#: Rounds end when less than this share of the neighbours is new. The likeness tells nothing
+#: of that among close copies, where it is nearly 1 from the start.
+CHANGES, MAX_ROUNDS = 0.1, 8
 #: Partners that a node may win from one neighbourhood.
 WINS = 8
-#: Best nodes that a search remembers, expands in a hop, and measures exactly; hops at most.
-WIDTH, EXPAND, EXACT, MAX_HOPS = 448, 96, 128, 16
+#: Best nodes that a search remembers and measures exactly, and expands in a hop; hops at most.
+WIDTH, EXPAND, MAX_HOPS = 448, 96, 16
 SEED = 5
 
 
-# One byte a component, after a scale of four bytes
+# Whole numbers, after a scale of eight bytes
 
 
 def encode(x: np.ndarray) -> list[bytes]:
-    scale = np.maximum(np.abs(x).max(1), 1e-300) / 127
-    codes = np.rint(x / scale[:, None]).astype(np.int8)
-    return [s.tobytes() + c.tobytes() for s, c in zip(scale.astype("<f4"), codes)]
+    # As many bits as sums of products in double precision hold exactly.
+    bits = (53 - int(np.ceil(np.log2(max(x.shape[1], 2))))) // 2
+    scale = np.maximum(np.abs(x).max(1), 1e-300) / (2**bits - 1)
+    codes = np.rint(x / scale[:, None]).astype("<i4")
+    return [s.tobytes() + c.tobytes() for s, c in zip(scale.astype("<f8"), codes)]
 
 
 def decode(codes: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Whole numbers and scales. Sums of products below 2^24 are exact, in any order."""
+    """Whole numbers and scales. Sums of products are exact, in any order."""
     raw = np.frombuffer(b"".join(codes), np.uint8).reshape(len(codes), -1)
-    scale = np.ascontiguousarray(raw[:, :4]).view("<f4")[:, 0].astype(np.float64)
-    whole = np.ascontiguousarray(raw[:, 4:]).view(np.int8)
-    return whole.astype(np.float32 if whole.shape[1] < 1000 else np.float64), scale
+    scale = np.ascontiguousarray(raw[:, :8]).view("<f8")[:, 0]
+    return np.ascontiguousarray(raw[:, 8:]).view("<i4").astype(np.float64), scale
 
 
 def _likeness(a, b) -> np.ndarray:
     """Inner products of two decoded sets; equal for (i, j) and (j, i)."""
-    dots = (a[0] @ b[0].T).astype(np.float64)
-    return (dots * (a[1][:, None] * b[1][None, :])).astype(np.float32)
+    return (a[0] @ b[0].T) * (a[1][:, None] * b[1][None, :])
 
 
 # Trees
@@ -128,7 +130,7 @@ def _best(node: np.ndarray, likeness: np.ndarray, most: int):
     return node.repeat(k), node[top.ravel()], value.ravel()
 
 
-_EDGE = "node long, other long, like float"
+_EDGE = "node long, other long, like double"
 
 
 def _edges(found) -> Iterator[pa.RecordBatch]:
@@ -136,7 +138,7 @@ def _edges(found) -> Iterator[pa.RecordBatch]:
     if found:
         node, other, like = (np.concatenate(c) for c in zip(*found))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(node), pa.array(other), pa.array(like.astype(np.float32))], names=["node", "other", "like"]
+            [pa.array(node), pa.array(other), pa.array(like.astype(np.float64))], names=["node", "other", "like"]
         )
 
 
@@ -155,7 +157,7 @@ def _first_edges(nodes: DataFrame, trees: list[Tree]) -> DataFrame:
         code = decode(table.column("code").to_pylist())
         rows = list(_edges([_best(node, _likeness(code, code), FROM_TREE)]))
         return pa.Table.from_batches(rows) if rows else pa.table(
-            {"node": pa.array([], pa.int64()), "other": pa.array([], pa.int64()), "like": pa.array([], pa.float32())}
+            {"node": pa.array([], pa.int64()), "other": pa.array([], pa.int64()), "like": pa.array([], pa.float64())}
         )
 
     return groups.applyInArrow(run, _EDGE)
@@ -250,27 +252,25 @@ def build(rows: DataFrame, key: str = "vec_id", vector: str = "embedding") -> In
         levels += 1
     trees = [grow(x, levels, SEED + t) for t in range(TREES if levels else 1)] if len(x) else []
     edges = stored(_kept(_first_edges(nodes, trees)), "edges") if trees else stored(
-        nodes.select("node", F.col("node").alias("other"), F.lit(0.0).cast("float").alias("like")), "edges"
+        nodes.select("node", F.col("node").alias("other"), F.lit(0.0).alias("like")), "edges"
     )
     codes = nodes.select("node", "code")
-    before = edges.agg(F.avg("like")).first()[0]
     for turn in range(MAX_ROUNDS if levels else 0):
-        edges = stored(_round(edges, codes, turn), "edges")
-        mean = edges.agg(F.avg("like")).first()[0]
-        if mean - before < GAIN * abs(before):
+        before, edges = edges, stored(_round(edges, codes, turn), "edges")
+        new = edges.join(before, ["node", "other"], "left_anti").count()
+        if new < CHANGES * edges.count():
             break
-        before = mean
     return Index(nodes, marked.select("node", "id"), edges)
 
 
 def _advance(states: DataFrame, found: DataFrame | None) -> DataFrame:
     """Search states (query, code, ids, likes, done, front) with what the last hop found."""
     if found is None:
-        joined = states.withColumn("found", F.lit(None).cast("array<struct<ids:array<long>,likes:array<float>>>"))
+        joined = states.withColumn("found", F.lit(None).cast("array<struct<ids:array<long>,likes:array<double>>>"))
     else:
         lists = found.groupBy("query").agg(F.collect_list(F.struct("ids", "likes")).alias("found"))
         joined = states.drop("front").join(lists, "query", "left")
-    schema = "query long, code binary, ids array<long>, likes array<float>, done array<boolean>, front array<long>"
+    schema = "query long, code binary, ids array<long>, likes array<double>, done array<boolean>, front array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -293,7 +293,7 @@ def _advance(states: DataFrame, found: DataFrame | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), batch.column(1),
-                    pa.array(out["ids"], pa.list_(pa.int64())), pa.array(out["likes"], pa.list_(pa.float32())),
+                    pa.array(out["ids"], pa.list_(pa.int64())), pa.array(out["likes"], pa.list_(pa.float64())),
                     pa.array(out["done"], pa.list_(pa.bool_())), pa.array(out["front"], pa.list_(pa.int64())),
                 ],
                 names=["query", "code", *out],
@@ -326,8 +326,7 @@ def _walk(index: Index, queries: DataFrame) -> DataFrame:
             members = decode(lists.values.field(1).to_pylist())
             own = decode(batch.column(1).to_pylist())
             row = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
-            dots = np.einsum("ij,ij->i", own[0][row], members[0]).astype(np.float64)
-            like = (dots * (own[1][row] * members[1])).astype(np.float32)
+            like = np.einsum("ij,ij->i", own[0][row], members[0]) * (own[1][row] * members[1])
             offsets = pa.array((bounds - bounds[0]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -340,7 +339,7 @@ def _walk(index: Index, queries: DataFrame) -> DataFrame:
 
     start = queries.join(index.nodes.select("node", "code"), "node").select(
         F.col("node").alias("query"), "code",
-        F.array("node").alias("ids"), F.array(F.lit(float("inf")).cast("float")).alias("likes"),
+        F.array("node").alias("ids"), F.array(F.lit(float("inf"))).alias("likes"),
         F.array(F.lit(False)).alias("done"),
     )
     states = stored(_advance(start, None), "walk")
@@ -349,11 +348,11 @@ def _walk(index: Index, queries: DataFrame) -> DataFrame:
         if asked.isEmpty():
             break
         found = asked.join(graph, "at").select("query", "code", "members").mapInArrow(
-            look, "query long, ids array<long>, likes array<float>"
+            look, "query long, ids array<long>, likes array<double>"
         )
         states = stored(_advance(states, found), "walk")
     spark.sql(f"DROP TABLE {table}")
-    return states.select("query", F.explode(F.slice("ids", 1, EXACT)).alias("other"))
+    return states.select("query", F.explode("ids").alias("other"))
 
 
 def search(index: Index, queries: DataFrame, k: int, key: str = "vec_id") -> DataFrame:
@@ -369,7 +368,11 @@ def search(index: Index, queries: DataFrame, k: int, key: str = "vec_id") -> Dat
         ).select("query_id", "node").distinct(),
         "asked",
     )
-    pairs = _walk(index, asked.select("node").distinct())
+    return _nearest(index, asked, _walk(index, asked.select("node").distinct()), k)
+
+
+def _nearest(index: Index, asked: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    """The rows of ``search`` for ``asked`` (query_id, node) among ``pairs`` (query, other)."""
     vectors = index.nodes.select("node", "vec")
     product = F.aggregate(
         F.zip_with("a", "b", lambda x, y: x.cast("double") * y.cast("double")),

@@ -149,6 +149,24 @@ def test_recall_against_brute_force(spark):
     assert hits / total >= 0.9
 
 
+def test_recall_in_a_tight_group(spark, monkeypatch):
+    """A third of all rows differ by less than a byte a component could tell."""
+    monkeypatch.setattr(nndescent, "LEAF", 256)
+    monkeypatch.setattr(nndescent, "SAMPLE_LEAF", 8)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(6000, 64))
+    x[::3] = x[0] + rng.normal(size=(2000, 64)) * 0.01  # mutual cosine about 0.9999
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+    rows = spark.createDataFrame([(i, v.tolist(), 0, 1, 1) for i, v in enumerate(x)], SCHEMA)
+    got = nndescent.search(nndescent.build(rows), rows.where("vec_id % 60 = 0"), 20).collect()
+    hits = 0
+    for q in range(0, 6000, 60):
+        score = x.astype(float) @ x[q].astype(float)
+        score[q] = -np.inf
+        hits += len(set(np.argsort(-score)[:20].tolist()) & {r.vec_id for r in got if r.query_id == q})
+    assert hits / 2000 >= 0.9
+
+
 def test_codes_are_close_and_symmetric():
     x = np.random.default_rng(3).normal(size=(50, 64))
     code = nndescent.decode(nndescent.encode(x))
