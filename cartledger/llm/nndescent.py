@@ -6,7 +6,8 @@ these among each other, and keeps each node's best: neighbours of neighbours are
 neighbours. A search walks the graph from the query's own leaf, always on from the best
 nodes seen, a few dozen a hop for all queries at once. Both work on whole numbers of about
 23 bits a component, as fine as single precision, so that close copies are told apart; all
-that a walk remembers is measured again in double precision on the vectors themselves.
+that a walk remembers is measured again in double precision on the vectors themselves. A
+query whose walk met too few is compared with all vectors.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +29,7 @@ from cartledger.sources.scratch import scratch_path
 NEIGHBOURS = 20
 #: Those that have a node as neighbour, of which so many take part in a round and a search.
 REVERSE = 20
-TREES, LEAF, FROM_TREE = 12, 512, 16
+TREES, LEAF, FROM_TREE = 12, 512, NEIGHBOURS + 1
 #: Vectors that the trees are fitted on, about, and of these in the smallest leaf.
 SAMPLE, SAMPLE_LEAF = 16_384, 32
 #: Rounds end when less than this share of the neighbours is new. The likeness tells nothing
@@ -36,6 +39,8 @@ CHANGES, MAX_ROUNDS = 0.1, 8
 WINS = 8
 #: Best nodes that a search remembers and measures exactly, and expands in a hop; hops at most.
 WIDTH, EXPAND, MAX_HOPS = 448, 96, 16
+#: Queries that are compared with all vectors in one pass.
+SCANNED = 1_024
 SEED = 5
 
 
@@ -182,9 +187,18 @@ def _around(edges: DataFrame, turn: int) -> DataFrame:
     return edges.toDF("at", "member", "like").union(back)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in short parts: a row holds the numbers of a whole neighbourhood."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _round(edges: DataFrame, codes: DataFrame, turn: int) -> DataFrame:
     """The edges after one round of comparing the members of each neighbourhood."""
-    worst = edges.groupBy("node").agg(F.min("like").alias("worst"))
+    # A list that is not full takes any.
+    full = F.when(F.count("*") >= NEIGHBOURS, F.min("like")).otherwise(F.lit(float("-inf")))
+    worst = edges.groupBy("node").agg(full.alias("worst"))
     members = codes.join(worst, "node").select(F.col("node").alias("member"), "code", "worst")
     around = _around(edges, turn)
     met = around.join(members, "member").groupBy("at").agg(
@@ -192,10 +206,10 @@ def _round(edges: DataFrame, codes: DataFrame, turn: int) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             lists = batch.column(1)
-            bounds = lists.offsets.to_numpy()
-            flat = lists.values
+            bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            flat = lists.flatten()
             member, worst_ = flat.field(0).to_numpy(), flat.field(2).to_numpy()
             codes_ = flat.field(1).to_pylist()
             found = []
@@ -318,12 +332,11 @@ def _walk(index: Index, queries: DataFrame) -> DataFrame:
     graph = spark.table(table)
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             lists = batch.column(2)
             bounds = lists.offsets.to_numpy()
-            if not batch.num_rows:
-                continue
-            members = decode(lists.values.field(1).to_pylist())
+            flat = lists.flatten()
+            members = decode(flat.field(1).to_pylist())
             own = decode(batch.column(1).to_pylist())
             row = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
             like = np.einsum("ij,ij->i", own[0][row], members[0]) * (own[1][row] * members[1])
@@ -331,7 +344,7 @@ def _walk(index: Index, queries: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.ListArray.from_arrays(offsets, lists.values.field(0)),
+                    pa.ListArray.from_arrays(offsets, flat.field(0)),
                     pa.ListArray.from_arrays(offsets, pa.array(like)),
                 ],
                 names=["query", "ids", "likes"],
@@ -368,7 +381,42 @@ def search(index: Index, queries: DataFrame, k: int, key: str = "vec_id") -> Dat
         ).select("query_id", "node").distinct(),
         "asked",
     )
-    return _nearest(index, asked, _walk(index, asked.select("node").distinct()), k)
+    found = stored(_nearest(index, asked, _walk(index, asked.select("node").distinct()), k), "found")
+    # A walk that ends inside a small group may have met fewer than there are.
+    full = found.groupBy("query_id").count().where(F.col("count") >= k)
+    short = stored(asked.join(full, "query_id", "left_anti"), "short")
+    if not short.isEmpty():
+        more = _nearest(index, short, _scanned(index, short.select("node").distinct(), k), k)
+        found = found.join(short.select("query_id").distinct(), "query_id", "left_anti").union(more)
+    return found
+
+
+def _scanned(index: Index, queries: DataFrame, k: int) -> DataFrame:
+    """(query, other): the best nodes of all for each query node (node), block by block."""
+    vectors = index.nodes.select("node", F.col("vec").cast("array<double>").alias("vec"))
+    rows = queries.join(vectors, "node").toLocalIterator()
+    parts = []
+    while block := list(islice(rows, SCANNED)):
+        ids, q = np.array([r["node"] for r in block]), np.array([r["vec"] for r in block], float)
+
+        def best(batches: Iterator[pa.RecordBatch], ids=ids, q=q) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    scores = q @ matrix(batch.column(1)).T
+                    n = min(k + 1, batch.num_rows)
+                    top = np.argpartition(-scores, n - 1, axis=1)[:, :n]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(ids.repeat(n)), pa.array(batch.column(0).to_numpy()[top.ravel()]),
+                            pa.array(np.take_along_axis(scores, top, 1).ravel()),
+                        ],
+                        names=["query", "other", "like"],
+                    )
+
+        place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("like"), "other"))
+        seen = vectors.mapInArrow(best, "query long, other long, like double")
+        parts.append(stored(seen.withColumn("place", place).where(F.col("place") <= k + 1).drop("place", "like"), "scanned"))
+    return reduce(DataFrame.union, parts)
 
 
 def _nearest(index: Index, asked: DataFrame, pairs: DataFrame, k: int) -> DataFrame:

@@ -167,6 +167,20 @@ def test_recall_in_a_tight_group(spark, monkeypatch):
     assert hits / 2000 >= 0.9
 
 
+@pytest.mark.parametrize("size, k", [(17, 20), (20, 20), (30, 40)])
+def test_small_separate_groups_are_left_for_the_rest(spark, size, k):
+    rng = np.random.default_rng(size)
+    centres = np.eye(8)[:2]
+    rows = [(g * size + i, (centres[g] + rng.normal(size=8) * 0.01).tolist(), 0, 1, 1) for g in range(2) for i in range(size)]
+    table = spark.createDataFrame(rows, SCHEMA)
+    got = nndescent.search(nndescent.build(table), table, k).collect()
+    whole = table.collect()
+    want = min(k, 2 * size - 1)
+    for q in whole:
+        mine = {r.vec_id for r in got if r.query_id == q.vec_id}
+        assert len(mine) == want and mine == {w[2] for w in nearest(whole, q, k)}
+
+
 def test_codes_are_close_and_symmetric():
     x = np.random.default_rng(3).normal(size=(50, 64))
     code = nndescent.decode(nndescent.encode(x))
