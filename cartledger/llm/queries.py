@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cartledger.llm import crosspolytope, html, mixing, nndescent, packing, quality, sharding, simhash, toxicity, warc
-from cartledger.llm.common import table
+from cartledger.llm import (
+    chat, crosspolytope, html, mixing, negatives, nndescent, packing, periodic, quality, sharding, simhash, toxicity, warc,
+)
+from cartledger.llm.common import WORD, table
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +62,64 @@ def op10_crosspolytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crosspolytope.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+#: A conversation that says control strings itself.
+CONTROL_CHAT = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame(CONTROL_CHAT, "conv_id long, turn long, role string, text string")
+    back = chat.read_back(chat.segments(rows.union(more)))
+    said = F.array_join("loss", "")
+    turns = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(turns, ""), 256).alias("turns_sha256"),
+        F.length(said).cast("long").alias("loss_chars"),
+        F.sha2(said, 256).alias("loss_sha256"),
+        F.length("text").cast("long").alias("formatted_chars"),
+    )
+
+
+ANCHOR_EVERY, SHIFTED_EVERY, LABELS = 50, 7, 10
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % SHIFTED_EVERY == 0, (F.col("label") + 1) % LABELS).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % ANCHOR_EVERY == 0, label=label)
+
+
+def repeating(key: Column, text: Column) -> Column:
+    """The text, but for one key in ten repeating one of its stretches to its end."""
+    h = F.crc32(key.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    n = F.size(words)
+    start = g % n
+    period = 1 + F.floor((n - start) / (3 + g % 8))
+    place = lambda i: F.when(i < start, i).otherwise(start + (i - start) % period)
+    again = F.transform(words, lambda w, i: F.element_at(words, (place(i) + 1).cast("int")))
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(again, " ")).otherwise(text)
+
+
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = periodic.detect(docs, repeating(F.col("doc_id"), F.col("text")))
+    best = periodic.longest(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_nndescent": op2_nndescent,
@@ -71,9 +131,14 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
     "op10_crosspolytope": op10_crosspolytope,
+    "op11_chat": op11_chat,
+    "op12_negatives": op12_negatives,
+    "op13_periodic": op13_periodic,
 }
 
 ORACLE_SQL = {
     "op4_sharding": sharding.SQL.format(limit=SHARD_LIMIT),
     "op9_mixing": mixing.SQL,
+    "op11_chat": chat.SQL,
+    "op12_negatives": negatives.SQL,
 }
