@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cartledger.llm.common import quoted
+from cartledger.llm.common import free_name, quoted
 
 USER, ASSISTANT, OTHER = ("[INST]", "[/INST]"), ("<s>", "</s>"), ("<<SYS>>", "<</SYS>>")
 SPEAKER = ("<role>", "</role>")
@@ -30,8 +30,8 @@ SYSTEM = "system"
 _TAILS = r"(?:/?INST\]|/?s>|</?SYS>>|/?role>)"
 _CONTROL = rf"(?:[<\[]{_TAILS})"
 _ESCAPABLE, _ESCAPED = rf"([<\[])(\\*+{_TAILS})", rf"([<\[])\\(\\*+{_TAILS})"
-#: A turn: (speaker, opener, text, closer); what ends a text may be the wrong control string.
-_TURN = rf"(?s)(?:<role>(.*?)</role>)?+(\[INST\]|<s>|<<SYS>>)(.*?)({_CONTROL})"
+#: A turn: speaker, opener, text, and what ends it, which may be the wrong control string.
+_TURN = rf"(?s)(?:<role>.*?</role>)?+(?:\[INST\]|<s>|<<SYS>>).*?{_CONTROL}"
 
 TURNS_TYPE = "array<struct<role: string, text: string>>"
 SEGMENTS_TYPE = "array<struct<text: string, loss: boolean>>"
@@ -58,27 +58,42 @@ def _opening(role: Column, name: Column) -> Column:
     return F.concat(speaker, _marks(role, 0))
 
 
-def parsed(text: Column) -> Column:
-    """The turns (role, text) that a rendered text holds, or null where it breaks the grammar."""
-    pieces = F.regexp_extract_all(text, F.lit(_TURN), F.lit(0))
+def _between(piece: Column, before: int, after: int) -> Column:
+    return F.substr(piece, F.lit(before + 1), F.length(piece) - (before + after))
 
-    def turn(piece: Column) -> Column:
-        part = [F.regexp_extract(piece, _TURN, i) for i in range(5)]
-        role = (
-            F.when(piece.startswith(SPEAKER[0]), unescaped(part[1]))
-            .when(part[2] == USER[0], "user").when(part[2] == ASSISTANT[0], "assistant").otherwise(SYSTEM)
-        )
-        return F.struct(role.alias("role"), unescaped(part[3]).alias("text"))
 
-    def closed(piece: Column) -> Column:
-        opener, closer = F.regexp_extract(piece, _TURN, 2), F.regexp_extract(piece, _TURN, 4)
-        named = piece.startswith(SPEAKER[0])
-        pairs = [(opener == o) & (closer == c) for o, c in (USER, ASSISTANT, OTHER)]
-        return pairs[2] | (~named & (pairs[0] | pairs[1]))
+def _turn(piece: Column) -> Column:
+    """(role, text) of a piece that ``_complete`` accepts."""
+    name = F.substring_index(piece, SPEAKER[1], 1)
+    rest = F.substr(piece, F.length(name) + len(SPEAKER[1]) + 1)
+    said = (
+        F.when(piece.startswith(SPEAKER[0]), _between(rest, *map(len, OTHER)))
+        .when(piece.startswith(USER[0]), _between(piece, *map(len, USER)))
+        .when(piece.startswith(ASSISTANT[0]), _between(piece, *map(len, ASSISTANT)))
+        .otherwise(_between(piece, *map(len, OTHER)))
+    )
+    role = (
+        F.when(piece.startswith(SPEAKER[0]), unescaped(F.substr(name, F.lit(len(SPEAKER[0]) + 1))))
+        .when(piece.startswith(USER[0]), "user").when(piece.startswith(ASSISTANT[0]), "assistant").otherwise(SYSTEM)
+    )
+    return F.struct(role.alias("role"), unescaped(said).alias("text"))
+
 
-    # Nothing may stand between turns, and each must end with the mark of its own kind.
-    whole = (F.array_join(pieces, "") == text) & F.forall(pieces, closed)
-    return F.when(whole, F.transform(pieces, turn))
+def _complete(piece: Column) -> Column:
+    """Whether a piece ends with the mark of its own kind."""
+    of = [piece.startswith(o) & piece.endswith(c) for o, c in (USER, ASSISTANT, OTHER)]
+    speaker = piece.startswith(SPEAKER[0]) & F.contains(piece, F.lit(SPEAKER[1] + OTHER[0])) & piece.endswith(OTHER[1])
+    return of[0] | of[1] | of[2] | speaker
+
+
+def parse(df: DataFrame, text: str, turns: str) -> DataFrame:
+    """Add ``turns``, the (role, text) that a rendered text holds, null where it breaks the grammar."""
+    pieces = free_name(df.columns, "_pieces")
+    # A column of its own, as functions over arrays would look for the pieces again and again.
+    found = df.withColumn(pieces, F.regexp_extract_all(quoted(text), F.lit(_TURN), F.lit(0)))
+    # Nothing may stand between turns.
+    whole = (F.array_join(pieces, "") == quoted(text)) & F.forall(pieces, _complete)
+    return found.withColumn(turns, F.when(whole, F.transform(pieces, _turn))).drop(pieces)
 
 
 def segments(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -86,7 +101,7 @@ def segments(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
 
     Joined they are the formatted text. ``loss`` marks the assistant's words, as escaped,
     without any mark around them. Rows stand by turn, null turns first; ties by role and
-    text, so repeated rows are repeated turns. Null roles and texts are empty; rows without a
+    text as escaped, so repeated rows are repeated turns. Null roles and texts are empty; rows without a
     conversation are one conversation of their own. An empty table gives no rows.
     """
     given = rows.select(
@@ -100,19 +115,23 @@ def segments(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
         return F.concat(_opening(F.col("role"), name), said, _marks(F.col("role"), 1))
 
     # A turn alone tells: the grammar knows no state but that of the turn it is in.
-    plain = parsed(rendered(F.col("role"), F.col("text"))).eqNullSafe(source)
-    tried = given.withColumn("plain", plain).select(
-        "conv", "turn", "role", "text",
+    plain = parse(given.withColumn("whole", rendered(F.col("role"), F.col("text"))), "whole", "back")
+    tried = plain.select("conv", "turn", "role", "text", F.col("back").eqNullSafe(source).alias("plain")).select(
+        "conv", "turn", "role", "text", "plain",
         F.when(F.col("plain"), F.col("role")).otherwise(escaped(F.col("role"))).alias("name"),
         F.when(F.col("plain"), F.col("text")).otherwise(escaped(F.col("text"))).alias("said"),
     )
-    same = parsed(rendered(F.col("name"), F.col("said"))).eqNullSafe(source)
-    checked = tried.withColumn(
-        "said", F.when(same, F.col("said")).otherwise(F.raise_error(F.lit("a turn is not read back as it was")))
+    whole = F.when(~F.col("plain"), rendered(F.col("name"), F.col("said")))
+    again = parse(tried.withColumn("whole", whole), "whole", "back")
+    same = F.col("plain") | F.col("back").eqNullSafe(source)
+    checked = again.select(
+        "conv", "turn", "role", "name",
+        F.when(same, F.col("said")).otherwise(F.raise_error(F.lit("a turn is not read back as it was"))).alias("said"),
+        F.when(~F.col("plain"), F.col("text")).alias("text"),  # where it is not what is said
     )
     # Partial lists are made where the rows lie, so a long conversation is few rows in the shuffle.
     turns = checked.groupBy("conv").agg(
-        F.array_sort(F.collect_list(F.struct("turn", "role", "text", "name", "said"))).alias("turns")
+        F.array_sort(F.collect_list(F.struct("turn", "role", "said", "name", "text"))).alias("turns")
     )
     parts = F.transform(
         "turns",
@@ -123,9 +142,10 @@ def segments(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
         ),
     )
     built = turns.select("conv", "turns", F.flatten(parts).alias("segments"))
-    again = parsed(formatted(built)).eqNullSafe(F.transform("turns", lambda t: F.struct(t["role"], t["text"])))
+    back = parse(built.withColumn("whole", formatted(built)), "whole", "back")
+    same = F.col("back").eqNullSafe(F.transform("turns", lambda t: F.struct(t["role"], F.coalesce(t["text"], t["said"]))))
     lost = F.raise_error(F.lit("a conversation is not read back as it was")).cast(SEGMENTS_TYPE)
-    return built.select(F.col("conv").alias(conv), F.when(again, F.col("segments")).otherwise(lost).alias("segments"))
+    return back.select(F.col("conv").alias(conv), F.when(same, F.col("segments")).otherwise(lost).alias("segments"))
 
 
 def formatted(chats: DataFrame) -> Column:
@@ -143,10 +163,9 @@ def read_back(chats: DataFrame, conv: str = "conv_id") -> DataFrame:
         quoted(conv).alias("conv"), formatted(chats).alias("text"),
         F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescaped(s["text"])).alias("loss"),
     )
-    turns = F.coalesce(
-        parsed(F.col("text")), F.raise_error(F.lit("a text breaks the grammar")).cast(TURNS_TYPE)
-    )
-    return whole.select(F.col("conv").alias(conv), "text", turns.alias("turns"), "loss")
+    broken = F.raise_error(F.lit("a text breaks the grammar")).cast(TURNS_TYPE)
+    back = parse(whole, "text", "turns")
+    return back.select(F.col("conv").alias(conv), "text", F.coalesce("turns", broken).alias("turns"), "loss")
 
 
 SQL = r"""
@@ -156,14 +175,13 @@ WITH turns AS (
     (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))),
 marked AS (
   SELECT *, regexp_replace(text, '([<\[])(\\*(?:/?INST\]|/?s>|</?SYS>>|/?role>))', '\1\\\2', 'g') AS said,
-    regexp_matches(text, '[<\[](?:/?INST\]|/?s>|</?SYS>>|/?role>)') OR regexp_matches(text, '[<\[]\\+(?:/?INST\]|/?s>|</?SYS>>|/?role>)') AS clash,
     CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 ELSE 15 END
       + CASE WHEN role IN ('user', 'assistant', 'system') THEN 0 ELSE length('<role>' || role || '</role>') END AS marks
   FROM turns)
 SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, said)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  sum(marks + length(CASE WHEN clash THEN said ELSE text END))::BIGINT AS formatted_chars
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, said) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(marks + length(said))::BIGINT AS formatted_chars
 FROM marked GROUP BY conv_id
 """

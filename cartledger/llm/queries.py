@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartledger.llm import (
     chat, crosspolytope, html, mixing, negatives, nndescent, packing, periodic, quality, sharding, simhash, toxicity, warc,
@@ -90,22 +90,22 @@ def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % ANCHOR_EVERY == 0, label=label)
 
 
-def repeating(key: Column, text: Column) -> Column:
-    """The text, but for one key in ten repeating one of its stretches to its end."""
-    h = F.crc32(key.cast("string").cast("binary"))
-    g = F.floor(h / 10)
-    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    n = F.size(words)
-    start = g % n
-    period = 1 + F.floor((n - start) / (3 + g % 8))
-    place = lambda i: F.when(i < start, i).otherwise(start + (i - start) % period)
-    again = F.transform(words, lambda w, i: F.element_at(words, (place(i) + 1).cast("int")))
-    return F.when((h % 10 == 0) & (n > 0), F.array_join(again, " ")).otherwise(text)
+def repeating(docs: DataFrame) -> DataFrame:
+    """(doc_id, text), the text of one key in ten repeating one of its stretches to its end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    split = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    # Columns of their own, as a function over an array would split the text for every word.
+    words = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, split).alias("words"))
+    n = F.size("words")
+    start = words.select("*", F.when(n > 0, F.col("g") % n).alias("a"))
+    period = start.select("*", (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).alias("p"))
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    again = F.transform("words", lambda w, i: F.element_at("words", (place(i) + 1).cast("int")))
+    return period.select("doc_id", F.when(F.col("a").isNull(), F.col("text")).otherwise(F.array_join(again, " ")).alias("text"))
 
 
 def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    found = periodic.detect(docs, repeating(F.col("doc_id"), F.col("text")))
+    found = periodic.detect(repeating(table(spark, sf_dir, "documents")))
     best = periodic.longest(F.col("runs"))
     lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
     return found.withColumn("best", best).select(

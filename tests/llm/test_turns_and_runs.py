@@ -59,9 +59,9 @@ def test_chat_escapes_only_what_clashes(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
-@pytest.mark.parametrize("broken", ["[INST]a</s>", "x[INST]a[/INST]", "[INST]a[/INST]x", "<role>r</role>[INST]a[/INST]", "[INST]a"])
+@pytest.mark.parametrize("broken", ["[INST]a</s>", "x[INST]a[/INST]", "[INST]a[/INST]x", "<role>r</role>[INST]a[/INST]", "[INST]a", "<role>r</role><s>a<</SYS>>"])
 def test_broken_texts_have_no_turns(spark, broken):
-    assert spark.createDataFrame([(broken,)], "t string").select(chat.parsed(F.col("t"))).first()[0] is None
+    assert chat.parse(spark.createDataFrame([(broken,)], "t string"), "t", "turns").first()["turns"] is None
 
 
 def test_no_chats(spark):
