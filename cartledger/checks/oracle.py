@@ -496,8 +496,8 @@ _OPERATORS = {
             "category_translation": "m_translation",
         }
     ),
-    "src_query": """SELECT payment_type, COUNT(*) AS n,
-                      CAST(SUM(payment_value) AS DOUBLE) AS total
+    "src_query": """SELECT payment_type, COUNT(*) AS payments,
+                      CAST(SUM(payment_value) AS DOUBLE) AS total, 'payments' AS source
                     FROM m_payments GROUP BY payment_type""",
     "snk_parquet": """SELECT order_id, payment_sequential, payment_type, payment_installments,
                         CAST(payment_value AS DOUBLE) AS payment_value
@@ -519,6 +519,15 @@ _OPERATORS = {
                       CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_orderdate END
                         AS order_purchase_timestamp
                     FROM orders""",
+    "cln_date_formats": """
+        SELECT order_id,
+               CASE WHEN order_id % 97 <> 0 AND order_id % 89 <> 0
+                    THEN date_trunc('minute', order_purchase_timestamp) END AS bought,
+               CASE WHEN order_id % 83 <> 0 THEN date_trunc('second', order_estimated_delivery_date) END AS due,
+               'day_first' AS bought_form, 'month_first' AS due_form,
+               COUNT(*) FILTER (order_id % 97 = 0 OR order_id % 89 = 0) OVER () AS bought_misfits,
+               COUNT(*) FILTER (order_id % 83 = 0) OVER () AS due_misfits
+        FROM m_orders""",
     "cln_null_drop": f"""SELECT p_partkey, size, CAST(price AS DOUBLE) AS price, ean, brand
         FROM ({_DIRTY_PARTS}) WHERE size IS NOT NULL AND price IS NOT NULL
           AND brand IS NOT NULL""",

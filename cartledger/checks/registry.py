@@ -85,9 +85,10 @@ def _src_query(spark, sf_dir):
     return _doubles(
         run_query(
             spark,
-            """SELECT payment_type, COUNT(*) AS n, SUM(payment_value) AS total
-               FROM mapped_payments GROUP BY payment_type""",
-            {"mapped_payments": star.payments(spark, sf_dir)},
+            """SELECT Payments.payment_type, COUNT(*) AS payments, SUM(payments.payment_value) AS total,
+                      'payments' AS source
+               FROM PAYMENTS GROUP BY payments.payment_type""",
+            {"payments": star.payments(spark, sf_dir)},
         )
     )
 
@@ -247,6 +248,26 @@ def _cln_dates(spark, sf_dir):
     return cleaning.parse_dates(broken, ["order_purchase_timestamp", "no_such_column"])
 
 
+def _cln_date_formats(spark, sf_dir):
+    """A column with the day first and one with the month first and a twelve-hour clock, each
+    with values that do not fit."""
+    key = F.col("order_id")
+    written = star.orders(spark, sf_dir).select(
+        key,
+        F.when(key % 97 == 0, "no date").when(key % 89 == 0, F.col("order_purchase_timestamp").cast("string"))
+        .otherwise(F.date_format("order_purchase_timestamp", "dd/MM/yyyy HH:mm")).alias("bought"),
+        F.when(key % 83 == 0, "Marble 5, 2023")
+        .otherwise(F.date_format("order_estimated_delivery_date", "M/d/yyyy hh:mm:ss a")).alias("due"),
+    )
+    columns = ["bought", "due"]
+    told = cleaning.date_formats(written, columns).agg(
+        F.map_from_entries(F.collect_list(F.struct("column", F.struct("form", "misfits")))).alias("told")
+    ).scalar()
+    parsed = cleaning.parse_dates_by_column(written, columns).withColumn("told", told)
+    figures = [F.col("told")[c][f].alias(f"{c}_{f}") for c in columns for f in ("form", "misfits")]
+    return parsed.select("order_id", *columns, *figures)
+
+
 def _gappy_parts(spark, sf_dir) -> DataFrame:
     key = F.col("p_partkey")
     return star.read_star(spark, sf_dir, "part").select(
@@ -458,6 +479,7 @@ def queries() -> dict[str, Query]:
         "cat_row_count": _cat_row_count,
         "cln_names": _cln_names,
         "cln_dates": _cln_dates,
+        "cln_date_formats": _cln_date_formats,
         "cln_null_drop": _gappy(cleaning.drop_nulls, ["size", "price", "brand"]),
         "cln_null_zero": _gappy(cleaning.fill_zero, ["size", "price", "brand"]),
         "cln_null_mean": _gappy(cleaning.fill_mean),

@@ -14,7 +14,7 @@ from pyspark.sql.types import (
     StringType,
 )
 
-from cartledger.functions import parse_timestamp
+from cartledger.functions.dates import FORMS, best_form, form_counts, parse_as, parse_timestamp
 from cartledger.operators.skew import free_name
 
 
@@ -43,6 +43,59 @@ def parse_dates(df: DataFrame, columns: Iterable[str], day_first: bool = False)
     )
 
 
+def _texts(df: DataFrame, columns: Iterable[str]) -> list[str]:
+    return [c for c in columns if c in df.columns and isinstance(df.schema[c].dataType, StringType)]
+
+
+def date_formats(df: DataFrame, columns: Iterable[str], offsets: str = "utc") -> DataFrame:
+    """(column, form, values, fits, misfits) of text columns: the form of a date that most values fit.
+
+    One aggregate over the rows. A column without any date has no form; of forms that as many
+    values fit the first of ``functions.dates.FORMS`` is taken, so where nothing tells, the
+    month comes first.
+    """
+    chosen = _texts(df, columns)
+    if not chosen:
+        return df.sparkSession.createDataFrame([], "column string, form string, values bigint, fits bigint, misfits bigint")
+    rows = [
+        F.struct(
+            F.lit(c).alias("column"), F.when(best["fits"] > 0, best["form"]).alias("form"),
+            F.col(f"c{i}_values").alias("values"), best["fits"].alias("fits"),
+            (F.col(f"c{i}_values") - best["fits"]).alias("misfits"),
+        )
+        for i, c in enumerate(chosen)
+        for best in [F.col(f"c{i}")]
+    ]
+    return _best_forms(df, chosen, offsets).select(F.inline(F.array(*rows)))
+
+
+def _best_forms(df: DataFrame, columns: Sequence[str], offsets: str) -> DataFrame:
+    """One row: ``best_form`` as c0, c1, ... and the numbers of values as c0_values, ... of the columns."""
+    counts = [count for i, c in enumerate(columns) for count in form_counts(F.col(c), f"c{i}", offsets)]
+    return df.agg(*counts).select("*", *[best_form(f"c{i}").alias(f"c{i}") for i in range(len(columns))])
+
+
+def parse_dates_by_column(df: DataFrame, columns: Iterable[str], offsets: str = "utc") -> DataFrame:
+    """Read text columns as timestamps, each by the one form that most of its values fit.
+
+    So the column decides whether the day or the month comes first. Values of another form
+    become null; ``date_formats`` counts them. The forms are a scalar subquery, so nothing
+    runs before the result is used.
+    """
+    chosen = _texts(df, columns)
+    if not chosen:
+        return df
+    best = _best_forms(df, chosen, offsets)
+    forms = best.select(F.struct(*[F.col(f"c{i}")["form"].alias(c) for i, c in enumerate(chosen)]).alias("forms"))
+    held = free_name(df, "_forms")
+    known = df.withColumn(held, forms.scalar())  # named once, as every mention would be planned anew
+
+    def parsed(c: str) -> Column:
+        return F.coalesce(*[F.when(F.col(held)[c] == f, parse_as(F.col(c), f, offsets)) for f in FORMS])
+
+    return known.withColumns({c: parsed(c) for c in chosen}).drop(held)
+
+
 def drop_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return df.na.drop("any", subset=list(columns or df.columns))
 

@@ -45,6 +45,7 @@ class EtlConfig:
     target: Target | None = None
     infer: bool = False
     day_first: bool = False
+    dates_by_column: bool = False
 
     def __post_init__(self):
         if self.export not in EXPORT_FORMATS:
@@ -77,7 +78,10 @@ def extract(
     them. Types that are not declared are inferred here, once, if asked for.
     """
     csv = cfg.source_format == "csv"
-    options = {"infer": cfg.infer, "day_first": cfg.day_first, "rejects": REJECTED, "file_position": True}
+    options = {
+        "infer": cfg.infer, "day_first": cfg.day_first, "dates_by_column": cfg.dates_by_column,
+        "rejects": REJECTED, "file_position": True,
+    }
     found = read_catalog(
         spark, cfg.source, cfg.prefix, fmt=cfg.source_format, **(options if csv else {})
     )

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from urllib.parse import unquote
+from threading import Lock
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -25,7 +23,8 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-from cartledger.functions import parse_timestamp
+from cartledger.functions.dates import best_form, form_counts, parse_as, parse_timestamp
+from cartledger.sources.headers import header_groups
 
 # The text pandas reads as missing by default.
 NULL_TOKENS = (
@@ -57,28 +56,26 @@ def _unused(name: str, taken: Iterable[str]) -> str:
     return name
 
 
-def _groups(spark: SparkSession, path: str, reader) -> list[tuple[list[str], list[str]]]:
-    """(header, files) of the files that share a header; a header is one line read per file.
-
-    The lines are read by small jobs, several at a time; only names come to the driver.
-    """
-    whole = _existing(path, lambda: reader().csv(path))
-    files = sorted(whole.inputFiles())
-    if len(files) < 2:
-        return [(whole.columns, [path])]
-    with ThreadPoolExecutor(16) as pool:
-        headers = list(pool.map(lambda file: reader().csv(unquote(file)).columns, files))
-    found: dict[tuple[str, ...], list[str]] = {}
-    for header, file in zip(headers, files):
-        if header:  # a file without any line has no columns
-            found.setdefault(tuple(header), []).append(unquote(file))
+def _groups(spark: SparkSession, path: str, reader, multi_line: bool, options: Mapping) -> list[tuple[list[str], list[str]]]:
+    """(header, files) of the files that share a header, found by one query over the files."""
+    # Opened with some schema, so that no job looks for one.
+    listed = _existing(path, lambda: reader().schema("line string").csv(path)).inputFiles()
+    if len(listed) < 2:
+        return [(reader().csv(path).columns, [path])]
+    found = header_groups(spark, path, multi_line, options.get("quote", '"'), options.get("comment", ""))
     if len(found) < 2:
-        return [(list(next(iter(found), whole.columns)), [path])]
-    return [(list(header), files) for header, files in found.items()]
-
-
-def _convert(text: Column, kind: DataType, day_first: bool) -> Column:
-    """Text as a value of ``kind``; null where it does not fit without loss."""
+        return [(reader().csv(found[0][1][0]).columns if found else [], [path])]
+    # Lines that are spelled differently may still name the same columns.
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for _, files in found:
+        groups.setdefault(tuple(reader().csv(files[0]).columns), []).extend(files)
+    if len(groups) < 2:
+        return [(list(next(iter(groups))), [path])]
+    return [(list(header), files) for header, files in groups.items()]
+
+
+def _convert(text: Column, kind: DataType, day_first: bool, form: str | None = None) -> Column:
+    """Text as a value of ``kind``, dates by ``form`` if given; null where it does not fit without loss."""
     if isinstance(kind, IntegralType):
         exact = text.try_cast("decimal(38,10)")
         return F.when(exact == F.floor(exact), exact).try_cast(kind)
@@ -86,10 +83,8 @@ def _convert(text: Column, kind: DataType, day_first: bool) -> Column:
         exact = text.try_cast("decimal(38,10)")
         value = text.try_cast(kind)
         return F.when(exact == value, value)
-    if isinstance(kind, TimestampNTZType):
-        return parse_timestamp(text, day_first)
-    if isinstance(kind, DateType):
-        return parse_timestamp(text, day_first).cast(kind)
+    if isinstance(kind, (TimestampNTZType, DateType)):
+        return (parse_as(text, form) if form else parse_timestamp(text, day_first)).cast(kind)
     return text.try_cast(kind)
 
 
@@ -128,6 +123,15 @@ def _inferred(df: DataFrame, columns: list[str]) -> dict[str, DataType]:
     return kinds
 
 
+def _date_forms(df: DataFrame, columns: list[str]) -> dict[str, str]:
+    """The form that most values of each text column fit, in one pass."""
+    if not columns:
+        return {}
+    counts = [count for i, c in enumerate(columns) for count in form_counts(F.trim(_quoted(c)), f"c{i}")]
+    seen = df.agg(*counts).select(*[best_form(f"c{i}")["form"] for i in range(len(columns))]).first()
+    return dict(zip(columns, seen))
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -138,6 +142,7 @@ def read_csv(
     rejects: str | None = None,
     file_position: bool = False,
     day_first: bool = False,
+    dates_by_column: bool = False,
     **options,
 ) -> DataFrame:
     """CSV with a header line, typed by ``schema``.
@@ -149,6 +154,10 @@ def read_csv(
     their scale, dates have the forms of ``parse_timestamp``. A field that does not fit is
     null, and ``rejects`` adds an array of the names of such fields to each row.
 
+    Dates are read value by value, or with ``dates_by_column`` all of a column by the one form
+    that most of them fit, found in an extra pass; so ``05/01/2023`` is in May or January by what
+    the rest of the column says, and what has another form is a misfit.
+
     A column without a declared type is text, or with ``infer`` what all its values are,
     found in an extra pass. ``file_position`` adds ``FILE_POSITION``. Other keywords are
     Spark CSV options.
@@ -165,7 +174,7 @@ def read_csv(
 
     spelled: dict[str, str] = {}
     parts = []
-    for header, files in _groups(spark, path, reader):
+    for header, files in _groups(spark, path, reader, multi_line, options):
         clean = [_clean(c) for c in header]
         if len(set(clean)) < len(clean):
             raise ValueError(f"columns of {files[0]} have the same cleaned name: {header}")
@@ -189,8 +198,10 @@ def read_csv(
     undeclared = [c for c in fields if _clean(c) not in declared]
     inferred = _inferred(df, undeclared) if infer else {}
     kinds = {c: declared.get(_clean(c)) or inferred.get(c) or StringType() for c in fields}
+    dates = [c for c, kind in kinds.items() if isinstance(kind, (TimestampNTZType, DateType))]
+    forms = _date_forms(df, dates) if dates_by_column else {}
     converted = {
-        c: _convert(F.trim(_quoted(c)), kind, day_first)
+        c: _convert(F.trim(_quoted(c)), kind, day_first, forms.get(c))
         for c, kind in kinds.items()
         if not isinstance(kind, StringType)
     }
@@ -205,8 +216,12 @@ def read_csv(
     return df
 
 
+def quoted_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _quoted(name: str):
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted_name(name))
 
 
 def with_file_position(df: DataFrame) -> DataFrame:
@@ -254,22 +269,36 @@ def read_jdbc(
     return spark.read.format("jdbc").options(**options).load()
 
 
+#: Given tables are views of the session while their query is resolved.
+_VIEWS = Lock()
+
+
+def _is_view(spark: SparkSession, name: str) -> bool:
+    try:
+        return spark.catalog.getTable(name).isTemporary
+    except AnalysisException:
+        return False
+
+
 def run_query(
     spark: SparkSession, query: str, tables: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:
     """Result of a SQL query over catalogue tables and the given ones, by name.
 
-    A given table is named where it stands alone; as a prefix of a column give it an alias.
+    The given tables hide tables and views of the same name in this one query. They are
+    views only while Spark resolves it; afterwards the caller's views are as before. Names
+    are those of unquoted SQL, whatever their case.
     """
     text = query.strip().rstrip(";")
-    if not tables:
-        return spark.sql(text)
-    # A frame handed to the session as an argument gets a view of its own for this one
-    # query, so views of the caller with the same name stay as they are.
-    names = "|".join(sorted(map(re.escape, tables), key=len, reverse=True))
-
-    def argument(m: re.Match) -> str:
-        return f"{{{m[1]}}}" if m[1] else m[0].replace("{", "{{").replace("}", "}}")
-
-    quoted_or_table = rf"'[^']*'|(?<![\w.{{`])({names})(?![\w.`])"
-    return spark.sql(re.sub(quoted_or_table, argument, text), **tables)
+    with _VIEWS:
+        hidden = {name: spark.table(quoted_name(name)) for name in tables or () if _is_view(spark, quoted_name(name))}
+        try:
+            for name, df in (tables or {}).items():
+                df.createOrReplaceTempView(quoted_name(name))
+            return spark.sql(text)
+        finally:
+            for name in tables or ():
+                if name in hidden:
+                    hidden[name].createOrReplaceTempView(quoted_name(name))
+                else:
+                    spark.catalog.dropTempView(name)

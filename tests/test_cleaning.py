@@ -117,3 +117,53 @@ def test_whole_numbers_keep_their_value_unless_named(spark):
 def test_a_column_named_like_the_helper_stays(spark):
     df = spark.createDataFrame([(1, 5, "b"), (1, 7, "a")], "k int, _copy int, x string")
     assert bag(cleaning.drop_duplicate_keys(df, ["k"])) == [(1, 5, "b")]
+
+
+DATES = {
+    "01/05/2023 10:00 PM": dt.datetime(2023, 1, 5, 22),
+    "12/31/2023 12:30:05 a.m.": dt.datetime(2023, 12, 31, 0, 30, 5),
+    "05-Jan-2023": dt.datetime(2023, 1, 5),
+    "1/5/23": dt.datetime(2023, 1, 5),
+    "1/5/69": dt.datetime(1969, 1, 5),
+    "20230105103000": dt.datetime(2023, 1, 5, 10, 30),
+    "20230105T1030": dt.datetime(2023, 1, 5, 10, 30),
+    "Thu, 05 Jan 2023 10:00:00": dt.datetime(2023, 1, 5, 10),
+    "Thursday, January 5, 2023": dt.datetime(2023, 1, 5),
+    "5 Sept 2023": dt.datetime(2023, 9, 5),
+    "2023-01-05T10:00:00+02:00": dt.datetime(2023, 1, 5, 8),
+    "2023-01-05 23:00-0130": dt.datetime(2023, 1, 6, 0, 30),
+    "2023-01-05T10:00:00.25Z": dt.datetime(2023, 1, 5, 10, 0, 0, 250000),
+    "2023-01": dt.datetime(2023, 1, 1),
+    "Marble 5, 2023": None,
+    "5 Junk 2023": None,
+    "13/13/2023": None,
+    "01/05/2023 13:00 PM": None,
+    "2023-02-30": None,
+    "20231301": None,
+    "": None,
+}
+
+
+def test_forms_of_dates(spark):
+    df = spark.createDataFrame([(t,) for t in DATES], "d string")
+    assert dict(zip(DATES, [r.d for r in cleaning.parse_dates(df, ["d"]).collect()])) == DATES
+
+
+def test_offsets_may_be_rejected(spark):
+    df = spark.createDataFrame([("2023-01-05T10:00:00+02:00",), ("2023-01-05T10:00:00",)], "d string")
+    got = [r.d for r in cleaning.parse_dates_by_column(df, ["d"], offsets="reject").collect()]
+    assert got == [None, dt.datetime(2023, 1, 5, 10)]
+    assert cleaning.date_formats(df, ["d"], offsets="reject").first().misfits == 1
+
+
+def test_the_column_decides_what_comes_first(spark):
+    rows = [("05/01/2023", "05/01/2023", None, "x"), ("30/01/2023", "01/30/2023", None, "y"), ("06/01/2023", "2023-01-06", None, None)]
+    df = spark.createDataFrame(rows, "a string, b string, c string, d string")
+    got = cleaning.parse_dates_by_column(df, ["a", "b", "c", "d", "none"]).collect()
+    assert [r.a for r in got] == [dt.datetime(2023, 1, n) for n in (5, 30, 6)]
+    assert [r.b for r in got] == [dt.datetime(2023, 5, 1), dt.datetime(2023, 1, 30), None]
+    assert {r.c for r in got} == {r.d for r in got} == {None}
+    assert bag(cleaning.date_formats(df, ["a", "b", "c", "d"])) == [
+        ("a", "day_first", 3, 3, 0), ("b", "month_first", 3, 2, 1), ("c", None, 0, 0, 0), ("d", None, 2, 0, 2),
+    ]
+    assert cleaning.date_formats(df.limit(0), ["a"]).first().form is None

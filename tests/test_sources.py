@@ -1,4 +1,5 @@
 import datetime as dt
+import uuid
 from decimal import Decimal
 
 import pytest
@@ -208,3 +209,58 @@ def test_scratch_data_needs_a_shared_folder_on_a_cluster():
     for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
         with pytest.raises(RuntimeError):
             scratch_path(Master(master), "t")
+
+
+def _count_jobs(spark, act):
+    tracker, group = spark.sparkContext.statusTracker(), f"counted {uuid.uuid4()}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        found = act()
+        return found, len(tracker.getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_headers_of_many_files_take_a_fixed_number_of_jobs(spark, tmp_path):
+    jobs = {}
+    for n in (120, 180):
+        folder = tmp_path / f"many {n}%"
+        folder.mkdir()
+        for i in range(n):
+            text = ("customer_id,customer_city\n{i},x\n", "\n Customer_City ,CUSTOMER_ID\nx,{i}\n", "")[i % 3]
+            (folder / f"part {i}%.csv").write_text(text.format(i=i), encoding="utf-8")
+        df, jobs[n] = _count_jobs(spark, lambda: read_csv(spark, str(folder), TABLES["customers"].schema))
+        assert bag(df) == sorted((str(i), "x") for i in range(n) if i % 3 < 2)
+    assert jobs[120] == jobs[180] < 10
+
+
+def test_headers_with_open_quotes_comments_and_long_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('# note\n"two\nlines",b\n1,2\n', encoding="utf-8")
+    (tmp_path / "b.csv").write_text('b,"two\nlines"\n2,1\n' * 1 + "4,3\n" * 20_000, encoding="utf-8")
+    df = read_csv(spark, str(tmp_path), multi_line=True, comment="#")
+    assert df.columns == ["two\nlines", "b"]
+    assert df.distinct().count() == 2 and df.count() == 20_002
+
+
+def test_plain_sql_sees_given_tables_and_leaves_views_alone(spark):
+    spark.range(3).createOrReplaceTempView("mine")
+    given = {"mine": spark.range(7), "orders": spark.range(2)}
+    ask = lambda q: run_query(spark, q, given)
+    assert [r.x for r in ask('select "orders" x from orders').collect()] == ["orders"] * 2
+    assert ask("select count(*) as orders from orders").columns == ["orders"]
+    assert ask("select orders.id from orders").count() == 2
+    assert ask("select * from ORDERS join mine m on m.id = orders.id").count() == 2
+    kept = ask("select * from mine")
+    with pytest.raises(Exception):
+        ask("select nothing from mine")
+    assert kept.count() == 7 and spark.table("mine").count() == 3
+    assert not spark.catalog.tableExists("orders")
+
+
+def test_dates_by_column_of_a_file(spark, tmp_path):
+    path = tmp_path / "o.csv"
+    path.write_text("order_id,order_purchase_timestamp\n1,05/01/2023\n2,30/01/2023 10:00 PM\n3,2023-01-06\n", encoding="utf-8")
+    df = read_csv(spark, str(path), TABLES["orders"].schema, dates_by_column=True, rejects="bad")
+    assert bag(df) == [
+        ("1", dt.datetime(2023, 1, 5), []), ("2", dt.datetime(2023, 1, 30, 22), []), ("3", None, ["order_purchase_timestamp"]),
+    ]
