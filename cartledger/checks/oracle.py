@@ -463,6 +463,16 @@ def _phases() -> str:
     return "\nUNION ALL\n".join(rows)
 
 
+_MODES = f"""WITH d AS ({_DIRTY_PARTS}),
+        top AS (SELECT brand FROM d WHERE brand IS NOT NULL GROUP BY brand
+                ORDER BY COUNT(*) DESC, brand LIMIT 1),
+        top_size AS (SELECT size FROM d WHERE size IS NOT NULL GROUP BY size
+                     ORDER BY COUNT(*) DESC, size LIMIT 1)
+        SELECT p_partkey, COALESCE(size, (SELECT size FROM top_size)) AS size,
+               CAST(price AS DOUBLE) AS price, ean,
+               COALESCE(brand, (SELECT brand FROM top)) AS brand
+        FROM d"""
+
 _OPERATORS = {
     "src_csv": "SELECT * FROM m_customers",
     "src_parquet": f"SELECT {_ITEMS} FROM m_items",
@@ -506,6 +516,7 @@ _OPERATORS = {
                         CAST(payment_value AS DOUBLE) AS payment_value FROM m_payments""",
     "snk_csv": _SUMMARY_RAW,
     "snk_bundle": 'SELECT *, COUNT(*) OVER () AS "rows" FROM m_customers',
+    "snk_bundle_versioned": "SELECT *, CAST(2 AS BIGINT) AS versions FROM m_customers",
     "snk_table": "SELECT * FROM m_sellers",
     "snk_table_many": """SELECT 'customers' AS "table", TRUE AS ok,
                                 CAST(COUNT(*) AS DOUBLE) AS "rows" FROM m_customers UNION ALL
@@ -541,16 +552,12 @@ _OPERATORS = {
                                           AS DECIMAL(38,8)) AS DOUBLE) FROM d)) AS price,
                ean, brand
         FROM d""",
-    "cln_null_mode": f"""WITH d AS ({_DIRTY_PARTS}),
-        top AS (SELECT brand FROM d WHERE brand IS NOT NULL GROUP BY brand
-                ORDER BY COUNT(*) DESC, brand LIMIT 1),
-        top_size AS (SELECT size FROM d WHERE size IS NOT NULL GROUP BY size
-                     ORDER BY COUNT(*) DESC, size LIMIT 1)
-        SELECT p_partkey, COALESCE(size, (SELECT size FROM top_size)) AS size,
-               CAST(price AS DOUBLE) AS price, ean,
-               COALESCE(brand, (SELECT brand FROM top)) AS brand
-        FROM d""",
+    "cln_null_mode": _MODES,
+    "cln_null_mode_summaries": _MODES,
     "cln_dedup_row": f"SELECT {_ORDERS} FROM m_orders",
+    "cln_dedup_row_two_pass": f"""SELECT DISTINCT {', '.join(
+        f'CASE WHEN order_id % 3 <> 0 THEN {c.strip()} END AS {c.strip()}' for c in _ORDERS.split(','))}
+        FROM m_orders""",
     "cln_dedup_key": """
         SELECT order_id, order_item_id, product_id, seller_id, CAST(price AS DOUBLE) AS price,
                CAST(freight_value AS DOUBLE) AS freight_value
@@ -656,6 +663,10 @@ _OPERATORS = {
         SELECT 'drop_duplicate_keys', 'order_items', COUNT(*),
                COUNT(DISTINCT (order_id, order_item_id)) FROM m_items""",
     "etl_full": _SUMMARY,
+    "mart_sales_bucketed": _SUMMARY,
+    "etl_resumed": f"SELECT *, 'clean 7,extract 8,summarise 1' AS taken_over FROM ({_SUMMARY})",
+    "etl_incremental": f"""SELECT *, (SELECT CAST(MIN(year(order_purchase_timestamp)) AS VARCHAR) FROM m_orders) AS replaced
+        FROM ({_SUMMARY})""",
     "aud_run": _phases(),
 }
 

@@ -9,20 +9,25 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType
 
-from cartledger.operators import aggregates, cleaning, derive, joins
+from cartledger.operators import aggregates, cleaning, copies, derive, frequent, joins
 from cartledger.plans import etl, marts, quality, star_mapping as star
 from cartledger.operators.skew import SkewPolicy
 from cartledger.plans.audit import AuditLog
+from cartledger.plans.incremental import PARTS, SalesByYear
 from cartledger.plans.reports import REPORTS
+from cartledger.plans.steps import Ledger
 from cartledger.sources import (
     REJECTED,
     TABLES,
     read_catalog,
     read_csv,
     read_parquet,
+    layouts,
+    publish,
     run_query,
     scratch_path,
     sinks,
@@ -117,6 +122,23 @@ def _snk_bundle(spark, sf_dir):
     return read_parquet(spark, entry["path"]).withColumn("rows", F.lit(entry["rows"]))
 
 
+def _snk_bundle_versioned(spark, sf_dir):
+    """Customers of the last whole version: the next one fails at its third table."""
+    path = scratch_path(spark, "snk_bundle_versioned")
+    customers, sellers = star.customers(spark, sf_dir), star.sellers(spark, sf_dir)
+    publish.publish_bundle(spark, {"customers": customers.limit(0), "sellers": sellers}, path)
+    publish.publish_bundle(spark, {"customers": customers, "sellers": sellers}, path)
+    broken = customers.withColumn("customer_city", F.col("customer_city").cast("int"))
+    try:
+        publish.publish_bundle(spark, {"customers": customers.limit(0), "sellers": sellers, "broken": broken}, path)
+        raise AssertionError("the third table cannot be written")
+    except PySparkException:
+        pass
+    found = publish.versions(spark, path)
+    n = found.agg(F.count_distinct("version")).scalar()
+    return publish.read_published(spark, path)["customers"].withColumn("versions", n)
+
+
 def _target(spark, label) -> sinks.CatalogTarget:
     return sinks.CatalogTarget(scratch_path(spark, label))
 
@@ -292,6 +314,16 @@ def _cln_dedup_row(spark, sf_dir):
     return cleaning.drop_duplicate_rows(_repeated_orders(spark, sf_dir))
 
 
+def _cln_dedup_row_two_pass(spark, sf_dir):
+    """A third of all rows are one row."""
+    orders = star.orders(spark, sf_dir)
+    same = F.col("order_id") % 3 == 0
+    alike = {c: F.when(~same, F.col(c)).alias(c) for c in orders.columns}
+    path = scratch_path(spark, "dedup_two_pass")
+    sinks.write_parquet(orders.withColumns(alike), path)
+    return copies.drop_duplicate_rows_two_pass(read_parquet(spark, path))
+
+
 def _cln_dedup_key(spark, sf_dir):
     items = star.order_items(spark, sf_dir)
     return _doubles(cleaning.drop_duplicate_keys(items, ["order_id", "order_item_id"]))
@@ -384,6 +416,33 @@ def _mart_sales_summary(spark, sf_dir):
     )
 
 
+def _mart_sales_bucketed(spark, sf_dir):
+    raw = {}
+    for name in PARTS:
+        path = scratch_path(spark, f"bucketed_{name}")
+        raw[name] = layouts.write_bucketed(getattr(star, name)(spark, sf_dir), path, "order_id", 8)
+    cleaned = marts.build_all(raw)
+    return _doubles(marts.sales_summary(*(cleaned[t] for t in PARTS)), *NULLABLE_DAYS, "total_items")
+
+
+def _etl_incremental(spark, sf_dir):
+    """The mart after one year changed: at first it lacks the last items and payments of each order."""
+    sales = SalesByYear(spark, scratch_path(spark, "incremental"))
+    tables = marts.build_all({name: getattr(star, name)(spark, sf_dir) for name in PARTS})
+    bought = F.year("order_purchase_timestamp")
+    first = tables["orders"].agg(F.min(bought)).first()[0]
+    old = tables["orders"].filter(bought == F.lit(first)).select("order_id")
+    fewer = {
+        "order_items": tables["order_items"].filter("order_item_id > 1").join(old, "order_id", "left_semi"),
+        "payments": tables["payments"].filter("payment_sequential > 2").join(old, "order_id", "left_semi"),
+    }
+    rest = {name: tables[name].join(old, "order_id", "left_anti").unionByName(few) for name, few in fewer.items()}
+    sales.refresh({"orders": tables["orders"], **rest})
+    replaced = sales.refresh(tables)
+    whole = _doubles(sales.read(), *NULLABLE_DAYS, "total_items")
+    return whole.withColumn("replaced", F.lit(",".join(map(str, replaced))))
+
+
 #: Small enough that a third of the rows is hot, is split, and no side is broadcast.
 _EAGER = SkewPolicy(share=1 / 4, min_rows=100, rows_per_part=500, broadcast_rows=0)
 
@@ -454,6 +513,23 @@ def _etl_full(spark, sf_dir):
     return _doubles(summary.withColumns(ids), *NULLABLE_DAYS, "total_items")
 
 
+def _etl_resumed(spark, sf_dir):
+    """The sales mart of a run that stopped after the transformation and is started again."""
+    cfg = etl.EtlConfig(
+        source=_write_sources(spark, sf_dir), output=scratch_path(spark, "resumed"), export="bundle", resume=True
+    )
+    ledger, audit = Ledger(spark, f"{cfg.output}/ledger"), AuditLog()
+    landed, _ = etl.extract(spark, cfg, audit, ledger)
+    etl.transform(spark, cfg, landed, audit, ledger)
+    result = etl.run(spark, cfg)
+    steps = result.audit.filter("taken_over").groupBy("step").count()
+    taken = steps.agg(F.array_join(F.sort_array(F.collect_list(F.concat_ws(" ", "step", "count"))), ",").alias("s"))
+    summary = result.tables["sales_summary"]
+    ids = {c: F.col(c).cast("bigint") for c in ("order_id", "customer_id")}
+    whole = _doubles(summary.withColumns(ids), *NULLABLE_DAYS, "total_items")
+    return whole.withColumn("taken_over", taken.scalar())
+
+
 def _aud_run(spark, sf_dir):
     """Each phase of a run with the rows it took and gave."""
     audit = _run(spark, sf_dir, "parquet").audit
@@ -473,6 +549,7 @@ def queries() -> dict[str, Query]:
         "snk_parquet": _snk_parquet,
         "snk_csv": _snk_csv,
         "snk_bundle": _snk_bundle,
+        "snk_bundle_versioned": _snk_bundle_versioned,
         "snk_table": _snk_table,
         "snk_table_many": _snk_table_many,
         "cat_table_exists": _cat_table_exists,
@@ -484,7 +561,11 @@ def queries() -> dict[str, Query]:
         "cln_null_zero": _gappy(cleaning.fill_zero, ["size", "price", "brand"]),
         "cln_null_mean": _gappy(cleaning.fill_mean),
         "cln_null_mode": _gappy(cleaning.fill_mode, ["size", "brand"]),
+        "cln_null_mode_summaries": _gappy(
+            lambda df: frequent.fill_mode_from_summaries(df, ["size", "brand"], counters=4)
+        ),
         "cln_dedup_row": _cln_dedup_row,
+        "cln_dedup_row_two_pass": _cln_dedup_row_two_pass,
         "cln_dedup_key": _cln_dedup_key,
         "drv_orders": _mapped(derive.order_columns, "orders", nullable=NULLABLE_DAYS),
         "drv_delivery_days": _mapped(
@@ -516,6 +597,7 @@ def queries() -> dict[str, Query]:
         "agg_payments_per_order": _mapped(aggregates.payments_per_order, "payments"),
         "agg_by_category": _agg_by_category,
         "mart_sales_summary": _mart_sales_summary,
+        "mart_sales_bucketed": _mart_sales_bucketed,
         "mart_orders": _mart_orders,
         "mart_customers": _mart_customers,
         "mart_products": _mart_products,
@@ -530,4 +612,6 @@ def queries() -> dict[str, Query]:
         "aud_counts": _aud_counts,
         "aud_run": _aud_run,
         "etl_full": _etl_full,
+        "etl_incremental": _etl_incremental,
+        "etl_resumed": _etl_resumed,
     }

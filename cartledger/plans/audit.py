@@ -24,11 +24,11 @@ class AuditLog:
     rejections: list[DataFrame] = field(default_factory=list)
 
     def record(
-        self, step: str, table: str, before: DataFrame | None, after: DataFrame | int | None
+        self, step: str, table: str, before: DataFrame | None, after: DataFrame | int | None, taken_over: bool = False
     ) -> None:
         """A step from one stored table to another; ``after`` may be a known number of rows.
 
-        Without ``before`` the step began outside. Where the table written has the column
+        ``taken_over`` says that an earlier run did it. Without ``before`` the step began outside. Where the table written has the column
         ``REJECTED``, the values that did not fit their type are counted by column.
         """
         now = datetime.now(timezone.utc).replace(tzinfo=None)
@@ -47,6 +47,7 @@ class AuditLog:
                 F.lit(table).alias("table"),
                 read.alias("rows_in"),
                 "rows_out",
+                F.lit(taken_over).alias("taken_over"),
             )
         )
         if isinstance(after, DataFrame) and REJECTED in after.columns:

@@ -8,13 +8,17 @@ from file footers.
 from __future__ import annotations
 
 import time
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from cartledger.plans import marts
 from cartledger.plans.audit import AuditLog
+from cartledger.plans.incremental import PARTS, SalesByYear
 from cartledger.plans.quality import quality_report, run_summary
+from cartledger.plans.steps import Ledger, digest, files_fingerprint
 from cartledger.sources import (
     REJECTED,
     read_catalog,
@@ -22,10 +26,11 @@ from cartledger.sources import (
     read_parquet,
     with_file_position,
 )
+from cartledger.sources.layouts import stored_table, write_bucketed
+from cartledger.sources.publish import publish_bundle, read_published
 from cartledger.sources.sinks import (
     Target,
     load_tables,
-    write_bundle,
     write_csv,
     write_parquet,
 )
@@ -46,6 +51,12 @@ class EtlConfig:
     infer: bool = False
     day_first: bool = False
     dates_by_column: bool = False
+    #: Buckets by order of the landed orders, items and payments; none lands them plainly.
+    buckets: int | None = None
+    #: Keep the sales mart by year of purchase and replace only the years that changed.
+    incremental: bool = False
+    #: Go on where an earlier run into the same output stopped, as far as its inputs are the same.
+    resume: bool = False
 
     def __post_init__(self):
         if self.export not in EXPORT_FORMATS:
@@ -69,51 +80,92 @@ def _store(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return read_parquet(spark, path)
 
 
+def _ledger(spark: SparkSession, cfg: EtlConfig) -> Ledger:
+    return Ledger(spark, f"{cfg.output}/ledger" if cfg.resume else None)
+
+
 def extract(
-    spark: SparkSession, cfg: EtlConfig, audit: AuditLog
+    spark: SparkSession, cfg: EtlConfig, audit: AuditLog, ledger: Ledger | None = None
 ) -> tuple[dict[str, DataFrame], list[str]]:
     """Land the source tables as Parquet, each row with its place in the file.
 
     From CSV each row also names its fields that did not fit their type; the audit counts
     them. Types that are not declared are inferred here, once, if asked for.
     """
+    ledger = ledger or _ledger(spark, cfg)
     csv = cfg.source_format == "csv"
     options = {
         "infer": cfg.infer, "day_first": cfg.day_first, "dates_by_column": cfg.dates_by_column,
         "rejects": REJECTED, "file_position": True,
     }
+
+    def land(name: str, path: str, opened: Callable[[], DataFrame]) -> DataFrame:
+        output = f"{cfg.output}/landing/{name}"
+
+        def inputs() -> str:
+            ledger.at_hand[name] = digest(files_fingerprint(spark, path), cfg.source_format, options, cfg.buckets)
+            return ledger.at_hand[name]
+
+        def make() -> DataFrame:
+            placed = opened() if csv else with_file_position(opened())
+            if cfg.buckets and name in PARTS and "order_id" in placed.columns:
+                return write_bucketed(placed, output, "order_id", cfg.buckets)
+            return _store(spark, placed, output)
+
+        landed = ledger.run("extract", name, inputs, make, lambda: stored_table(spark, output))
+        audit.record("extract", name, None, landed, ("extract", name) in ledger.taken)
+        return landed
+
     found = read_catalog(
-        spark, cfg.source, cfg.prefix, fmt=cfg.source_format, **(options if csv else {})
+        spark, cfg.source, cfg.prefix, fmt=cfg.source_format, land=land, **(options if csv else {})
     )
     if not found.tables:
         raise FileNotFoundError(f"no known table under {cfg.source}")
-    landed = {}
-    for name, df in found.tables.items():
-        placed = df if csv else with_file_position(df)
-        landed[name] = _store(spark, placed, f"{cfg.output}/landing/{name}")
-        audit.record("extract", name, None, landed[name])
-    return landed, found.missing
+    return found.tables, found.missing
 
 
 def transform(
-    spark: SparkSession, cfg: EtlConfig, landed: dict[str, DataFrame], audit: AuditLog
+    spark: SparkSession, cfg: EtlConfig, landed: dict[str, DataFrame], audit: AuditLog, ledger: Ledger | None = None
 ) -> dict[str, DataFrame]:
     """Clean every table and build the sales mart from the cleaned ones."""
-    tables = {}
+    ledger = ledger or _ledger(spark, cfg)
+    tables, raw = {}, dict(ledger.at_hand)
+
+    def inputs(*names: str) -> Callable[[], str]:
+        # Without fingerprints of what was landed nothing is known to be the same.
+        return lambda: digest(*(raw.get(n) or uuid.uuid4() for n in names if n in landed))
+
     for name, df in marts.build_all(landed).items():
-        tables[name] = _store(spark, df, f"{cfg.output}/marts/{name}")
-        audit.record("clean", name, landed[name], tables[name])
-    if {"orders", "order_items", "payments"} <= set(tables):
-        summary = marts.sales_summary(tables["orders"], tables["order_items"], tables["payments"])
-        tables["sales_summary"] = _store(spark, summary, f"{cfg.output}/marts/sales_summary")
-        audit.record("summarise", "sales_summary", tables["orders"], tables["sales_summary"])
+        path = f"{cfg.output}/marts/{name}"
+        of = inputs(name, "category_translation") if name == "products" else inputs(name)
+        tables[name] = ledger.run("clean", name, of, lambda df=df, p=path: _store(spark, df, p), lambda p=path: read_parquet(spark, p))
+        audit.record("clean", name, landed[name], tables[name], ("clean", name) in ledger.taken)
+    if set(PARTS) <= set(tables):
+        path = f"{cfg.output}/marts"
+
+        def by_year() -> DataFrame:
+            sales = SalesByYear(spark, path)
+            sales.refresh(tables)
+            return sales.read()
+
+        tables["sales_summary"] = by_year() if cfg.incremental else ledger.run(
+            "summarise", "sales_summary", inputs(*PARTS),
+            lambda: _store(spark, marts.sales_summary(*(tables[t] for t in PARTS)), f"{path}/sales_summary"),
+            lambda: read_parquet(spark, f"{path}/sales_summary"),
+        )
+        taken = ("summarise", "sales_summary") in ledger.taken
+        audit.record("summarise", "sales_summary", tables["orders"], tables["sales_summary"], taken)
     return tables
 
 
 def load(
     spark: SparkSession, cfg: EtlConfig, tables: dict[str, DataFrame], audit: AuditLog
 ) -> tuple[DataFrame | None, DataFrame | None]:
-    """Export the tables, profile the sales mart, and fill the database if there is one."""
+    """Export the tables, profile the sales mart, and fill the database if there is one.
+
+    Exports are always written anew: they are copies of finished tables. The bundle is
+    published as a version of its own, so readers of the last one see it whole until then.
+    """
     reports = f"{cfg.output}/reports"
     if cfg.export in ("csv", "all"):
         for name, df in tables.items():
@@ -127,9 +179,10 @@ def load(
     if cfg.export in ("bundle", "all"):
         chosen = {name: tables[name] for name in BUNDLE_TABLES if name in tables}
         if chosen:
-            write_bundle(spark, chosen, f"{reports}/bundle")
+            version = publish_bundle(spark, chosen, f"{reports}/bundle")
+            written = read_published(spark, f"{reports}/bundle", version)
             for name, df in chosen.items():
-                audit.record("export_bundle", name, df, read_parquet(spark, f"{reports}/bundle/{name}"))
+                audit.record("export_bundle", name, df, written[name])
     quality = None
     if "sales_summary" in tables:
         path = f"{reports}/quality/sales_summary"
@@ -145,9 +198,9 @@ def load(
 def run(spark: SparkSession, cfg: EtlConfig) -> EtlResult:
     """The whole run. The session is the caller's; an error in any phase is raised."""
     start = time.monotonic()
-    audit = AuditLog()
-    landed, missing = extract(spark, cfg, audit)
-    tables = transform(spark, cfg, landed, audit)
+    audit, ledger = AuditLog(), _ledger(spark, cfg)
+    landed, missing = extract(spark, cfg, audit, ledger)
+    tables = transform(spark, cfg, landed, audit, ledger)
     quality, loads = load(spark, cfg, tables, audit)
     rejected = audit.rejected()
     if rejected is not None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,12 +23,14 @@ def read_catalog(
     prefix: str = "",
     files: Mapping[str, str] | None = None,
     fmt: str = "csv",
+    land: Callable[[str, str, Callable[[], DataFrame]], DataFrame] | None = None,
     **csv,
 ) -> Catalog:
     """Open every known table found under ``root``; list those that are missing.
 
     A table's file is ``{prefix}{stem}.{fmt}``, or without the prefix when that
-    does not exist. ``files`` overrides the file name of single tables. Other keywords
+    does not exist. ``files`` overrides the file name of single tables. ``land`` is
+    called with a table's name, its path, and how to open it, and returns the table. Other keywords
     go to ``read_csv``, such as ``infer`` or ``rejects``.
     """
     if fmt not in ("csv", "parquet"):
@@ -40,11 +42,14 @@ def read_catalog(
             candidates = [files[name]]
         for file in dict.fromkeys(candidates):
             path = f"{root.rstrip('/')}/{file}"
-            try:
+
+            def opened(path=path, source=source) -> DataFrame:
                 if fmt == "csv":
-                    df = read_csv(spark, path, source.schema, source.multi_line, **csv)
-                else:
-                    df = read_parquet(spark, path)
+                    return read_csv(spark, path, source.schema, source.multi_line, **csv)
+                return read_parquet(spark, path)
+
+            try:
+                df = land(name, path, opened) if land else opened()
             except FileNotFoundError:
                 continue
             found.tables[name] = df
