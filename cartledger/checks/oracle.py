@@ -644,6 +644,7 @@ _OPERATORS = {
         {_first('soiled', 'seller_id', 'seller_city, seller_state')}""",
     "prf_quality": _profile("m_sales_summary", _SUMMARY_TYPES),
     "prf_quality_lineitem": _profile("lineitem", _LINEITEM_TYPES),
+    "prf_quality_sketch": f"SELECT *, TRUE AS near FROM ({_profile('lineitem', _LINEITEM_TYPES)})",
     "prf_table_info": _info("sales_summary", _SUMMARY_TYPES),
     "prf_run_summary": _counts(
         {

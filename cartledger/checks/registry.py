@@ -474,6 +474,22 @@ def _prf_quality_lineitem(spark, sf_dir):
     return quality.quality_report(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
 
 
+def _prf_quality_sketch(spark, sf_dir):
+    """Sketches kept by ship year and merged, beside the exact counts of the whole table."""
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    year = F.year("l_shipdate")
+    path = scratch_path(spark, "sketches")
+    years = [r[0] for r in items.select(year).distinct().collect()]  # a few
+    for y in years:
+        sinks.write_parquet(quality.column_sketches(items.filter(year.eqNullSafe(F.lit(y)))), path, "append")
+    told = quality.quality_report_from_sketches(read_parquet(spark, path))
+    exact = quality.quality_report(items).select("Columna", F.col("Valores_Unicos").alias("exact"))
+    near = F.abs(F.col("Valores_Unicos") - F.col("exact")) <= 0.05 * F.col("exact")
+    return told.join(exact, "Columna").withColumn("near", near).drop("Valores_Unicos").withColumnRenamed(
+        "exact", "Valores_Unicos"
+    )
+
+
 def _prf_table_info(spark, sf_dir):
     return quality.table_info(star.LoadedTables(spark, sf_dir)["sales_summary"], "sales_summary")
 
@@ -607,6 +623,7 @@ def queries() -> dict[str, Query]:
         "mart_sellers": _mart_sellers,
         "prf_quality": _prf_quality,
         "prf_quality_lineitem": _prf_quality_lineitem,
+        "prf_quality_sketch": _prf_quality_sketch,
         "prf_table_info": _prf_table_info,
         "prf_run_summary": _prf_run_summary,
         "aud_counts": _aud_counts,

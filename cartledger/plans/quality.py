@@ -99,6 +99,58 @@ def quality_report(df: DataFrame) -> DataFrame:
     )
 
 
+#: Binary logarithm of the registers of a sketch: the estimates have a standard error of 1.6 %.
+SKETCH_BITS = 12
+
+
+def column_sketches(df: DataFrame, bits: int = SKETCH_BITS) -> DataFrame:
+    """(position, column, type, filled, missing, sketch) of each column of a part of a table.
+
+    ``sketch`` is a HyperLogLog sketch of the column's values, a few kilobytes whatever the
+    part holds. All columns take one scan, and a task sends one row. Stored beside their parts,
+    sketches are merged later without reading the data again.
+    """
+
+    def entry(i: int) -> Column:
+        f = df.schema.fields[i]
+        value = F.when(~_missing(df, f.name), F.col(f.name))
+        if isinstance(f.dataType, (DoubleType, FloatType)):
+            value = value + F.lit(0.0)  # -0.0 is 0.0
+        value = value.cast("bigint" if isinstance(f.dataType, IntegralType) else "string")
+        return F.struct(
+            F.lit(i).alias("position"), F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"),
+            F.count(value).alias("filled"), F.count_if(value.isNull()).alias("missing"),
+            F.hll_sketch_agg(value, bits).alias("sketch"),
+        )
+
+    counted = df.agg(*[entry(i).alias(f"c{i}") for i in range(len(df.columns))])
+    return counted.select(F.inline(F.array(*counted.columns)))
+
+
+def merged_sketches(sketches: DataFrame) -> DataFrame:
+    """One row for each column of all parts whose sketches are given, in the same form."""
+    return sketches.groupBy("position", "column", "type").agg(
+        F.sum("filled").alias("filled"), F.sum("missing").alias("missing"),
+        F.hll_union_agg("sketch").alias("sketch"),
+    )
+
+
+def quality_report_from_sketches(sketches: DataFrame) -> DataFrame:
+    """``quality_report`` of all parts together, its distinct values estimated.
+
+    The estimates are within 5 % (three standard errors) nearly always; all other figures are exact.
+    """
+    rows = F.col("filled") + F.col("missing")
+    return merged_sketches(sketches).orderBy("position").select(
+        F.col("column").alias("Columna"),
+        F.col("type").alias("Tipo"),
+        F.col("filled").alias("No_Nulos"),
+        F.col("missing").alias("Nulos"),
+        r2(F.try_divide(F.lit(100.0) * F.col("missing"), rows)).alias("Porcentaje_Nulos"),
+        F.coalesce(F.hll_sketch_estimate("sketch"), F.lit(0)).alias("Valores_Unicos"),
+    )
+
+
 def table_info(df: DataFrame, table: str = "") -> DataFrame:
     """One row per column with its type and missing values, beside the table's size."""
     counts = df.agg(

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cartledger.functions import money
 from cartledger.operators.joins import translate_categories
-from cartledger.operators.skew import lookup_join
 from cartledger.plans import marts
 
 
@@ -122,8 +121,8 @@ def category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _place(df: DataFrame, nation: DataFrame, key: str, nation_key: str, kind: str) -> DataFrame:
-    # Few nations and many rows: broadcast while the nations measure small.
-    named = lookup_join(df, nation.withColumnRenamed("n_nationkey", nation_key), nation_key)
+    # Spark broadcasts the nations while their file is small, which takes no job to find out.
+    named = df.join(nation.withColumnRenamed("n_nationkey", nation_key), nation_key)
     return named.select(
         F.col(key).alias(f"{kind}_id"),
         F.concat(F.lit("city_"), (F.col(key) % 40).cast("string")).alias(f"{kind}_city"),
