@@ -4,15 +4,15 @@ The graph starts from random-projection trees, whose leaves are compared within.
 then joins every node with its neighbours and those that have it as neighbour, compares
 these among each other, and keeps each node's best: neighbours of neighbours are likely
 neighbours. A search walks the graph from the query's own leaf, always on from the best
-nodes seen, a few dozen a hop for all queries at once. Both work on whole numbers of about
-23 bits a component, as fine as single precision, so that close copies are told apart; all
-that a walk remembers is measured again in double precision on the vectors themselves. A
-query whose walk met too few is compared with all vectors.
+nodes seen, a hundred or so a hop for all queries at once, until the best it remembers are all
+expanded. Both work on whole numbers of about 23 bits a component, as fine as single precision,
+so that close copies are told apart; of what a walk remembers, all that can be among the
+nearest, by the bound of that rounding, is measured again in double precision on the vectors
+themselves. A query whose walk met too few is compared with all vectors.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from cartledger.llm.common import quoted, stored
 from cartledger.llm.vectors import distinct_vectors, matrix, usable
-from cartledger.sources.scratch import scratch_path
 
 NEIGHBOURS = 20
 #: Those that have a node as neighbour, of which so many take part in a round and a search.
@@ -34,11 +33,13 @@ TREES, LEAF, FROM_TREE = 12, 512, NEIGHBOURS + 1
 SAMPLE, SAMPLE_LEAF = 16_384, 32
 #: Rounds end when less than this share of the neighbours is new. The likeness tells nothing
 #: of that among close copies, where it is nearly 1 from the start.
-CHANGES, MAX_ROUNDS = 0.1, 8
+CHANGES = 0.1
 #: Partners that a node may win from one neighbourhood.
 WINS = 8
-#: Best nodes that a search remembers and measures exactly, and expands in a hop; hops at most.
-WIDTH, EXPAND, MAX_HOPS = 448, 96, 16
+#: Best nodes that a search remembers, and expands in a hop.
+WIDTH, EXPAND = 320, 160
+#: Nodes whose vectors are looked up together.
+BLOCK = 2_048
 #: Queries that are compared with all vectors in one pass.
 SCANNED = 1_024
 SEED = 5
@@ -47,9 +48,13 @@ SEED = 5
 # Whole numbers, after a scale of eight bytes
 
 
+def code_bits(d: int) -> int:
+    """As many bits as sums of products of ``d`` numbers in double precision hold exactly."""
+    return (53 - int(np.ceil(np.log2(max(d, 2))))) // 2
+
+
 def encode(x: np.ndarray) -> list[bytes]:
-    # As many bits as sums of products in double precision hold exactly.
-    bits = (53 - int(np.ceil(np.log2(max(x.shape[1], 2))))) // 2
+    bits = code_bits(x.shape[1])
     scale = np.maximum(np.abs(x).max(1), 1e-300) / (2**bits - 1)
     codes = np.rint(x / scale[:, None]).astype("<i4")
     return [s.tobytes() + c.tobytes() for s, c in zip(scale.astype("<f8"), codes)]
@@ -180,6 +185,7 @@ def _kept(edges: DataFrame) -> DataFrame:
 def _around(edges: DataFrame, turn: int) -> DataFrame:
     """(at, member, like): a node's neighbours, and some of those that have it as neighbour."""
     back = edges.select(F.col("other").alias("at"), F.col("node").alias("member"), "like")
+    # Which of very many is up to a hash, so a node that many have as neighbour sends few a task.
     some = F.row_number().over(
         Window.partitionBy("at").orderBy(F.xxhash64("member", F.lit(turn)))
     )
@@ -194,13 +200,20 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
-def _round(edges: DataFrame, codes: DataFrame, turn: int) -> DataFrame:
-    """The edges after one round of comparing the members of each neighbourhood."""
+def _round(edges: DataFrame, fresh: DataFrame | None, codes: DataFrame, turn: int) -> DataFrame:
+    """The edges after one round of comparing the members of each neighbourhood.
+
+    ``fresh`` (node, other) are the edges that the last round found. Only neighbourhoods that such
+    an edge touches have pairs that were not compared before.
+    """
     # A list that is not full takes any.
     full = F.when(F.count("*") >= NEIGHBOURS, F.min("like")).otherwise(F.lit(float("-inf")))
     worst = edges.groupBy("node").agg(full.alias("worst"))
     members = codes.join(worst, "node").select(F.col("node").alias("member"), "code", "worst")
-    around = _around(edges, turn)
+    around = whole = _around(edges, turn)
+    if fresh is not None:
+        touched = fresh.select(F.explode(F.array("node", "other")).alias("at")).distinct()
+        around = whole.join(touched, "at", "left_semi")
     met = around.join(members, "member").groupBy("at").agg(
         F.collect_list(F.struct("member", "code", "worst")).alias("met")  # NEIGHBOURS + REVERSE at most
     )
@@ -224,8 +237,7 @@ def _round(edges: DataFrame, codes: DataFrame, turn: int) -> DataFrame:
             yield from _edges(found)
 
     new = met.mapInArrow(run, _EDGE)
-    back = around.toDF("node", "other", "like")
-    return _kept(back.union(new))
+    return _kept(whole.toDF("node", "other", "like").union(new))
 
 
 @dataclass
@@ -269,11 +281,13 @@ def build(rows: DataFrame, key: str = "vec_id", vector: str = "embedding") -> In
         nodes.select("node", F.col("node").alias("other"), F.lit(0.0).alias("like")), "edges"
     )
     codes = nodes.select("node", "code")
-    for turn in range(MAX_ROUNDS if levels else 0):
-        before, edges = edges, stored(_round(edges, codes, turn), "edges")
-        new = edges.join(before, ["node", "other"], "left_anti").count()
-        if new < CHANGES * edges.count():
+    turn, fresh = 0, None
+    while n > 1:
+        before, edges = edges, stored(_round(edges, fresh, codes, turn), "edges")
+        fresh = stored(edges.join(before, ["node", "other"], "left_anti").select("node", "other"), "fresh")
+        if fresh.count() < CHANGES * edges.count():
             break
+        turn += 1
     return Index(nodes, marked.select("node", "id"), edges)
 
 
@@ -316,56 +330,73 @@ def _advance(states: DataFrame, found: DataFrame | None) -> DataFrame:
     return joined.select("query", "code", "ids", "likes", "done", "found").mapInArrow(run, schema)
 
 
-def _walk(index: Index, queries: DataFrame) -> DataFrame:
-    """(query, other): the best nodes that a walk from each query node (node) finds."""
-    spark = queries.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    codes = index.nodes.select(F.col("node").alias("member"), "code")
-    table = f"graph_{uuid.uuid4().hex}"
-    # Every hop joins on the node, so the graph is dealt and sorted by it once.
-    (
-        _around(index.edges, 0).join(codes, "member").groupBy("at")
-        .agg(F.collect_list(F.struct("member", "code")).alias("members"))
-        .repartition(buckets, "at").write.bucketBy(buckets, "at").sortBy("at")
-        .option("path", scratch_path(spark, "graph")).saveAsTable(table)
+def _looked_up(wanted: DataFrame, codes: DataFrame, blocks: int) -> DataFrame:
+    """(query, ids, likes) of the nodes ``members`` that queries (query, code, members) want.
+
+    Nodes are dealt into blocks, and a query asks each block once, with its vector and the
+    nodes it wants there, so vectors travel once a block and not once a query and node.
+    """
+
+    def block(node: str):
+        return F.pmod(F.xxhash64(node), F.lit(blocks).cast("long")).alias("block")
+
+    each = wanted.select("query", F.explode("members").alias("member"))
+    asked = each.groupBy("query", block("member")).agg(F.collect_list("member").alias("members"))
+    asked = asked.join(wanted.select("query", "code"), "query")
+
+    def look(left: pa.Table, right: pa.Table) -> pa.Table:
+        node = right.column("node").to_numpy()
+        vectors, scale = decode(right.column("code").to_pylist()) if len(node) else (np.empty((0, 0)), np.empty(0))
+        order = np.argsort(node)
+        likes = []
+        members = left.column("members").combine_chunks() if left.num_rows else None
+        for i, code in enumerate(left.column("code").to_pylist()):
+            at = order[np.searchsorted(node, members[i].values.to_numpy(), sorter=order)]
+            own = decode([code])
+            likes.append((vectors[at] @ own[0][0]) * (scale[at] * own[1][0]))
+        return pa.table({
+            "query": left.column("query"), "ids": left.column("members").cast(pa.list_(pa.int64())),
+            "likes": pa.array(likes, pa.list_(pa.float64())),
+        })
+
+    return asked.groupBy("block").cogroup(codes.select("node", "code", block("node")).groupBy("block")).applyInArrow(
+        look, "query long, ids array<long>, likes array<double>"
     )
-    graph = spark.table(table)
 
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
-            lists = batch.column(2)
-            bounds = lists.offsets.to_numpy()
-            flat = lists.flatten()
-            members = decode(flat.field(1).to_pylist())
-            own = decode(batch.column(1).to_pylist())
-            row = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
-            like = np.einsum("ij,ij->i", own[0][row], members[0]) * (own[1][row] * members[1])
-            offsets = pa.array((bounds - bounds[0]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.ListArray.from_arrays(offsets, flat.field(0)),
-                    pa.ListArray.from_arrays(offsets, pa.array(like)),
-                ],
-                names=["query", "ids", "likes"],
-            )
 
-    start = queries.join(index.nodes.select("node", "code"), "node").select(
+def _walk(index: Index, queries: DataFrame, k: int) -> DataFrame:
+    """(query, other): what can be among the ``k`` nearest of those that a walk from each query node finds."""
+    tasks = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    codes = index.nodes.select("node", "code")
+    n = codes.count()
+    blocks = max(-(-n // BLOCK), min(tasks, -(-n // (BLOCK // 8))), 1)
+    graph = stored(
+        _around(index.edges, 0).groupBy("at").agg(F.collect_set("member").alias("members")), "graph"
+    )
+    start = queries.join(codes, "node").select(
         F.col("node").alias("query"), "code",
         F.array("node").alias("ids"), F.array(F.lit(float("inf"))).alias("likes"),
         F.array(F.lit(False)).alias("done"),
     )
     states = stored(_advance(start, None), "walk")
-    for _ in range(MAX_HOPS):
-        asked = states.select("query", "code", F.explode("front").alias("at"))
-        if asked.isEmpty():
-            break
-        found = asked.join(graph, "at").select("query", "code", "members").mapInArrow(
-            look, "query long, ids array<long>, likes array<double>"
-        )
-        states = stored(_advance(states, found), "walk")
-    spark.sql(f"DROP TABLE {table}")
-    return states.select("query", F.explode("ids").alias("other"))
+    while not (ahead := states.where(F.size("front") > 0)).isEmpty():
+        near = ahead.select("query", F.explode("front").alias("at")).join(graph, "at")
+        met = near.groupBy("query").agg(F.array_distinct(F.flatten(F.collect_list("members"))).alias("met"))
+        # ``EXPAND`` lists of ``NEIGHBOURS`` + ``REVERSE`` at most
+        new = F.array_except("met", "ids").alias("members")
+        wanted = ahead.join(met, "query").select("query", "code", new)
+        states = stored(_advance(states, _looked_up(wanted, codes, blocks)), "walk")
+    # How far a likeness may be off, by half a unit in each component of both vectors.
+    d, top = index.nodes.agg(
+        F.max(F.size("vec")), F.max(F.array_max(F.transform("vec", lambda x: F.abs(x.cast("double")))))
+    ).first()
+    slack = 2.0 * (d or 1) * (top or 0.0) ** 2 / (2 ** code_bits(d or 1) - 1)
+    # The query itself stands first, without a likeness.
+    last = F.element_at("likes", F.least(F.lit(k + 1), F.size("likes")))
+    pairs = F.arrays_zip(F.col("ids").alias("id"), F.col("likes").alias("like"))
+    return states.select("query", F.explode(F.filter(pairs, lambda p: p["like"] >= last - slack)).alias("p")).select(
+        "query", F.col("p.id").alias("other")
+    )
 
 
 def search(index: Index, queries: DataFrame, k: int, key: str = "vec_id") -> DataFrame:
@@ -381,7 +412,7 @@ def search(index: Index, queries: DataFrame, k: int, key: str = "vec_id") -> Dat
         ).select("query_id", "node").distinct(),
         "asked",
     )
-    found = stored(_nearest(index, asked, _walk(index, asked.select("node").distinct()), k), "found")
+    found = stored(_nearest(index, asked, _walk(index, asked.select("node").distinct(), k), k), "found")
     # A walk that ends inside a small group may have met fewer than there are.
     full = found.groupBy("query_id").count().where(F.col("count") >= k)
     short = stored(asked.join(full, "query_id", "left_anti"), "short")
