@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cartledger.llm.common import quoted, stored
 from cartledger.llm.graph import components
-from cartledger.llm.vectors import distinct_vectors, matrix, packed, unpacked, usable
+from cartledger.llm.vectors import distinct_vectors, matrix, packed, scaled, unpacked, usable
 
 SIMILARITY = 0.98
 #: At 0.98 in 64 dimensions a table of two hashes with three buckets a vector finds 93 % of
@@ -166,7 +166,7 @@ def _compared(entries: DataFrame, similarity: float) -> DataFrame:
                 kept = rows.take(pa.array(take))
                 node, copies, side = (kept.column(i).to_numpy() for i in (4, 5, 6))
                 keys = matrix_of_longs(kept.column(7))
-                x = unpacked(kept.column(8))
+                x = scaled(unpacked(kept.column(8)))
                 length = np.sqrt(np.einsum("ij,ij->i", x, x))
                 at = 0
                 for g in wanted:
@@ -212,7 +212,7 @@ def _entries(reps: DataFrame, dims: int, tables: int, hashes: int, vectors: bool
             for d in np.unique(lengths):
                 part = batch.take(pa.array(np.flatnonzero(lengths == d)))
                 x = matrix(part.column(3))
-                keys = bucket_keys(x, tables, hashes)
+                keys = bucket_keys(scaled(x), tables, hashes)
                 n, each = len(x), keys.shape[1] * keys.shape[2]
                 flat = keys.reshape(n, each)
                 row = pa.array(np.repeat(np.arange(n), each))

@@ -23,8 +23,6 @@ from cartledger.llm.common import quoted
 
 #: Labelled pages that the weights are counted on, about; pages may be any number.
 MAX_LABELLED = 5_000
-#: Names of elements, classes and ids with a weight, the most frequent first.
-MAX_NAMES = 5_000
 #: Log-odds from which a name tells.
 TELLS = 1.0
 MOST, LEAST = 4.0, -1.0
@@ -64,17 +62,36 @@ _INLINE = frozenset(
     "math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot munder mover munderover mstyle mspace mfenced "
     "mpadded mphantom menclose mmultiscripts merror semantics annotation".split()
 )
+#: Parts of tables, of which even a short row has many.
+_TABLE = frozenset("tr td th thead tbody tfoot caption colgroup col".split())
 #: Elements that lay out content and other matter alike, so their names never tell.
 _LAYOUT = frozenset("a div section span ul ol dl table center figure details summary blockquote pre address".split())
 _UNTRACKED = _VOID | frozenset("p li dt dd tr td th thead tbody tfoot html body".split())
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]{0,65536}+\"|'[^']{0,65536}+')*+)>"
-    r"|<(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)(?P<rest2>[^>]*+)(?:>|\Z)"
-    r"|<[!?/][^>]*+(?:>|\Z)",
-    re.S,
+    r"<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)|<[!?/][^>]*+(?:>|\Z)", re.S
 )
+_STOP = re.compile("[>\"']")
+
+
+def _rest(page: str, at: int, unclosed: set[str]) -> tuple[str, int]:
+    """(what stands in a tag behind its name, where the tag is over); quoted values may hold ``>``.
+
+    A quote that is never closed is none, and its tag ends at the first ``>``; ``unclosed`` keeps
+    such quotes, so that the page is not searched for them again.
+    """
+    i = at
+    while m := _STOP.search(page, i):
+        if m[0] == ">":
+            return page[at : m.start()], m.end()
+        i = -1 if m[0] in unclosed else page.find(m[0], m.end()) + 1
+        if i <= 0:
+            unclosed.add(m[0])
+            break
+    end = page.find(">", at)
+    return (page[at:], len(page)) if end < 0 else (page[at:end], end + 1)
+
+
 #: One attribute after another, so that no text of a value is taken for a name.
 _ATTRIBUTE = re.compile(
     r"[\s/]*+([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]*+)))?"
@@ -102,7 +119,8 @@ class _Place:
 
     ``label``: inside a marked article; ``link``: inside a link; ``verdict``: the weight of
     the deciding name of this element, 0 when none tells; ``worth``: the weight of a word
-    here, by the innermost verdict; ``hidden``: the innermost hidden element around, or
+    here, by the innermost verdict; ``content``: whether an element around, or this one, is
+    content by its verdict; ``hidden``: the innermost hidden element around, or
     itself, and ``closed`` whether it was closed. Each is known from the parent, so deep
     nesting costs nothing.
 
@@ -111,7 +129,7 @@ class _Place:
     unless it stands in other matter: an article is no sidebar for having one.
     """
 
-    __slots__ = ("tag", "parent", "names", "label", "link", "verdict", "worth", "hidden", "closed", "marked", "inside", "outside")
+    __slots__ = ("tag", "parent", "names", "label", "link", "verdict", "worth", "content", "hidden", "closed", "marked", "inside", "outside")
 
     def __init__(
         self, tag: str, names: list[tuple[str, ...]], parent: _Place | None, weights: dict[str, float]
@@ -129,7 +147,7 @@ class _Place:
             for part in reversed(parts):
                 w = weights.get(part, 0.0)
                 # The header of an article is its headline.
-                if abs(w) >= TELLS and not (part == "header" and self.label):
+                if abs(w) >= TELLS and not (part == "header" and (self.label or self.worth > NEUTRAL)):
                     told.append((w, len(parts) > 1))
                     break
         if self.worth > 0 and any(w > 0 for w, _ in told):
@@ -137,6 +155,7 @@ class _Place:
         self.verdict = told[-1][0] if told else 0.0
         if told:
             self.worth = max(self.verdict, LEAST)
+        self.content = bool(parent and parent.content) or self.verdict > 0
         self.marked = self.inside = self.outside = 0
 
 
@@ -152,6 +171,7 @@ def runs(page: str, weights: dict[str, float]) -> list[tuple[str, str, _Place, i
     open_tags: Counter[str] = Counter()
     hidden: list[_Place] = []
     unclosed: set[str] = set()
+    quotes: set[str] = set()
     at, gap, tags = 0, "", 0
     end = len(page)
     while at < end:
@@ -162,14 +182,13 @@ def runs(page: str, weights: dict[str, float]) -> list[tuple[str, str, _Place, i
             if m is None:
                 break
         at = m.end()
-        name = m["name"] or m["name2"]
-        if name is None:
+        if m["name"] is None:
             continue
-        name, closing = name.lower(), m["close"] or m["close2"]
-        rest = m["rest"] if m["name"] else m["rest2"]
+        name, closing = m["name"].lower(), m["close"]
+        rest, at = _rest(page, at, quotes)
         if name not in _INLINE:
             gap = " "
-        if not place.hidden and (name not in _INLINE or name == "a"):
+        if not place.hidden and name not in _TABLE and (name not in _INLINE or name == "a"):
             tags += 1
         if name in _RAW and not closing:
             if not rest.endswith("/"):
@@ -234,9 +253,13 @@ def main_text(page: str | None, weights: dict[str, float], tag_cost: float) -> s
     start = first = last = 0
     for i, (text, _, place, tags) in enumerate(found):
         gain = len(text.split()) * place.worth
-        if gain > 0 and place.link:  # links stand in articles as elsewhere
-            gain = 0.0
         cost = tag_cost * tags
+        if place.content:
+            # What is left out of content, such as an advert, takes nothing from it.
+            if gain <= 0:
+                gain = cost = 0.0
+        elif gain > 0 and place.link:  # links stand in menus as elsewhere
+            gain = 0.0
         if total - cost <= 0:
             start, total = i, gain
         else:
@@ -341,7 +364,7 @@ def learn(pages: DataFrame, html: str = "html", key: str = "page_id") -> tuple[d
     sums = (
         _counted(labelled.select(quoted(html)))
         .groupBy("name").agg(F.sum("inside").alias("i"), F.sum("outside").alias("o"))
-        .orderBy((F.col("i") + F.col("o")).desc(), "name").limit(MAX_NAMES).collect()
+        .collect()  # the names of a bounded sample
     )
     counts = {r["name"]: (r["i"], r["o"]) for r in sums}
     tags, words = counts.pop(None, (0, 0))

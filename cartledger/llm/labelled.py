@@ -36,7 +36,10 @@ def training_labels(
 
 
 def with_labels(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text"):
-    """(id, text, label) of the labelled documents; the labels are a bounded sample."""
-    return docs.select(quoted(key).alias("id"), quoted(text).alias("text")).join(
-        F.broadcast(labels), "id"
-    )
+    """(id, text, label) of the labelled documents, one a key; the labels are a bounded sample.
+
+    Of a key that occurs more than once the text with the least hash counts, so what comes of
+    the sample is bounded by the number of labels, however often its keys are repeated.
+    """
+    found = docs.select(quoted(key).alias("id"), quoted(text).alias("text")).join(F.broadcast(labels), "id")
+    return found.groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("id", "text", "label")

@@ -30,9 +30,35 @@ def words(text: Column) -> Column:
 
 
 def _hash(key: Column, text: Column) -> Column:
-    """60 bits of a row; rows of one key are taken alike. A null key leaves it to the text."""
-    value = F.coalesce(key.cast("string"), text, F.lit(""))
-    return F.conv(F.substring(F.md5(value), 1, BITS // 4), 16, 10).cast("long")
+    """60 bits of a row: 36 of its key, then 24 of its text, so only rows that are equal in both
+    have one hash. A null key leaves it all to the text."""
+    text = F.coalesce(text, F.lit(""))
+    of_key = F.substring(F.md5(F.coalesce(key.cast("string"), text)), 1, 9)
+    return F.conv(F.concat(of_key, F.substring(F.md5(text), 1, 6)), 16, 10).cast("long")
+
+
+def _copies_numbered(rows: DataFrame, group: Sequence[str], part: str, place: str, number: str) -> DataFrame:
+    """Add ``number``, from 1, to the rows of each group, in the order of ``part`` and ``place``.
+
+    A group may hold any share of the rows: the rows of each part are numbered by themselves,
+    and then moved by the group's rows in the parts before.
+    """
+    names = [free_name(rows.columns, f"_g{i}") for i in range(len(group))]
+    other, before = free_name(rows.columns, "_other"), free_name(rows.columns, "_before")
+    held = rows.groupBy(*[quoted(c).alias(n) for c, n in zip(group, names)], F.col(part).alias(other)).agg(
+        F.count("*").alias(before)
+    )
+    # A row for each part that holds some of a group.
+    upto = Window.partitionBy(*names).orderBy(other).rowsBetween(Window.unboundedPreceding, -1)
+    moved = held.withColumn(before, F.coalesce(F.sum(before).over(upto), F.lit(0)))
+    inside = Window.partitionBy(*[quoted(c) for c in group], part).orderBy(place)
+    same = [quoted(c).eqNullSafe(F.col(n)) for c, n in zip(group, names)]
+    return (
+        rows.withColumn(number, F.row_number().over(inside))
+        .join(moved, [*same, F.col(part) == F.col(other)])
+        .withColumn(number, F.col(number) + F.col(before))
+        .drop(before, other, *names)
+    )
 
 
 def targets(
@@ -72,9 +98,10 @@ def targets(
 
 
 def _thresholds(rows: DataFrame, goals: DataFrame) -> DataFrame:
-    """(source, below): rows of a source with a hash under ``below`` make its ``budget``.
+    """(source, below, some): the rows of a source with a hash under ``below``, and ``some`` of those
+    with that hash, make its ``budget``.
 
-    The last hash counts when it brings the sum nearer to the budget.
+    Rows of one hash are copies, and as many are taken as bring the sum nearest to the budget.
     """
     open_goals = goals.where("budget > 0").select("source", "budget")
     todo, at, found = rows, 0, []
@@ -82,12 +109,12 @@ def _thresholds(rows: DataFrame, goals: DataFrame) -> DataFrame:
         at = min(at + STEP, BITS)
         cell = F.shiftright("h", BITS - at)
         sums = todo.groupBy("source", cell.alias("cell")).agg(
-            F.sum("size").alias("size"), F.min("h").alias("low"), F.max("h").alias("high")
+            F.sum("size").alias("size"), F.count("*").alias("n"), F.min("h").alias("low"), F.max("h").alias("high")
         )
         running = Window.partitionBy("source").orderBy("cell")  # at most 2^STEP rows a source
         upto = sums.withColumn("upto", F.sum("size").over(running))
         budgets = open_goals.select(F.col("source").alias("s"), "budget")
-        bucket = F.struct("cell", "size", "upto", "low", "high", "budget")
+        bucket = F.struct("cell", "size", "n", "upto", "low", "high", "budget")
         ends = stored(
             upto.join(budgets, F.col("source").eqNullSafe(F.col("s")))
             .where("upto >= budget")
@@ -98,8 +125,8 @@ def _thresholds(rows: DataFrame, goals: DataFrame) -> DataFrame:
         )
         left = F.col("budget") - (F.col("upto") - F.col("size"))
         single = (F.col("low") == F.col("high")) | F.lit(at == BITS)
-        below = F.col("low") + (left * 2 >= F.col("size")).cast("long")
-        found.append(ends.where(single).select("source", below.alias("below")))
+        some = F.floor(left * F.col("n") / F.col("size") + 0.5)
+        found.append(ends.where(single).select("source", F.col("low").alias("below"), some.alias("some")))
         open_goals = stored(
             ends.where(~single).select("source", left.alias("budget"), "cell"), "open"
         )
@@ -115,9 +142,10 @@ def _thresholds(rows: DataFrame, goals: DataFrame) -> DataFrame:
 
 
 def plan(sized: DataFrame, weights=WEIGHTS, share=SHARE, repeats=REPEATS) -> DataFrame:
-    """(source, source_size, target, base, below) from stored rows (source, size, h).
+    """(source, source_size, target, base, below, some) from stored rows (source, size, h).
 
-    Each row is taken ``base`` times, and once more if its hash is under ``below``.
+    Each row is taken ``base`` times, and once more if its hash is under ``below`` or it is one of
+    ``some`` rows with that hash.
     """
     sizes = stored(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "sizes")
     whole = F.floor(F.col("target") / F.col("source_size"))
@@ -129,18 +157,35 @@ def plan(sized: DataFrame, weights=WEIGHTS, share=SHARE, repeats=REPEATS) -> Dat
     below = _thresholds(sized, goals).withColumnRenamed("source", "s")
     return goals.join(below, F.col("source").eqNullSafe(F.col("s")), "left").select(
         "source", "source_size", "target", F.col("base").cast("long").alias("base"),
-        F.coalesce("below", F.lit(0)).alias("below"),
+        F.coalesce("below", F.lit(0)).alias("below"), F.coalesce("some", F.lit(0)).cast("long").alias("some"),
     )
 
 
+def _counted(rows: DataFrame, source: str, h: str, goals: DataFrame, copies: str) -> DataFrame:
+    """Add ``copies``, how often a row is taken, and the columns of ``goals`` but its source.
+
+    Only rows of the hash at which a budget ends are numbered.
+    """
+    own = F.col("s_source")
+    # Where a row is read tells equal rows apart; both are taken before anything is joined.
+    read = rows.withColumn("_part", F.spark_partition_id()).withColumn("_place", F.monotonically_increasing_id())
+    met = read.join(goals.withColumnRenamed("source", "s_source"), quoted(source).eqNullSafe(own))
+    edge = F.col(h) == F.col("below")
+    clear = met.where(~edge).withColumn(copies, F.col("base") + (F.col(h) < F.col("below")).cast("long"))
+    at_edge = _copies_numbered(met.where(edge), [source, h], "_part", "_place", "_number")
+    counted = at_edge.withColumn(copies, F.col("base") + (F.col("_number") <= F.col("some")).cast("long"))
+    return clear.unionByName(counted.drop("_number")).drop("s_source", "_part", "_place")
+
+
 def mix(
     docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text",
     weights: Sequence[float] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS,
 ) -> DataFrame:
     """(key, size, source_size, target, taken) of every row.
 
-    A null source is a source, after all others; null texts have size 0. Rows of one key
-    are taken alike, so results do not depend on the order of rows. An empty table gives
+    A null source is a source, after all others; null texts have size 0. Rows of one key stand
+    together, ordered by their text; of equal rows at the end of a budget as many are taken as
+    it has room for, so results do not depend on the order of rows. An empty table gives
     no rows; a source without words has target 0 and nothing taken.
     """
     sized = stored(
@@ -152,14 +197,9 @@ def mix(
         ),
         "sized",
     )
-    goals = stored(plan(sized, weights, share, repeats), "plan").withColumnRenamed("source", "s")
-    copies = F.col("base") + (F.col("h") < F.col("below")).cast("long")
-    return sized.join(goals, F.col("source").eqNullSafe(F.col("s"))).select(
-        F.col("id").alias(key),
-        "size",
-        "source_size",
-        "target",
-        (copies * F.col("size")).alias("taken"),
+    goals = stored(plan(sized, weights, share, repeats), "plan")
+    return _counted(sized, "source", "h", goals, "copies").select(
+        F.col("id").alias(key), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
     )
 
 
@@ -168,32 +208,23 @@ def mixed_rows(
     weights: Sequence[float] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS,
 ) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it; columns stay as they are."""
-    size, h, other, base, below, copy = (
-        free_name(docs.columns, n) for n in ("_size", "_h", "_source", "_base", "_below", "_copy")
-    )
-    hashed = docs.withColumn(h, _hash(quoted(key), quoted(text)))
+    # The names of the frame give way to those of the plan.
+    inner = [f"c{i}" for i in range(len(docs.columns))]
+    named = dict(zip(docs.columns, inner))
+    rows = docs.toDF(*inner).withColumn("h", _hash(F.col(named[key]), F.col(named[text])))
     sized = stored(
-        hashed.select(
-            quoted(source).alias("source"), words(quoted(text)).alias("size"), F.col(h).alias("h")
-        ),
-        "sized",
-    )
-    goals = stored(plan(sized, weights, share, repeats), "plan").select(
-        F.col("source").alias(other), F.col("base").alias(base), F.col("below").alias(below)
-    )
-    copies = F.col(base) + (F.col(h) < F.col(below)).cast("long")
-    placed = hashed.join(goals, quoted(source).eqNullSafe(F.col(other)))
-    return (
-        placed.withColumn(copy, F.explode(F.sequence(F.lit(1), F.lit(repeats))))
-        .where(F.col(copy) <= copies)
-        .select(*[quoted(c) for c in docs.columns])
+        rows.select(F.col(named[source]).alias("source"), words(F.col(named[text])).alias("size"), "h"), "sized"
     )
+    goals = stored(plan(sized, weights, share, repeats), "plan").select("source", "base", "below", "some")
+    counted = _counted(rows, named[source], "h", goals, "copies")
+    each = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(repeats)))).where("copy <= copies")
+    return each.select(*inner).toDF(*docs.columns)
 
 
 SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, text, '')), 1, 15))::BIGINT AS h
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, text, '')), 1, 9) || substr(md5(coalesce(text, '')), 1, 6))::BIGINT AS h
   FROM documents),
 sources AS (
   SELECT source, sum(size)::BIGINT AS source_size,
@@ -214,15 +245,16 @@ goals AS (
   FROM sources),
 based AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS base FROM goals),
-hashes AS (SELECT source, h, sum(size) AS size FROM sized GROUP BY ALL),
+hashes AS (SELECT source, h, sum(size) AS size, count(*) AS n FROM sized GROUP BY source, h),
 upto AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY h) AS upto FROM hashes),
 ends AS (
-  SELECT u.source, arg_min(u.h + CASE WHEN 2 * (b.target - b.base * b.source_size - (u.upto - u.size)) >= u.size
-    THEN 1 ELSE 0 END, u.h) AS below
+  SELECT u.source, min(u.h) AS below,
+    arg_min(floor((b.target - b.base * b.source_size - (u.upto - u.size)) * u.n / u.size + 0.5), u.h)::BIGINT AS some
   FROM upto u JOIN based b ON u.source IS NOT DISTINCT FROM b.source
-  WHERE b.target - b.base * b.source_size > 0 AND u.upto >= b.target - b.base * b.source_size GROUP BY u.source)
+  WHERE b.target - b.base * b.source_size > 0 AND u.upto >= b.target - b.base * b.source_size GROUP BY u.source),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY source, h) AS copy FROM sized)
 SELECT s.doc_id, s.size, b.source_size, b.target,
-  (b.base + CASE WHEN s.h < coalesce(e.below, 0) THEN 1 ELSE 0 END) * s.size AS taken
-FROM sized s JOIN based b ON s.source IS NOT DISTINCT FROM b.source
+  (b.base + CASE WHEN s.h < coalesce(e.below, 0) OR s.h = e.below AND s.copy <= e.some THEN 1 ELSE 0 END) * s.size AS taken
+FROM numbered s JOIN based b ON s.source IS NOT DISTINCT FROM b.source
 LEFT JOIN ends e ON s.source IS NOT DISTINCT FROM e.source
 """

@@ -12,12 +12,12 @@ turned into a probability.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, functions as F
 
 from cartledger.llm.common import free_name, quoted, stored
@@ -31,8 +31,6 @@ PRIOR = 2.0
 SIGNIFICANT = 4.0
 #: Words whose log-odds are lower count as words without evidence, or against.
 LEAST = 2.0
-#: Entries of the lexicon, the most significant first.
-MAX_LEXICON = 50_000
 BEGINNINGS = (4, 5, 6)
 #: What a word without evidence costs.
 DRIFT = 0.5
@@ -92,7 +90,7 @@ def _lexicon(labelled: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     begun = types.select("w", odds.alias("odds"), z.alias("z")).where(F.col("z") >= SIGNIFICANT)
 
     def top(df: DataFrame) -> dict[str, float]:
-        rows = df.orderBy(F.abs("z").desc(), "w").limit(MAX_LEXICON).collect()
+        rows = df.collect()  # words of a bounded sample of texts
         return {r["w"]: float(np.clip(r["odds"], -MOST, MOST)) for r in rows}
 
     return top(found), top(begun)
@@ -172,7 +170,7 @@ def _statistics(labelled: DataFrame, lexicon, scale: float) -> DataFrame:
 
 def _splitter():
     """The runs of letters of a text, in lower case."""
-    pattern = re.compile(r"[^\W\d_]+")
+    pattern = regex.compile(_WORD)
     return lambda text: pattern.findall((text or "").lower())
 
 
@@ -275,7 +273,7 @@ def passages(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pattern = re.compile(r"[^\W\d_]+")
+        pattern = regex.compile(_WORD)
         for batch in batches:
             rows, found = [], []
             for i, t in enumerate(batch.column(1)):

@@ -27,6 +27,13 @@ def matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(n, -1) if n else flat.reshape(0, 0)
 
 
+def scaled(rows: np.ndarray) -> np.ndarray:
+    """Each row times a power of two, exactly, its largest component from 0.5 to 1: squares and
+    sums of any row are then finite, and its direction is the same."""
+    _, exponent = np.frexp(np.abs(rows).max(1, initial=0.0))
+    return np.ldexp(rows, -exponent[:, None])
+
+
 def packed(rows: np.ndarray) -> pa.Array:
     """Rows as binary values, little-endian doubles."""
     data = np.ascontiguousarray(rows, "<f8")

@@ -127,18 +127,19 @@ class _Output:
 def _packages(folder: str, task: str, attempt: str, rows: Iterator[tuple]) -> Iterator[tuple]:
     """Write records (page_id, bytes) into packages; yields (path, bytes of data, records).
 
-    A package is written under a name of this attempt and renamed when complete, so a
-    task that is run again replaces what it wrote and readers never see half a file.
+    A package is renamed when it is complete, and its name tells the attempt: a task that
+    runs twice, perhaps with its rows in another order, writes other packages and replaces
+    none. Those that count are listed by the attempt whose rows Spark takes.
     """
     store, base = fs.FileSystem.from_uri(folder)
     store.create_dir(base, recursive=True)
     rows, number = iter(rows), 0
     item = next(rows, None)
     while item is not None:
-        name = f"{base}/part-{task}-{number:05d}.zip"
+        name = f"{base}/part-{task}-{attempt}-{number:05d}.zip"
         number += 1
         lines, at = [], 0
-        with store.open_output_stream(f"{name}.{attempt}") as stream:
+        with store.open_output_stream(f"{name}.part") as stream:
             with zipfile.ZipFile(_Output(stream), "w", zipfile.ZIP_STORED, allowZip64=True) as package:
                 with package.open(zipfile.ZipInfo(DATA), "w", force_zip64=True) as member:
                     while item is not None and at < PACKAGE_BYTES:
@@ -152,7 +153,7 @@ def _packages(folder: str, task: str, attempt: str, rows: Iterator[tuple]) -> It
                 package.writestr(zipfile.ZipInfo(INDEX), "\n".join(lines))
                 about = {"profile": "data-package", "resources": [DATA, INDEX], "records": len(lines)}
                 package.writestr(zipfile.ZipInfo(ABOUT), json.dumps(about))
-        store.move(f"{name}.{attempt}", name)
+        store.move(f"{name}.part", name)
         yield name, at, len(lines)
 
 
@@ -244,23 +245,34 @@ def _unpacked(data: bytes) -> Iterator[bytes]:
 # Spark
 
 
-def with_revisits(pages: DataFrame, key: str, html: str, min_bytes: int) -> DataFrame:
-    """(k, u?, payload, refers): rows with their payload, and which row it repeats, if any.
+def with_revisits(pages: DataFrame, min_bytes: int) -> DataFrame:
+    """(k, u, payload, refers) of rows (k, u, payload): which row each repeats, if any.
 
     Payloads are told apart by SHA-1. Only digests that occur twice are joined back, after
-    a partial aggregation, so a payload shared by very many pages is one row of it.
+    a partial aggregation, so a payload shared by very many pages is one row of it. Rows that
+    share the largest key of a payload are stored and numbered, and the first is the response.
     """
-    name = F.sha1("payload")
     big = F.octet_length("payload") >= min_bytes
+    named = pages.withColumn("digest", F.sha1("payload"))
+    keys = named.where(big).groupBy("digest", "k").agg(F.count("*").alias("n"))
     twice = stored(
-        pages.where(big).groupBy(name.alias("digest"))
-        .agg(F.max("k").alias("last"), F.count("*").alias("n")).where("n > 1 and last is not null")
-        .select("digest", "last"),
+        keys.groupBy("digest").agg(F.max(F.struct("k", "n")).alias("last"), F.sum("n").alias("rows"))
+        .where("rows > 1 and last.k is not null")
+        .select("digest", F.col("last.k").alias("last"), (F.col("last.n") > 1).alias("shared")),
         "repeated",
     )
-    joined = pages.withColumn("digest", name).join(twice, "digest", "left")
-    refers = F.when(big & ~F.col("k").eqNullSafe(F.col("last")), F.col("last"))
-    return joined.withColumn("refers", refers).drop("digest", "last")
+    joined = named.join(twice, "digest", "left")
+    last = big & F.col("k").eqNullSafe(F.col("last"))
+    shared = F.coalesce(last & F.col("shared"), F.lit(False))
+    single = joined.where(~shared).select("k", "u", "payload", F.when(big & ~last, F.col("last")).alias("refers"))
+    if twice.where("shared").isEmpty():
+        return single
+    alike = stored(joined.where(shared).drop("shared").withColumn("n", F.monotonically_increasing_id()), "alike")
+    first = alike.groupBy("digest").agg(F.min("n").alias("first"))
+    again = alike.join(first, "digest").select(
+        "k", "u", "payload", F.when(F.col("n") != F.col("first"), F.col("last")).alias("refers")
+    )
+    return single.unionByName(again)
 
 
 def write_archives(
@@ -269,8 +281,8 @@ def write_archives(
 ) -> DataFrame:
     """Write a record for each row into packages under ``folder``; returns (path, bytes, records).
 
-    Of rows with equal payloads of at least ``min_bytes`` bytes those with the largest key
-    are responses and the others revisits of it; a null key is smaller than any. A null
+    Of rows with equal payloads of at least ``min_bytes`` bytes one with the largest key is the
+    response and the others are revisits of it; a null key is smaller than any. A null
     page is an empty payload, a null URL leaves its field out.
     """
     rows = pages.select(
@@ -278,7 +290,7 @@ def write_archives(
         quoted(url).cast("string").alias("u"),
         F.coalesce(quoted(html), F.lit("")).cast("binary").alias("payload"),
     )
-    rows = with_revisits(rows, "k", "payload", min_bytes).select("k", "u", "payload", "refers")
+    rows = with_revisits(rows, min_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
@@ -345,12 +357,18 @@ def read_archives(packages: DataFrame, folder: str) -> DataFrame:
     )
 
 
+def with_scheme(spark: SparkSession, folder: str) -> str:
+    """A folder as a URI: one without a scheme lies in the default file system, as Spark has it."""
+    if "://" in folder or folder.startswith("file:"):
+        return folder
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+    return f"{default.rstrip('/')}{folder}" if not default.startswith("file:") else f"file://{folder}"
+
+
 def archived(
     spark: SparkSession, pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
     min_bytes: int = MIN_REVISIT_BYTES,
 ) -> DataFrame:
     """Write ``pages`` to packages in the shared scratch folder and read all records back."""
-    folder = scratch_path(spark, "archives")
-    if "://" not in folder and not folder.startswith("file:"):
-        folder = f"file://{folder}"
+    folder = with_scheme(spark, scratch_path(spark, "archives"))
     return read_archives(write_archives(pages, folder, key, url, html, min_bytes), folder)

@@ -124,3 +124,22 @@ def test_features_of_plain_cases():
     f = dict(zip(quality.FEATURES, quality.features("a | b | c!! c!! c!!\na | b", classes)))
     assert f["lone_symbols"] == pytest.approx(3 / 10) and f["repeated_next"] == pytest.approx(2 / 10)
     assert f["double_marks"] == pytest.approx(3 / 10)
+
+
+def test_a_repeated_key_is_one_training_row(spark):
+    docs = spark.createDataFrame([(1, f"text {i % 3}") for i in range(300)] + [(2, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "id long, label int")
+    from cartledger.llm.labelled import with_labels
+
+    rows = with_labels(docs, labels).collect()
+    assert sorted(r.id for r in rows) == [1, 2] and {r.label for r in rows} == {0, 1}
+    assert with_labels(docs.repartition(9), labels).where("id = 1").first().text == next(r.text for r in rows if r.id == 1)
+
+
+def test_classifiers_on_an_empty_table(spark):
+    labels = spark.createDataFrame([(1, 1, 1)], "doc_id long, quality int, toxic int")
+    from cartledger.llm import quality, toxicity
+
+    none = spark.createDataFrame([], "doc_id long, text string, score double, Text_ int")
+    for rows in (toxicity.clean_rows(none, labels), quality.good_rows(none, labels)):
+        assert rows.columns == none.columns and rows.collect() == []

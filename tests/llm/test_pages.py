@@ -137,11 +137,13 @@ def want_records(rows, least=0):
     for r in rows:
         if r.page_id is not None and len(payload(r)) >= least:
             largest[payload(r)] = max(largest.get(payload(r), r.page_id), r.page_id)
-    out = []
+    out, seen = [], set()
     for r in rows:
         p = payload(r)
         refers = largest.get(p) if len(p) >= least else None
-        refers = None if refers == r.page_id else refers
+        if refers == r.page_id and p not in seen:  # one response a payload
+            seen.add(p)
+            refers = None
         sha = base64.b32encode(hashlib.sha1(p).digest()).decode()
         out.append((r.page_id, len(p), sha, "response" if refers is None else "revisit", refers))
     return sorted(out, key=str)
@@ -213,3 +215,91 @@ def test_damage_is_noticed():
         warc.parse(record.replace(b"payload\r\n", b"pAyload\r\n"))
     with pytest.raises(ValueError):
         warc.members(io.BytesIO(b"nothing here"), 12)
+
+
+def test_one_response_of_repeated_pages(spark):
+    rows = [(7, "u", "same")] * 50 + [(3, "u", "same"), (7, "v", "same"), (7, "u", "other"), (8, "w", "other")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = warc.archived(spark, pages).collect()
+    want = want_records(spark.createDataFrame(rows, pages.schema).collect())
+    assert sorted((tuple(r[c] for c in COLUMNS) for r in got), key=str) == want
+    assert [r[3] for r in want].count("response") == 2
+
+
+def test_a_task_that_runs_twice_loses_nothing(tmp_path, monkeypatch):
+    """Two attempts at one partition, in different order, the second one cut off."""
+    monkeypatch.setattr(warc, "PACKAGE_BYTES", 600)
+    rows = [(i, warc.record(i, "http://a", bytes([65 + i]) * 400, None)) for i in range(8)]
+    folder = tmp_path.as_uri()
+    winner = [r[0] for r in warc._packages(folder, "000000", "11", iter(rows))]
+    next(warc._packages(folder, "000000", "12", iter(rows[::-1])))
+    found = []
+    for path in winner:
+        with open(path, "rb") as f:
+            for offset, length, _ in warc._ranges(path, warc.fs.LocalFileSystem()):
+                found += [warc.parse(r).page_id for r in warc._unpacked(warc._at(f, offset, length))]
+    assert len(winner) > 1 and sorted(found) == list(range(8))
+
+
+class Hadoop:
+    """Stands in for a session whose default file system is given."""
+
+    def __init__(self, default):
+        self.sparkContext = self._jsc = self
+        self.default = default
+
+    def hadoopConfiguration(self):
+        return self
+
+    def get(self, name):
+        return self.default
+
+
+def test_folders_without_scheme_lie_in_the_default_file_system():
+    assert warc.with_scheme(Hadoop("hdfs://nn:8020"), "/shared/run") == "hdfs://nn:8020/shared/run"
+    assert warc.with_scheme(Hadoop("file:///"), "/shared/run") == "file:///shared/run"
+    assert warc.with_scheme(Hadoop(None), "/shared/run") == "file:///shared/run"
+    for folder in ("s3a://b/run", "file:/run", "file:///run"):
+        assert warc.with_scheme(Hadoop("hdfs://nn"), folder) == folder
+
+
+@pytest.fixture(scope="module")
+def weights(spark):
+    return html.learn(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+
+
+def words(name, n):
+    return " ".join(f"{name}{i}" for i in range(n))
+
+
+def test_other_matter_takes_nothing_from_an_article(weights):
+    advert = f"<div class='advert'>{words('buy', 60)}</div>"
+    related = "<ul class='related'>" + "".join(f"<li><a href=x>{words('more', 8)}</a></li>" for _ in range(10)) + "</ul>"
+    nav = "<nav><a href=a>home</a> <a href=b>news</a></nav>"
+    for other in (advert, related):
+        page = f"<body>{nav}<article><p>{words('a', 20)}</p>{other}<p>{words('z', 15)}</p></article></body>"
+        assert html.main_text(page, *weights) == f"{words('a', 20)} {words('z', 15)}"
+        page = f"<body>{nav}<article><p>short lead</p>{other}<p>{words('z', 40)}</p></article></body>"
+        assert html.main_text(page, *weights) == f"short lead {words('z', 40)}"
+
+
+def test_tables_and_links_belong_to_the_article(weights):
+    table = "<table>" + "".join(f"<tr><td>k{i}</td><td>v{i}</td></tr>" for i in range(20)) + "</table>"
+    page = f"<body><div><p>{words('a', 30)}</p>{table}<p>{words('z', 12)}</p></div></body>"
+    cells = " ".join(f"k{i} v{i}" for i in range(20))
+    assert html.main_text(page, *weights) == f"{words('a', 30)} {cells} {words('z', 12)}"
+    page = f"<body><article><p><a href=x>{words('a', 30)}</a></p></article></body>"
+    assert html.main_text(page, *weights) == words("a", 30)
+
+
+def test_the_header_of_content_is_its_headline(weights):
+    page = f"<body><div class='post'><header class='post-header'><h1>Head line</h1></header><p>{words('a', 30)}</p></div></body>"
+    assert html.main_text(page, *weights) == f"Head line {words('a', 30)}"
+
+
+def test_attributes_of_any_length(weights):
+    long = "> LEAK words " * 8_000
+    page = f"<body><article><p>{words('a', 9)}</p><img alt=\"{long}\"><p data-x='{long}'>{words('z', 9)}</p></article></body>"
+    assert html.main_text(page, *weights) == f"{words('a', 9)} {words('z', 9)}"
+    page = "<article><p title=\"never closed>one two</p><p title='nor this>three four</p>" + "<b x=>y</b> " * 30_000 + "</article>"
+    assert html.main_text(page, *weights).startswith("one two three four")

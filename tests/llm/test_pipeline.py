@@ -2,7 +2,9 @@
 
 from collections import Counter
 
+import corpus
 import corpus_pipeline
+import pytest
 import test_simhash
 from test_tables import check_packed
 
@@ -41,3 +43,22 @@ def test_stages_apply_their_decisions(spark, sf_dir):
     assert bag(corpus_pipeline.run(spark, sf_dir).select("doc_id", "piece", "ids_crc32")) == bag(
         stages["packing"](spark, mixed, sf_dir).select("doc_id", "piece", "ids_crc32")
     )
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_stages_on_awkward_rows(spark, tmp_path, empty):
+    """Nulls, empty and long texts, repeated rows and keys, clashing names; and no rows at all."""
+    docs = corpus.no_documents(spark) if empty else corpus.awkward_documents(spark)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    marks = [(i, i % 2, i % 3 == 0) for i in range(1, 8)] + [(None, 1, True), (3, None, None)]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic boolean")
+    labels.withColumn("toxic", labels["toxic"].cast("int")).write.parquet(f"{tmp_path}/labels.parquet")
+    rows = table(spark, str(tmp_path), "documents")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, rows = bag(rows), stored(stage(spark, rows, str(tmp_path)), name)
+        assert rows.schema == docs.schema
+        most = 2 if name == "mixing" else 1
+        assert all(n <= most * before[k] for k, n in bag(rows).items())
+    packed = corpus_pipeline.STAGES[-1][1](spark, rows, str(tmp_path))
+    assert packed.count() >= rows.count()
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == packed.count()

@@ -74,6 +74,23 @@ def test_mixing_awkward_rows(spark):
     assert mixing.mix(corpus.no_documents(spark)).collect() == []
 
 
+def test_a_hot_key_is_split(spark):
+    """A third of all rows on one id, most of them copies of one row."""
+    rows = [(5, "one two three", "s")] * 300 + [(5, f"w{i} x", "s") for i in range(40)]
+    rows += [(1_000 + i, "a b c d", "s") for i in range(500)] + [(2_000 + i, "a b", "t") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    for share in (0.35, 0.9, 1.2, 1.5):
+        got = mixing.mix(docs, share=share).collect()
+        assert len(got) == len(rows)
+        taken = sum(r.taken for r in got if r.source_size == 2980 or r.size > 2 or r.doc_id < 2_000)
+        target = next(r.target for r in got if r.doc_id == 5)
+        assert abs(taken - target) <= 4 and all(r.taken in (0, r.size, 2 * r.size) for r in got)
+        copies = Counter(map(tuple, mixing.mixed_rows(docs, share=share).collect()))
+        sizes = {k: len(k[1].split()) * n for k, n in copies.items()}
+        assert sum(n for k, n in sizes.items() if k[2] == "s") == taken
+        assert max(copies.values()) <= 600
+
+
 def test_one_source_and_sources_without_words(spark):
     docs = spark.createDataFrame([(1, "a b", "s"), (2, "c", "s"), (3, "", "t")], "doc_id long, text string, source string")
     rows = {r.doc_id: r for r in mixing.mix(docs).collect()}

@@ -187,3 +187,26 @@ def test_codes_are_close_and_symmetric():
     like = nndescent._likeness(code, code)
     assert (like == like.T).all()
     assert like == pytest.approx(x @ x.T, abs=0.6)
+
+
+def test_extreme_components_link(spark):
+    from cartledger.llm import crosspolytope
+
+    rows = [(1, [1e200, 0.0]), (2, [1e200, 1e190]), (3, [1e-200, 0.0]), (4, [1e-200, 1e-210]), (5, [0.0, 1e308]),
+            (6, [-1e-300, 1e-300]), (7, [-5e300, 5e300]), (8, [5e-324, 0.0])]
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in crosspolytope.near_vectors(df).collect()}
+    assert got == {1: (4, 1), 2: (4, 1), 3: (4, 1), 4: (4, 1), 8: (4, 1), 5: (0, 5), 6: (1, 6), 7: (1, 6)}
+
+
+def test_rounds_and_walks_end_by_themselves(spark):
+    """A small table, so one leaf; and leaves of a few, so the rounds have to find the rest."""
+    from cartledger.llm import nndescent
+
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(900, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    asked = df.where("vec_id % 20 = 0")
+    index = nndescent.build(df)
+    found = nndescent.search(index, asked, 20)
+    assert found.count() == 45 * 20 and nndescent.recall(index, found, 20) > 0.95
