@@ -20,7 +20,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Observation, Window, functions as F
 
 from cartledger.llm.common import quoted, stored
 from cartledger.llm.vectors import distinct_vectors, matrix, usable
@@ -37,7 +37,7 @@ CHANGES = 0.1
 #: Partners that a node may win from one neighbourhood.
 WINS = 8
 #: Best nodes that a search remembers, and expands in a hop.
-WIDTH, EXPAND = 320, 160
+WIDTH, EXPAND = 320, 320
 #: Nodes whose vectors are looked up together.
 BLOCK = 2_048
 #: Queries that are compared with all vectors in one pass.
@@ -271,8 +271,8 @@ def build(rows: DataFrame, key: str = "vec_id", vector: str = "embedding") -> In
     drawn = nodes if n <= SAMPLE else nodes.where(
         F.pmod(F.xxhash64("node"), F.lit(1_000_000)) < int(1_000_000 * SAMPLE / n)
     )
-    sample = drawn.orderBy("node").select(F.col("vec").cast("array<double>").alias("vec")).toPandas()["vec"]
-    x = np.array(sample.tolist(), float)
+    sample = drawn.orderBy("node").select(F.col("vec").cast("array<double>").alias("vec")).toArrow()
+    x = matrix(sample.column("vec").combine_chunks()) if sample.num_rows else np.empty((0, 0))
     levels = 0
     while n >> levels > LEAF and len(x) >> levels > SAMPLE_LEAF:
         levels += 1
@@ -364,6 +364,13 @@ def _looked_up(wanted: DataFrame, codes: DataFrame, blocks: int) -> DataFrame:
     )
 
 
+def _kept_states(states: DataFrame) -> tuple[DataFrame, bool]:
+    """The states as a stored table, and whether any walk goes on; the write itself tells."""
+    seen = Observation()
+    kept = stored(states.observe(seen, F.count_if(F.size("front") > 0).alias("going")), "walk")
+    return kept, seen.get["going"] > 0
+
+
 def _walk(index: Index, queries: DataFrame, k: int) -> DataFrame:
     """(query, other): what can be among the ``k`` nearest of those that a walk from each query node finds."""
     tasks = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -378,14 +385,15 @@ def _walk(index: Index, queries: DataFrame, k: int) -> DataFrame:
         F.array("node").alias("ids"), F.array(F.lit(float("inf"))).alias("likes"),
         F.array(F.lit(False)).alias("done"),
     )
-    states = stored(_advance(start, None), "walk")
-    while not (ahead := states.where(F.size("front") > 0)).isEmpty():
+    states, going = _kept_states(_advance(start, None))
+    while going:
+        ahead = states.where(F.size("front") > 0)
         near = ahead.select("query", F.explode("front").alias("at")).join(graph, "at")
         met = near.groupBy("query").agg(F.array_distinct(F.flatten(F.collect_list("members"))).alias("met"))
         # ``EXPAND`` lists of ``NEIGHBOURS`` + ``REVERSE`` at most
         new = F.array_except("met", "ids").alias("members")
         wanted = ahead.join(met, "query").select("query", "code", new)
-        states = stored(_advance(states, _looked_up(wanted, codes, blocks)), "walk")
+        states, going = _kept_states(_advance(states, _looked_up(wanted, codes, blocks)))
     # How far a likeness may be off, by half a unit in each component of both vectors.
     d, top = index.nodes.agg(
         F.max(F.size("vec")), F.max(F.array_max(F.transform("vec", lambda x: F.abs(x.cast("double")))))
