@@ -28,8 +28,8 @@ def hash_bits(value: Column) -> Column:
 def _split(rows: DataFrame, limit: int, first: int) -> tuple[DataFrame, DataFrame | None]:
     """Leaves of the rows (parent, h, bytes), and the (parent, h) of values too large to split.
 
-    A leaf row (parent, at, cell, depth) says: hashes of ``parent`` whose leading ``at``
-    bits are ``cell`` belong to the bucket of their leading ``depth`` bits.
+    A leaf row (parent, at, cell, depth, total) says: hashes of ``parent`` whose leading ``at``
+    bits are ``cell`` belong to the bucket of their leading ``depth`` bits, of ``total`` bytes.
     """
     leaves, low, at = [], 0, min(first, BITS)
     todo = rows
@@ -48,13 +48,13 @@ def _split(rows: DataFrame, limit: int, first: int) -> tuple[DataFrame, DataFram
             levels.groupBy("parent", "depth", "bucket")
             .agg(F.sum("bytes").alias("total"), F.sum("n").alias("rows"))
             .where((F.col("total") <= limit) | (F.col("rows") == 1))
-            .select("parent", "depth", "bucket")
+            .select("parent", "depth", "bucket", "total")
         )
         found = stored(
             levels.join(fits, ["parent", "depth", "bucket"])
             .groupBy("parent", "cell")
-            .agg(F.min("depth").alias("depth"))
-            .select("parent", F.lit(at).alias("at"), "cell", "depth"),
+            .agg(F.min(F.struct("depth", "total")).alias("least"))
+            .select("parent", F.lit(at).alias("at"), "cell", "least.depth", "least.total"),
             "leaves",
         )
         leaves.append(found)
@@ -80,7 +80,8 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def _named(rows: DataFrame, leaves: DataFrame) -> DataFrame:
-    """The rows that reach a leaf, with ``shard``: the bits of the path from the parent."""
+    """The rows that reach a leaf, with ``shard``, the bits of the path from the parent, and its
+    ``shard_bytes``, which the leaf knows."""
     depths = [r["at"] for r in leaves.select("at").distinct().collect()]  # one per pass
     parts = []
     for at in depths:
@@ -90,9 +91,11 @@ def _named(rows: DataFrame, leaves: DataFrame) -> DataFrame:
             rows.withColumn("cell", F.shiftright("h", BITS - at))
             .join(cells, ["parent", "cell"])
             .withColumn("shard", F.concat("parent", F.when(F.col("depth") == 0, "").otherwise(bits)))
+            .withColumnRenamed("total", "shard_bytes")
             .drop("cell", "depth")
         )
-    return _union(parts or [rows.limit(0).withColumn("shard", F.lit(""))])
+    empty = rows.limit(0).withColumn("shard", F.lit("")).withColumn("shard_bytes", F.lit(0).cast("long"))
+    return _union(parts or [empty])
 
 
 def shard(docs: DataFrame, limit: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -133,15 +136,12 @@ def shard(docs: DataFrame, limit: int, key: str = "doc_id", text: str = "text")
         done.append(_named(inner, leaves))
         if equal is not None:
             done.append(_dealt(inner.join(equal, ["parent", "h"], "left_semi"), limit))
-    named = stored(_union([d.select("id", "bytes", "shard") for d in done]), "sharded")
-    sums = named.groupBy("shard").agg(F.sum("bytes").alias("shard_bytes"))
-    return named.join(sums, "shard").select(
-        F.col("id").alias(key), "bytes", "shard", "shard_bytes"
-    )
+    return _union([d.select(F.col("id").alias(key), "bytes", "shard", "shard_bytes") for d in done])
 
 
 def _dealt(rows: DataFrame, limit: int) -> DataFrame:
-    """Equal rows in numbered parts: counted by partition, then numbered inside each."""
+    """Equal rows in numbered parts: counted by partition, then numbered inside each; the bytes
+    of these parts alone are summed up."""
     rows = stored(rows.withColumn("pid", F.spark_partition_id()), "equal")
     counts = rows.groupBy("parent", "h", "pid").count()
     before = Window.partitionBy("parent", "h").orderBy("pid").rowsBetween(
@@ -153,10 +153,12 @@ def _dealt(rows: DataFrame, limit: int) -> DataFrame:
     inside = Window.partitionBy("parent", "h", "pid").orderBy("h2")
     place = F.col("before") + F.row_number().over(inside) - 1
     fit = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest("bytes", F.lit(1))))
-    return rows.join(counts, ["parent", "h", "pid"]).withColumn(
+    parts = rows.join(counts, ["parent", "h", "pid"]).withColumn(
         "shard",
         F.concat("parent", F.lpad(F.bin("h"), BITS, "0"), F.lit("#"), F.floor(place / fit)),
     )
+    parts = stored(parts, "dealt")
+    return parts.join(parts.groupBy("shard").agg(F.sum("bytes").alias("shard_bytes")), "shard")
 
 
 def write_shards(docs: DataFrame, path: str, limit: int, key: str = "doc_id", text: str = "text"):
