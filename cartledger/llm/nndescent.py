@@ -1,6 +1,7 @@
 """Approximate nearest neighbours: a graph by NN-descent, searched greedily.
 
-The graph starts from random-projection trees, whose leaves are compared within. Each round
+The graph starts from random-projection trees, whose leaves are compared within; they are fitted
+on a sample and split on over the whole table until none is overfull. Each round
 then joins every node with its neighbours and those that have it as neighbour, compares
 these among each other, and keeps each node's best: neighbours of neighbours are likely
 neighbours. A search walks the graph from the query's own leaf, always on from the best
@@ -111,24 +112,65 @@ def grow(sample: np.ndarray, levels: int, seed: int) -> Tree:
     return tree
 
 
-def _leaves(nodes: DataFrame, trees: list[Tree]) -> DataFrame:
-    """(tree, leaf, node, code) of the nodes (node, code, vec) in each tree."""
+def _leaves(nodes: DataFrame, trees: list[Tree], further: int = 0) -> DataFrame:
+    """(tree, leaf, node, along) of the nodes (node, vec) in each tree; ``along`` are their places
+    along ``further`` random directions, the same for all nodes of a tree."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = matrix(batch.column(2))
+            x = matrix(batch.column(1))
+            if not len(x):
+                continue
+            ends = pa.array(np.arange(len(x) + 1, dtype=np.int32) * further)
             for t, tree in enumerate(trees):
+                directions = np.random.default_rng([SEED, t]).standard_normal((x.shape[1], further))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(x), t, np.int32)), pa.array(tree.leaf(x) if len(x) else np.empty(0, np.int64)),
-                     batch.column(0), batch.column(1)],
-                    names=["tree", "leaf", "node", "code"],
+                    [
+                        pa.array(np.full(len(x), t, np.int32)), pa.array(tree.leaf(x)), batch.column(0),
+                        pa.ListArray.from_arrays(ends, pa.array((x @ directions).ravel())),
+                    ],
+                    names=["tree", "leaf", "node", "along"],
                 )
 
-    return nodes.select("node", "code", F.col("vec").cast("array<double>").alias("vec")).mapInArrow(
-        run, "tree int, leaf long, node long, code binary"
+    return nodes.select("node", F.col("vec").cast("array<double>").alias("vec")).mapInArrow(
+        run, "tree int, leaf long, node long, along array<double>"
     )
 
 
+def _parts(nodes: DataFrame, trees: list[Tree]) -> DataFrame:
+    """(tree, leaf, node) of every node in each tree, no leaf over 2 * LEAF nodes.
+
+    The trees are fitted on a bounded sample, so their leaves grow with the table. Overfull ones
+    are split on at the median of their nodes along a random direction, level by level, all leaves
+    of a level in one grouped pass. What no direction tells apart in double precision is dealt by
+    hash at last.
+    """
+    by = ["tree", "leaf"]
+    leaves = stored(_leaves(nodes, trees).drop("along"), "leaves")
+    largest = leaves.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+    if largest <= 2 * LEAF:
+        return leaves
+    # Medians are approximate: a level more than halves would need.
+    further = (-(-largest // (2 * LEAF)) - 1).bit_length() + 1
+    leaves = stored(_leaves(nodes, trees, further), "leaves")
+    for level in range(further):
+        place = F.col("along")[level]
+        cuts = leaves.groupBy(*by).agg(
+            F.count("*").alias("size"), F.percentile_approx(place, 0.5, 200).alias("cut")
+        ).where(F.col("size") > 2 * LEAF).drop("size")
+        below = 2 * F.col("leaf") + 1 + (place > F.col("cut")).cast("long")
+        leaves = stored(
+            leaves.join(cuts, by, "left").select(
+                "tree", F.coalesce(below, "leaf").alias("leaf"), "node", "along"
+            ),
+            "leaves",
+        )
+    sizes = leaves.groupBy(*by).agg(F.ceil(F.count("*") / (2 * LEAF)).alias("parts")).where("parts > 1")
+    # A part's number is negative, so that it is no leaf's.
+    part = -1 - F.pmod(F.xxhash64("node", "tree"), "parts") - F.col("leaf") * F.lit(1 << 20)
+    return leaves.join(sizes, by, "left").select("tree", F.coalesce(part, "leaf").alias("leaf"), "node")
+
+
 def _best(node: np.ndarray, likeness: np.ndarray, most: int):
     """(row, column, value) of each row's best columns but itself."""
     np.fill_diagonal(likeness, -np.inf)
@@ -153,14 +195,8 @@ def _edges(found) -> Iterator[pa.RecordBatch]:
 
 
 def _first_edges(nodes: DataFrame, trees: list[Tree]) -> DataFrame:
-    """Each node's best in its leaf of each tree; an overfull leaf is dealt into parts by hash."""
-    leaves = _leaves(nodes, trees)
-    # At most as many rows as the trees have leaves.
-    parts = leaves.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / (2 * LEAF)).alias("parts"))
-    dealt = leaves.join(F.broadcast(parts), ["tree", "leaf"]).select(
-        "tree", "leaf", F.pmod(F.xxhash64("node", "tree"), "parts").alias("part"), "node", "code"
-    )
-    groups = dealt.groupBy("tree", "leaf", "part")
+    """Each node's best in its leaf of each tree."""
+    groups = _parts(nodes, trees).join(nodes.select("node", "code"), "node").groupBy("tree", "leaf")
 
     def run(table: pa.Table) -> pa.Table:
         node = table.column("node").to_numpy()

@@ -210,3 +210,32 @@ def test_rounds_and_walks_end_by_themselves(spark):
     index = nndescent.build(df)
     found = nndescent.search(index, asked, 20)
     assert found.count() == 45 * 20 and nndescent.recall(index, found, 20) > 0.95
+
+
+def test_overfull_leaves_are_split_until_they_fit(spark, monkeypatch):
+    """A table far larger than the trees' sample, a third of it one tight group."""
+    monkeypatch.setattr(nndescent, "SAMPLE", 64)
+    monkeypatch.setattr(nndescent, "LEAF", 64)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(2_400, 12))
+    x[:800] = x[0] + rng.normal(size=(800, 12)) * 0.01
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    nodes = rows.select(rows.vec_id.alias("node"), rows.embedding.alias("vec"))
+    trees = [nndescent.grow(x[::40], 1, t) for t in range(2)]
+    parts = nndescent._parts(nodes, trees)
+    sizes = [r["count"] for r in parts.groupBy("tree", "leaf").count().collect()]
+    assert max(sizes) <= 128 and sum(sizes) == 2 * len(x) == parts.select("tree", "node").distinct().count()
+    assert min(sizes) > 16  # medians: no splinters, so none was dealt by hash into crumbs
+    index = nndescent.build(rows)
+    found = nndescent.search(index, rows.where("vec_id % 20 = 0"), 20)
+    assert found.count() == 120 * 20
+    assert nndescent.recall(index, found, 20) >= 0.9
+
+
+def test_equal_places_in_an_overfull_leaf_are_dealt_by_hash(spark, monkeypatch):
+    monkeypatch.setattr(nndescent, "LEAF", 8)
+    rows = [(i, [1.0, 2.0]) for i in range(100)]
+    nodes = spark.createDataFrame(rows, "node long, vec array<double>")
+    tree = nndescent.Tree(0, np.zeros((0, 2)), np.zeros(0))
+    parts = nndescent._parts(nodes, [tree])
+    assert parts.count() == 100 and parts.select("leaf").distinct().count() > 3
