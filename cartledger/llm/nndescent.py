@@ -366,19 +366,46 @@ def _advance(states: DataFrame, found: DataFrame | None) -> DataFrame:
     return joined.select("query", "code", "ids", "likes", "done", "found").mapInArrow(run, schema)
 
 
-def _looked_up(wanted: DataFrame, codes: DataFrame, blocks: int) -> DataFrame:
-    """(query, ids, likes) of the nodes ``members`` that queries (query, code, members) want.
+def _dealt(wanted: DataFrame, blocks: int) -> DataFrame:
+    """(query, block, code, members): of the nodes in the lists ``met`` those not among ``ids``,
+    each once, by block."""
 
-    Nodes are dealt into blocks, and a query asks each block once, with its vector and the
-    nodes it wants there, so vectors travel once a block and not once a query and node.
-    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            rows, block, sizes, members = [], [], [], []
+            for i, (ids, met) in enumerate(zip(batch.column(2), batch.column(3))):
+                new = np.setdiff1d(met.values.flatten().to_numpy(), ids.values.to_numpy())
+                own = np.mod(new, blocks)
+                members.append(new[np.argsort(own, kind="stable")])
+                own, size = np.unique(own, return_counts=True)
+                rows.append(np.full(len(own), i))
+                block.append(own)
+                sizes.append(size)
+            if members:
+                rows = pa.array(np.concatenate(rows))
+                ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(rows), pa.array(np.concatenate(block)), batch.column(1).take(rows),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(members))),
+                    ],
+                    names=["query", "block", "code", "members"],
+                )
+
+    return wanted.select("query", "code", "ids", "met").mapInArrow(
+        run, "query long, block long, code binary, members array<long>"
+    )
 
-    def block(node: str):
-        return F.pmod(F.xxhash64(node), F.lit(blocks).cast("long")).alias("block")
 
-    each = wanted.select("query", F.explode("members").alias("member"))
-    asked = each.groupBy("query", block("member")).agg(F.collect_list("member").alias("members"))
-    asked = asked.join(wanted.select("query", "code"), "query")
+def _looked_up(wanted: DataFrame, codes: DataFrame, blocks: int) -> DataFrame:
+    """(query, ids, likes) of the nodes that queries (query, code, ids, met) want.
+
+    Nodes, whose numbers are hashes, are dealt into blocks, and a query asks each block once, with
+    its vector and the nodes it wants there, so vectors travel once a block and not once a query
+    and node.
+    """
+    asked = _dealt(wanted, blocks)
+    block = F.pmod("node", F.lit(blocks).cast("long")).alias("block")
 
     def look(left: pa.Table, right: pa.Table) -> pa.Table:
         node = right.column("node").to_numpy()
@@ -395,7 +422,7 @@ def _looked_up(wanted: DataFrame, codes: DataFrame, blocks: int) -> DataFrame:
             "likes": pa.array(likes, pa.list_(pa.float64())),
         })
 
-    return asked.groupBy("block").cogroup(codes.select("node", "code", block("node")).groupBy("block")).applyInArrow(
+    return asked.groupBy("block").cogroup(codes.select("node", "code", block).groupBy("block")).applyInArrow(
         look, "query long, ids array<long>, likes array<double>"
     )
 
@@ -413,29 +440,34 @@ def _walk(index: Index, queries: DataFrame, k: int) -> DataFrame:
     codes = index.nodes.select("node", "code")
     n = codes.count()
     blocks = max(-(-n // BLOCK), min(tasks, -(-n // (BLOCK // 8))), 1)
+    pair = F.struct("member", "like")  # equal in both directions
     graph = stored(
-        _around(index.edges, 0).groupBy("at").agg(F.collect_set("member").alias("members")), "graph"
+        _around(index.edges, 0).groupBy("at").agg(F.collect_set(pair).alias("near"))
+        .select("at", F.col("near.member").alias("members"), F.col("near.like").alias("likes")),
+        "graph",
     )
-    start = queries.join(codes, "node").select(
+    # A query's own neighbours are known with their likeness; it stands first itself, without one.
+    near = F.filter(F.arrays_zip("members", "likes"), lambda p: p["members"] != F.col("node"))
+    near = F.coalesce(near, F.array().cast("array<struct<members:long,likes:double>>"))
+    start = queries.join(codes, "node").join(graph, F.col("node") == F.col("at"), "left").withColumn("near", near).select(
         F.col("node").alias("query"), "code",
-        F.array("node").alias("ids"), F.array(F.lit(float("inf"))).alias("likes"),
-        F.array(F.lit(False)).alias("done"),
+        F.concat(F.array("node"), "near.members").alias("ids"),
+        F.concat(F.array(F.lit(float("inf"))), "near.likes").alias("likes"),
+        F.concat(F.array(F.lit(True)), F.transform("near", lambda p: F.lit(False))).alias("done"),
     )
     states, going = _kept_states(_advance(start, None))
     while going:
         ahead = states.where(F.size("front") > 0)
-        near = ahead.select("query", F.explode("front").alias("at")).join(graph, "at")
-        met = near.groupBy("query").agg(F.array_distinct(F.flatten(F.collect_list("members"))).alias("met"))
+        near = ahead.select("query", F.explode("front").alias("at")).join(graph.select("at", "members"), "at")
+        met = near.groupBy("query").agg(F.collect_list("members").alias("met"))
         # ``EXPAND`` lists of ``NEIGHBOURS`` + ``REVERSE`` at most
-        new = F.array_except("met", "ids").alias("members")
-        wanted = ahead.join(met, "query").select("query", "code", new)
+        wanted = ahead.join(met, "query")
         states, going = _kept_states(_advance(states, _looked_up(wanted, codes, blocks)))
     # How far a likeness may be off, by half a unit in each component of both vectors.
     d, top = index.nodes.agg(
         F.max(F.size("vec")), F.max(F.array_max(F.transform("vec", lambda x: F.abs(x.cast("double")))))
     ).first()
     slack = 2.0 * (d or 1) * (top or 0.0) ** 2 / (2 ** code_bits(d or 1) - 1)
-    # The query itself stands first, without a likeness.
     last = F.element_at("likes", F.least(F.lit(k + 1), F.size("likes")))
     pairs = F.arrays_zip(F.col("ids").alias("id"), F.col("likes").alias("like"))
     return states.select("query", F.explode(F.filter(pairs, lambda p: p["like"] >= last - slack)).alias("p")).select(
