@@ -16,10 +16,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import FloatType
 
 from cartledger.llm.common import quoted, stored
 from cartledger.llm.graph import components
-from cartledger.llm.vectors import distinct_vectors, matrix, packed, scaled, unpacked, usable
+from cartledger.llm.vectors import distinct_vectors, doubles, matrix, packed, scaled, unpacked, usable
 
 SIMILARITY = 0.98
 #: At 0.98 in 64 dimensions a table of two hashes with three buckets a vector finds 93 % of
@@ -140,8 +141,8 @@ class _Compare:
         return node[rows], links[rows].astype(np.int64), node[root[rows]]
 
 
-def _compared(entries: DataFrame, similarity: float) -> DataFrame:
-    """(node, links, other) of entries dealt and sorted by group."""
+def _compared(entries: DataFrame, similarity: float, kind: str) -> DataFrame:
+    """(node, links, other) of entries dealt and sorted by group; vectors are of ``kind``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compare, carried = _Compare(similarity), None
@@ -166,7 +167,7 @@ def _compared(entries: DataFrame, similarity: float) -> DataFrame:
                 kept = rows.take(pa.array(take))
                 node, copies, side = (kept.column(i).to_numpy() for i in (4, 5, 6))
                 keys = matrix_of_longs(kept.column(7))
-                x = scaled(unpacked(kept.column(8)))
+                x = scaled(unpacked(kept.column(8), kind))
                 length = np.sqrt(np.einsum("ij,ij->i", x, x))
                 at = 0
                 for g in wanted:
@@ -196,14 +197,15 @@ def matrix_of_longs(column: pa.Array) -> np.ndarray:
     return np.frombuffer(data, "<i8").reshape(len(column), -1)
 
 
-def _entries(reps: DataFrame, dims: int, tables: int, hashes: int, vectors: bool) -> DataFrame:
+def _entries(reps: DataFrame, dims: int, tables: int, hashes: int, kind: str | None) -> DataFrame:
     """A row for each bucket of each vector: (label, bucket, node[, copies, keys, vec]).
 
-    Shorter vectors are filled up to ``dims``; the label tells lengths apart.
+    Shorter vectors are filled up to ``dims``; the label tells lengths apart. Vectors go along
+    as numbers of ``kind``, or not at all.
     """
-    names = ["label", "bucket", "node", *(["copies", "keys", "vec"] if vectors else [])]
+    names = ["label", "bucket", "node", *(["copies", "keys", "vec"] if kind else [])]
     schema = "label long, bucket long, node long" + (
-        ", copies long, keys binary, vec binary" if vectors else ""
+        ", copies long, keys binary, vec binary" if kind else ""
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,11 +219,11 @@ def _entries(reps: DataFrame, dims: int, tables: int, hashes: int, vectors: bool
                 flat = keys.reshape(n, each)
                 row = pa.array(np.repeat(np.arange(n), each))
                 columns = [part.column(0).take(row), pa.array(flat.ravel()), part.column(1).take(row)]
-                if vectors:
+                if kind:
                     texts = pa.array([k.astype("<i8").tobytes() for k in flat], pa.binary())
                     full = np.zeros((n, dims))
                     full[:, :d] = x
-                    columns += [part.column(2).take(row), texts.take(row), packed(full).take(row)]
+                    columns += [part.column(2).take(row), texts.take(row), packed(full, kind).take(row)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return reps.select("label", "node", "copies", "vec").mapInArrow(run, schema)
@@ -241,12 +243,14 @@ def linked(reps: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     hashes = min(max(TABLES), max(1, math.ceil(math.log(max(2.0, n / CROWD), axes))))
     tables = TABLES[hashes]
     crowded = stored(
-        _entries(reps, dims, tables, hashes, False).groupBy("label", "bucket").count()
+        _entries(reps, dims, tables, hashes, None).groupBy("label", "bucket").count()
         .where(F.col("count") > BLOCK)
         .select("label", "bucket", F.ceil(F.col("count") / BLOCK).alias("blocks")),
         "crowded",
     )
-    entries = _entries(reps, dims, tables, hashes, True).join(crowded, ["label", "bucket"], "left")
+    # Floats travel as floats, half the bytes of every exchange; they are compared as doubles.
+    kind = "<f4" if isinstance(reps.schema["vec"].dataType.elementType, FloatType) else "<f8"
+    entries = _entries(reps, dims, tables, hashes, kind).join(crowded, ["label", "bucket"], "left")
     blocks = F.coalesce("blocks", F.lit(1))
     own = F.pmod("node", blocks)
     # Each block meets itself and every other block of its bucket once.
@@ -261,7 +265,7 @@ def linked(reps: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     group = ["label", "bucket", "low", "high"]
     parts = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return _compared(
-        dealt.repartition(parts, *group).sortWithinPartitions(*group), similarity
+        dealt.repartition(parts, *group).sortWithinPartitions(*group), similarity, kind
     )
 
 
@@ -276,7 +280,7 @@ def near_vectors(
     part; ``component_id`` is the least key of the component that is not null.
     """
     given = rows.select(
-        quoted(key).alias("id"), quoted(label).alias("label"), quoted(vector).cast("array<double>").alias("vec")
+        quoted(key).alias("id"), quoted(label).alias("label"), doubles(rows, vector).alias("vec")
     )
     ready = usable(F.col("vec")) & F.col("label").isNotNull()
     marked = distinct_vectors(given.withColumn("ready", ready), "vec", ("label",)).withColumn(

@@ -65,6 +65,18 @@ def test_awkward_links(spark, monkeypatch, block):
     assert got == brute_links(rows.collect())
 
 
+def test_floats_and_doubles_link_alike(spark):
+    """Floats travel as floats; a pair at the limit is decided in double precision either way."""
+    rng = np.random.default_rng(5)
+    near = rng.normal(size=8)
+    rows = [(i, (near + rng.normal(size=8) * 0.13).astype(np.float32).tolist(), 1) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    assert df.select(crosspolytope.doubles(df, "EMBEDDING")).dtypes[0][1] == "array<float>"
+    wide = df.withColumn("embedding", df["embedding"].cast("array<double>"))
+    got = [sorted(tuple(r) for r in crosspolytope.near_vectors(d).collect()) for d in (df, wide)]
+    assert got[0] == got[1] == sorted(tuple(r) for r in brute_links(df.collect()))
+
+
 def test_real_links(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()
     got = sorted((tuple(r) for r in queries.op10_crosspolytope(spark, sf_dir).collect()), key=str)
