@@ -51,14 +51,19 @@ class Packed:
         self.n, self.d = rows.shape
         low, high = (int(rows.min()), int(rows.max())) if rows.size else (0, 0)
         self.shift, self.anchor_shift = max(0, -low), max(0, -least)
-        most = self.d * max(0, high + self.shift) * max(0, largest + self.anchor_shift)
+        shifted = max(0, high + self.shift)
+        most = self.d * shifted * max(0, largest + self.anchor_shift)
+        # What is taken off again may be large where the fields are not, as for rows all alike.
+        taken = 4 * self.d * max(1, -low, high) * max(1, -least, largest)
         # Fields are whole bytes; those of four are read as machine words.
-        self.width = max(4, -(-most.bit_length() // 8))
+        self.width = max(4, -(-max(most, shifted).bit_length() // 8))
+        self.words = self.width == 4 and taken < _LONG
         self.fields = [self._laid(rows[:, j]) for j in range(self.d)]
-        self.totals = rows.sum(1) if rows.size else np.zeros(self.n, np.int64)
+        summed = rows.astype(np.int64 if self.words else object)
+        self.totals = summed.sum(1) if rows.size else np.zeros(self.n, np.int64)
 
     def _laid(self, column: np.ndarray) -> int:
-        if self.width == 4:
+        if self.words:
             return int.from_bytes((column + self.shift).astype("<u4").tobytes(), "little")
         return int.from_bytes(b"".join((int(v) + self.shift).to_bytes(self.width, "little") for v in column), "little")
 
@@ -69,7 +74,7 @@ class Packed:
         data = product.to_bytes(self.width * self.n, "little")
         # sum (a + s)(x + t) = sum a x + t sum a + s sum x + d s t
         constant = self.shift * sum(anchor) + self.d * self.anchor_shift * self.shift
-        if self.width == 4:
+        if self.words:
             return np.frombuffer(data, "<u4").astype(np.int64) - constant - self.anchor_shift * self.totals
         unpacked = (int.from_bytes(data[i : i + self.width], "little") for i in range(0, len(data), self.width))
         exact = (f - constant - self.anchor_shift * int(t) for f, t in zip(unpacked, self.totals))

@@ -131,6 +131,16 @@ def test_packed_products_are_exact(data):
     assert block.scores(anchor).tolist() == [max(-(1 << 63), min((1 << 63) - 1, s)) for s in exact]
 
 
+@pytest.mark.parametrize("anchor", [-(2**63), 2**40, 3, 0, -(2**70)])
+@pytest.mark.parametrize("row", [-1, -(2**40), -(2**52) + 1, 2**40])
+def test_rows_all_alike_are_exact(row, anchor):
+    """Their fields are small, but not what is taken off them."""
+    d = 2_100
+    block = negatives.Packed(np.full((3, d), row, np.int64), anchor, anchor)
+    score = max(-(1 << 63), min((1 << 63) - 1, d * row * anchor))
+    assert block.scores([anchor] * d).tolist() == [score] * 3
+
+
 # Periodic runs
 
 
