@@ -416,12 +416,18 @@ def _mart_sales_summary(spark, sf_dir):
     )
 
 
+def _bucketed(spark, sf_dir, rows_per_bucket: int = layouts.ROWS_PER_BUCKET):
+    """Orders, items and payments in buckets by order, 8 at least."""
+    parts = {name: getattr(star, name)(spark, sf_dir) for name in PARTS}
+    buckets = layouts.buckets_for(parts.values(), 8, rows_per_bucket)
+    return {
+        name: layouts.write_bucketed(df, scratch_path(spark, f"bucketed_{name}"), "order_id", buckets)
+        for name, df in parts.items()
+    }
+
+
 def _mart_sales_bucketed(spark, sf_dir):
-    raw = {}
-    for name in PARTS:
-        path = scratch_path(spark, f"bucketed_{name}")
-        raw[name] = layouts.write_bucketed(getattr(star, name)(spark, sf_dir), path, "order_id", 8)
-    cleaned = marts.build_all(raw)
+    cleaned = marts.build_all(_bucketed(spark, sf_dir))
     return _doubles(marts.sales_summary(*(cleaned[t] for t in PARTS)), *NULLABLE_DAYS, "total_items")
 
 

@@ -51,7 +51,8 @@ class EtlConfig:
     infer: bool = False
     day_first: bool = False
     dates_by_column: bool = False
-    #: Buckets by order of the landed orders, items and payments; none lands them plainly.
+    #: Buckets by order of the landed orders, items and payments; none lands them plainly. A task
+    #: takes a bucket, so longer tables need more (``layouts.buckets_for``).
     buckets: int | None = None
     #: Keep the sales mart by year of purchase and replace only the years that changed.
     incremental: bool = False

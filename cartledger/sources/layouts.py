@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -10,6 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cartledger.operators.skew import DEFAULT_POLICY, SkewPolicy, hot_keys
 
 YEAR = "purchase_year"
+#: Rows of the longest table that a bucket holds, about. Whoever joins and groups buckets keeps
+#: this many rows of each table in a task.
+ROWS_PER_BUCKET = 500_000
 
 
 def _bucket_table(path: str) -> str:
@@ -17,13 +21,23 @@ def _bucket_table(path: str) -> str:
     return "bucketed_" + hashlib.md5(path.rstrip("/").encode()).hexdigest()
 
 
+def buckets_for(tables: Iterable[DataFrame], least: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    """Buckets for tables that are dealt by one key, ``least`` or as many as the longest asks for.
+
+    A fixed number would let a task grow with the tables. Rows are counted, which takes Parquet
+    files no more than their footers.
+    """
+    return max([least, *(math.ceil(df.count() / rows_per_bucket) for df in tables)])
+
+
 def write_bucketed(
     df: DataFrame, path: str, key: str, buckets: int, policy: SkewPolicy = DEFAULT_POLICY
 ) -> DataFrame:
     """Store ``df`` at ``path``, dealt into ``buckets`` by ``key`` and sorted by it, and read it back.
 
     Tables with as many buckets by the same key are joined and grouped by it without an
-    exchange, each bucket in a task. A key too frequent for one task, by ``policy``, would make
+    exchange, each bucket in a task; ``buckets_for`` finds a number that keeps those tasks small
+    whatever the tables hold. A key too frequent for one task, by ``policy``, would make
     its bucket one, so such a table is stored plainly and shuffled by whoever joins it.
     """
     spark = df.sparkSession

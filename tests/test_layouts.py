@@ -11,6 +11,7 @@ from conftest import bag
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from cartledger.checks import registry
 from cartledger.operators import cleaning, copies, frequent
 from cartledger.operators.skew import SkewPolicy
 from cartledger.plans import etl, marts, quality, star_mapping as star
@@ -44,6 +45,20 @@ def test_mart_over_buckets_has_no_exchange(spark, sf_dir, tmp_path, no_broadcast
     assert bag(again) == bag(star.orders(spark, sf_dir))
 
 
+def test_buckets_grow_with_the_longest_table(spark, sf_dir, tmp_path, no_broadcast):
+    parts = [getattr(star, t)(spark, sf_dir) for t in PARTS]
+    longest = max(df.count() for df in parts)
+    assert layouts.buckets_for(parts, 8) == 8
+    assert layouts.buckets_for(parts, 8, 100) == -(-longest // 100) > 8
+    raw = registry._bucketed(spark, sf_dir, rows_per_bucket=300)
+    n = -(-longest // 300)
+    assert all(f"SelectedBucketsCount: {n} out of {n}" in physical(df.groupBy("order_id").count()) for df in raw.values())
+    items = raw["order_items"].groupBy(F.input_file_name()).count().collect()
+    assert len(items) <= n and max(r["count"] for r in items) < 600
+    cleaned = marts.build_all(raw)
+    assert "Exchange" not in physical(marts.sales_summary(*(cleaned[t] for t in PARTS)))
+
+
 def test_a_hot_key_is_not_put_in_one_bucket(spark, tmp_path):
     rows = spark.range(600).select(F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(-1).alias("k"))
     policy = SkewPolicy(share=1 / 4, min_rows=10)
