@@ -59,15 +59,21 @@ class SalesByYear:
         return rows.where(F.col("run") == F.lit(last)).collect() if last is not None else []
 
     def refresh(self, tables: Mapping[str, DataFrame]) -> list[int | None]:
-        """Bring the mart up to date with cleaned tables; returns the years that were replaced."""
+        """Bring the mart up to date with cleaned tables; returns the years that were replaced.
+
+        The tables are read for their fingerprints and again for the years that changed, so hand in
+        stored ones. In buckets by order (``layouts.write_bucketed``) they are not exchanged at all.
+        """
         known = self._known()
         before = {r[YEAR]: r["fingerprint"] for r in known}
         now = {r[YEAR]: r["fingerprint"] for r in fingerprints(tables).collect()}  # a row a year
         changed = sorted((y for y in now if before.get(y) != now[y]), key=lambda y: (y is not None, y))
         if changed:
-            orders = tables["orders"].where(in_years(changed, F.year(PURCHASED)))
-            ids = orders.select("order_id")
-            items, payments = (tables[t].join(ids, "order_id", "left_semi") for t in PARTS[1:])
+            orders, items, payments = (tables[t] for t in PARTS)
+            if len(changed) < len(now):
+                orders = orders.where(in_years(changed, F.year(PURCHASED)))
+                ids = orders.select("order_id")
+                items, payments = (df.join(ids, "order_id", "left_semi") for df in (items, payments))
             write_years(marts.sales_summary(orders, items, payments), self.mart, PURCHASED)
         if changed or before.keys() != now.keys():
             run = max((r["run"] for r in known), default=0) + 1

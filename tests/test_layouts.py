@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cartledger.checks import registry
 from cartledger.operators import cleaning, copies, frequent
 from cartledger.operators.skew import SkewPolicy
-from cartledger.plans import etl, marts, quality, star_mapping as star
+from cartledger.plans import etl, incremental, marts, quality, star_mapping as star
 from cartledger.plans.incremental import PARTS, SalesByYear
 from cartledger.plans.steps import Ledger
 from cartledger.sources import layouts, publish
@@ -116,6 +116,28 @@ def test_only_changed_years_are_replaced(spark, tmp_path):
     assert _mart(sales.read([None])) == [(4, None, None, None, None)]
 
 
+def test_a_refresh_from_buckets_exchanges_no_rows(spark, sf_dir, no_broadcast, monkeypatch):
+    written, compared = [], []
+    write, compare = incremental.write_years, incremental.fingerprints
+
+    def kept_write(df, *where):
+        written.append(physical(df))
+        write(df, *where)
+
+    def kept_compare(tables):
+        found = compare(tables)
+        compared.append(physical(found))
+        return found
+
+    monkeypatch.setattr(incremental, "write_years", kept_write)
+    monkeypatch.setattr(incremental, "fingerprints", kept_compare)
+    assert registry._etl_incremental(spark, sf_dir).count() > 0
+    assert len(written) == len(compared) == 2
+    assert not any("Exchange" in plan for plan in written)
+    assert "LeftSemi" not in written[0] and "LeftSemi" in written[1]  # all years at first, then one
+    assert [plan.count("Exchange") for plan in compared] == [1, 1]  # a row a year and task
+
+
 def test_a_bundle_is_seen_whole(spark, tmp_path):
     path = str(tmp_path / "b")
     good, more = spark.range(3), spark.range(5).select(F.col("id").alias("a b"))
