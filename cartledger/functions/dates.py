@@ -20,6 +20,8 @@ _TIME = (
     r" *(z|utc|gmt|[+-]\d{2}:?\d{2})?)?\s*$"
 )
 _PLAIN_ISO = r"^\s*\d{4}-\d{1,2}(-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,9})?)?)?)?\s*$"
+#: What most text is, told without trying one part after the other.
+_EXACT_ISO = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$"
 _SLASHED = r"(\d{1,2})[/.-](\d{1,2})[/.-](\d{4}|\d{2})"
 _JOINED = r"(\d{4})(\d{2})(\d{2})"
 
@@ -88,7 +90,10 @@ def parse_timestamp(text: Column, day_first: bool = False, offsets: str = "utc")
     if day_first:
         a, b = order.index("month_first"), order.index("day_first")
         order[a], order[b] = order[b], order[a]
-    return F.coalesce(*[parse_as(text, form, offsets) for form in order])
+    # Nulls, and text that is plainly ISO, need none of the forms.
+    tried = F.coalesce(*[parse_as(text, form, offsets) for form in order])
+    exact = F.when(text.rlike(_EXACT_ISO), text.try_cast("timestamp_ntz"))
+    return F.coalesce(exact, F.when(text.isNotNull(), tried))
 
 
 def form_counts(text: Column, name: str, offsets: str = "utc") -> list[Column]:

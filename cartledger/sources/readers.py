@@ -77,12 +77,18 @@ def _groups(spark: SparkSession, path: str, reader, multi_line: bool, options: M
 def _convert(text: Column, kind: DataType, day_first: bool, form: str | None = None) -> Column:
     """Text as a value of ``kind``, dates by ``form`` if given; null where it does not fit without loss."""
     if isinstance(kind, IntegralType):
+        # Most are written plainly, and need no decimal.
         exact = text.try_cast("decimal(38,10)")
-        return F.when(exact == F.floor(exact), exact).try_cast(kind)
+        return F.coalesce(text.try_cast(kind), F.when(exact == F.floor(exact), exact).try_cast(kind))
     if isinstance(kind, DecimalType):
         exact = text.try_cast("decimal(38,10)")
         value = text.try_cast(kind)
-        return F.when(exact == value, value)
+        fits = exact == value
+        if kind.scale <= 2 and kind.precision - kind.scale <= 28:
+            # A negative exponent takes three characters, so so few behind the point are digits that fit.
+            point = F.instr(text, ".")
+            fits = ((point > 0) & (F.length(text) - point <= kind.scale)) | fits
+        return F.when(fits, value)
     if isinstance(kind, (TimestampNTZType, DateType)):
         return (parse_as(text, form) if form else parse_timestamp(text, day_first)).cast(kind)
     return text.try_cast(kind)
@@ -205,14 +211,19 @@ def read_csv(
         for c, kind in kinds.items()
         if not isinstance(kind, StringType)
     }
-    if rejects:
-        lost = [
-            F.when(_quoted(c).isNotNull() & value.isNull(), F.lit(c)) for c, value in converted.items()
-        ]
-        names = F.array_compact(F.array(*lost)) if lost else F.array().cast("array<string>")
-        df = df.withColumns(converted | {_unused(rejects, df.columns): names})
-    else:
-        df = df.withColumns(converted)
+    if not rejects:
+        return df.withColumns(converted)
+    # A value is converted once: what is lost is told from its result.
+    made = {c: f"_made_{i}" for i, c in enumerate(converted)}
+    made = {c: _unused(name, df.columns) for c, name in made.items()}
+    lost = {c: _quoted(c).isNotNull() & F.col(name).isNull() for c, name in made.items()}
+    names = F.array().cast("array<string>")
+    if lost:
+        named = F.array_compact(F.array(*[F.when(gone, F.lit(c)) for c, gone in lost.items()]))
+        names = F.when(reduce(Column.__or__, lost.values()), named).otherwise(names)
+    read = [F.col(made[c]).alias(c) if c in made else _quoted(c) for c in df.columns]
+    rejected = _unused(rejects, df.columns)
+    df = df.withColumns({made[c]: value for c, value in converted.items()}).select(*read, names.alias(rejected))
     return df
 
 

@@ -6,6 +6,7 @@ import pytest
 from conftest import bag
 
 from cartledger.operators.cleaning import drop_duplicate_keys
+from cartledger.sources import headers
 from cartledger.sources import (
     FILE_POSITION,
     TABLES,
@@ -242,6 +243,40 @@ def test_headers_with_open_quotes_comments_and_long_files(spark, tmp_path):
     assert df.distinct().count() == 2 and df.count() == 20_002
 
 
+def test_only_first_lines_of_a_file_reach_python(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text("a,b\n" + "1,2\n" * 30_000, encoding="utf-8")
+    (tmp_path / "b.csv").write_text("#\n" * 6_000 + "b,a\n" + "2,1\n" * 10, encoding="utf-8")
+    sent, send = [], type(spark.range(1)).mapInArrow
+
+    def counted(df, *args, **kwargs):
+        sent.append(df.count())
+        return send(df, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", counted)
+    df = read_csv(spark, str(tmp_path), comment="#")
+    # The header of the second file is not among its first lines, so that file is looked at again.
+    assert sent == [2 * headers.LINES, 6_011]
+    assert df.distinct().collect() == [("1", "2")] and df.count() == 30_010
+
+
+def test_a_field_is_converted_once(spark, tmp_path):
+    numbers = ["1", "+7", "1.0", "1.5", "1e3", "-0", " 8 ", "2147483648", "x"]
+    amounts = ["1.50", "1.505", "7", "-.5", "1.E5", "5.E-2", "1e-3", "1e16", "0.100"]
+    rows = "".join(f"{n},{n},{a}\n" for n, a in zip(numbers, amounts))
+    (tmp_path / "i.csv").write_text("order_id,order_item_id,price\n" + rows, encoding="utf-8")
+    schema = TABLES["order_items"].schema
+    df = read_csv(spark, str(tmp_path / "i.csv"), schema, rejects="lost")
+    got = [(r["order_item_id"], r["price"] if r["price"] is None else str(r["price"]), r["lost"]) for r in df.collect()]
+    i, p = "order_item_id", "price"
+    assert got == [
+        (1, "1.50", []), (7, None, [p]), (1, "7.00", []), (None, "-0.50", [i]), (1000, "100000.00", []),
+        (0, "0.05", []), (8, None, [p]), (None, None, [i, p]), (None, "0.10", [i]),
+    ]
+    plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
+    tried = lambda d: plan(d).count("decimal(38,10)")
+    assert tried(df) == tried(read_csv(spark, str(tmp_path / "i.csv"), schema)) > 0
+
+
 def test_plain_sql_sees_given_tables_and_leaves_views_alone(spark):
     spark.range(3).createOrReplaceTempView("mine")
     given = {"mine": spark.range(7), "orders": spark.range(2)}
