@@ -32,6 +32,7 @@ from cartledger.sources import (
     scratch_path,
     sinks,
 )
+from cartledger.sources.together import together
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,8 +78,8 @@ def _src_parquet(spark, sf_dir):
 def _write_sources(spark, sf_dir) -> str:
     """The mapped tables as source files, named as the catalogue expects them."""
     root = scratch_path(spark, "sources")
-    for name, df in star.raw_tables(spark, sf_dir).items():
-        sinks.write_csv(df, f"{root}/{TABLES[name].stem}.csv")
+    raw = star.raw_tables(spark, sf_dir)
+    together(spark, lambda name: sinks.write_csv(raw[name], f"{root}/{TABLES[name].stem}.csv"), raw)
     return root
 
 

@@ -7,8 +7,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cartledger.functions import exact_mean, money
 
 def _total(column: str) -> Column:
-    """Sum that is 0, not null, for a group whose values are all null."""
-    return F.coalesce(F.sum(money(column)), F.lit(0).cast("decimal(28,2)"))
+    """Sum that is 0, not null, for a group whose values are all null.
+
+    Amounts of up to eight digits, which most are, are summed apart from longer ones: Spark adds
+    those as whole numbers, and others as decimals of any length, which takes several times as long.
+    """
+    amount = money(column)
+    short = amount.try_cast("decimal(8,2)")
+    sums = [F.coalesce(F.sum(part), F.lit(0)) for part in (short, F.when(short.isNull(), amount))]
+    return (sums[0] + sums[1]).cast("decimal(28,2)")
 
 
 def items_per_order(items: DataFrame) -> DataFrame:

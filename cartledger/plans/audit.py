@@ -22,6 +22,11 @@ class AuditLog:
 
     entries: list[DataFrame] = field(default_factory=list)
     rejections: list[DataFrame] = field(default_factory=list)
+    finished: dict[tuple[str, str], datetime] = field(default_factory=dict)
+
+    def done(self, step: str, table: str) -> None:
+        """Note when a step ended that is recorded later; steps at the same time are recorded in order."""
+        self.finished[step, table] = datetime.now(timezone.utc).replace(tzinfo=None)
 
     def record(
         self, step: str, table: str, before: DataFrame | None, after: DataFrame | int | None, taken_over: bool = False
@@ -31,7 +36,7 @@ class AuditLog:
         ``taken_over`` says that an earlier run did it. Without ``before`` the step began outside. Where the table written has the column
         ``REJECTED``, the values that did not fit their type are counted by column.
         """
-        now = datetime.now(timezone.utc).replace(tzinfo=None)
+        now = self.finished.get((step, table)) or datetime.now(timezone.utc).replace(tzinfo=None)
         read = F.lit(None).cast("bigint") if before is None else _rows(before, "n").scalar()
         if isinstance(after, DataFrame):
             counted = _rows(after, "rows_out")

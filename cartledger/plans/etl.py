@@ -2,7 +2,7 @@
 
 Every phase writes its tables and the next one reads them back, so a lost executor
 costs at most the phase at hand, no table is computed twice, and row counts come
-from file footers.
+from file footers. Within a phase some tables are worked on at the same time.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ from cartledger.sources.sinks import (
     write_csv,
     write_parquet,
 )
+from cartledger.sources.together import together
 
 EXPORT_FORMATS = ("csv", "parquet", "bundle", "all")
 # The tables of the bundle.
@@ -114,7 +115,7 @@ def extract(
             return _store(spark, placed, output)
 
         landed = ledger.run("extract", name, inputs, make, lambda: stored_table(spark, output))
-        audit.record("extract", name, None, landed, ("extract", name) in ledger.taken)
+        audit.done("extract", name)
         return landed
 
     found = read_catalog(
@@ -122,6 +123,8 @@ def extract(
     )
     if not found.tables:
         raise FileNotFoundError(f"no known table under {cfg.source}")
+    for name, landed in found.tables.items():
+        audit.record("extract", name, None, landed, ("extract", name) in ledger.taken)
     return found.tables, found.missing
 
 
@@ -130,17 +133,23 @@ def transform(
 ) -> dict[str, DataFrame]:
     """Clean every table and build the sales mart from the cleaned ones."""
     ledger = ledger or _ledger(spark, cfg)
-    tables, raw = {}, dict(ledger.at_hand)
+    raw = dict(ledger.at_hand)
 
     def inputs(*names: str) -> Callable[[], str]:
         # Without fingerprints of what was landed nothing is known to be the same.
         return lambda: digest(*(raw.get(n) or uuid.uuid4() for n in names if n in landed))
 
-    for name, df in marts.build_all(landed).items():
+    def clean(name: str, df: DataFrame) -> DataFrame:
         path = f"{cfg.output}/marts/{name}"
         of = inputs(name, "category_translation") if name == "products" else inputs(name)
-        tables[name] = ledger.run("clean", name, of, lambda df=df, p=path: _store(spark, df, p), lambda p=path: read_parquet(spark, p))
-        audit.record("clean", name, landed[name], tables[name], ("clean", name) in ledger.taken)
+        cleaned = ledger.run("clean", name, of, lambda: _store(spark, df, path), lambda: read_parquet(spark, path))
+        audit.done("clean", name)
+        return cleaned
+
+    built = marts.build_all(landed)
+    tables = dict(zip(built, together(spark, lambda t: clean(*t), built.items())))
+    for name, df in tables.items():
+        audit.record("clean", name, landed[name], df, ("clean", name) in ledger.taken)
     if set(PARTS) <= set(tables):
         path = f"{cfg.output}/marts"
 
@@ -169,13 +178,21 @@ def load(
     """
     reports = f"{cfg.output}/reports"
     if cfg.export in ("csv", "all"):
-        for name, df in tables.items():
-            write_csv(df, f"{reports}/csv/{name}")
+        def as_csv(name: str) -> DataFrame:
+            write_csv(tables[name], f"{reports}/csv/{name}")
             written = read_csv(spark, f"{reports}/csv/{name}", multi_line=True)
+            audit.done("export_csv", name)
+            return written
+
+        for (name, df), written in zip(tables.items(), together(spark, as_csv, tables)):
             audit.record("export_csv", name, df, written)
     if cfg.export in ("parquet", "all"):
-        for name, df in tables.items():
-            written = _store(spark, df, f"{reports}/parquet/{name}")
+        def as_parquet(name: str) -> DataFrame:
+            written = _store(spark, tables[name], f"{reports}/parquet/{name}")
+            audit.done("export_parquet", name)
+            return written
+
+        for (name, df), written in zip(tables.items(), together(spark, as_parquet, tables)):
             audit.record("export_parquet", name, df, written)
     if cfg.export in ("bundle", "all"):
         chosen = {name: tables[name] for name in BUNDLE_TABLES if name in tables}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import time
 from collections.abc import Callable
+from threading import Lock
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -33,11 +34,13 @@ class Ledger:
 
     An entry is appended as one file after the step's output is written, so a step is either
     finished or done again, and only the last entry of a step holds. Without a path nothing is
-    kept, no fingerprint is looked for, and every step runs.
+    kept, no fingerprint is looked for, and every step runs. Steps may run at the same time; their
+    entries are written one after the other, as two writers of one folder would drop each other's files.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark, self.path = spark, path
+        self.writing = Lock()
         self.finished: dict[tuple[str, str], str] = {}
         #: Fingerprints of what this run has at hand, by table, and steps that it took over.
         self.at_hand: dict[str, str] = {}
@@ -65,6 +68,7 @@ class Ledger:
             return read()
         made = make()
         entry = (step, table, fingerprint, time.time_ns())
-        self.spark.createDataFrame([entry], _STEPS).coalesce(1).write.mode("append").parquet(self.path)
+        with self.writing:
+            self.spark.createDataFrame([entry], _STEPS).coalesce(1).write.mode("append").parquet(self.path)
         self.finished[step, table] = fingerprint
         return made

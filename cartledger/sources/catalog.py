@@ -8,7 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from cartledger.sources.readers import read_csv, read_parquet
-from cartledger.sources.schemas import TABLES
+from cartledger.sources.schemas import TABLES, TableSource
+from cartledger.sources.together import together
 
 
 @dataclass
@@ -31,29 +32,34 @@ def read_catalog(
     A table's file is ``{prefix}{stem}.{fmt}``, or without the prefix when that
     does not exist. ``files`` overrides the file name of single tables. ``land`` is
     called with a table's name, its path, and how to open it, and returns the table. Other keywords
-    go to ``read_csv``, such as ``infer`` or ``rejects``.
+    go to ``read_csv``, such as ``infer`` or ``rejects``. Some tables are opened and landed at
+    the same time, from threads.
     """
     if fmt not in ("csv", "parquet"):
         raise ValueError(f"unknown table format {fmt!r}")
-    found = Catalog()
-    for name, source in TABLES.items():
+
+    def table(name: str, source: TableSource) -> DataFrame | None:
         candidates = [f"{prefix}{source.stem}.{fmt}", f"{source.stem}.{fmt}"]
         if files and name in files:
             candidates = [files[name]]
         for file in dict.fromkeys(candidates):
             path = f"{root.rstrip('/')}/{file}"
 
-            def opened(path=path, source=source) -> DataFrame:
+            def opened(path=path) -> DataFrame:
                 if fmt == "csv":
                     return read_csv(spark, path, source.schema, source.multi_line, **csv)
                 return read_parquet(spark, path)
 
             try:
-                df = land(name, path, opened) if land else opened()
+                return land(name, path, opened) if land else opened()
             except FileNotFoundError:
                 continue
-            found.tables[name] = df
-            break
-        else:
+        return None
+
+    found = Catalog()
+    for name, df in zip(TABLES, together(spark, lambda t: table(*t), TABLES.items())):
+        if df is None:
             found.missing.append(name)
+        else:
+            found.tables[name] = df
     return found

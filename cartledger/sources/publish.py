@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from cartledger.sources.sinks import write_parquet
+from cartledger.sources.together import together
 
 _MANIFEST = "version string, tables int, table string, path string, rows bigint, schema string"
 
@@ -28,12 +29,14 @@ def publish_bundle(spark: SparkSession, tables: Mapping[str, DataFrame], path: s
         raise ValueError("a bundle holds at least one table")
     root = path.rstrip("/")
     version = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
-    entries = []
-    for name, df in tables.items():
-        place = f"{root}/versions/{version}/{name}"
+
+    def entry(name: str) -> tuple:
+        df, place = tables[name], f"{root}/versions/{version}/{name}"
         write_parquet(df, place, "errorifexists")
         rows = spark.read.schema(df.schema).parquet(place).count()  # read off the footers
-        entries.append((version, len(tables), name, place, rows, df.schema.json()))
+        return version, len(tables), name, place, rows, df.schema.json()
+
+    entries = together(spark, entry, tables)
     spark.createDataFrame(entries, _MANIFEST).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
     return version
 

@@ -1,9 +1,12 @@
 import glob
+from threading import Barrier
 
 import pytest
 
 from cartledger.plans import etl
+from cartledger.plans.steps import Ledger
 from cartledger.sources.sinks import CatalogTarget
+from cartledger.sources.together import together
 
 FILES = {
     "customers_dataset": "Customer_ID,customer_city,customer_state\nc1,x,SP\nc2,y,RJ\nc1,z,MG\n",
@@ -100,3 +103,51 @@ def test_an_empty_folder_is_an_error(spark, tmp_path):
 def test_an_unknown_export_is_an_error():
     with pytest.raises(ValueError):
         etl.EtlConfig("a", "b", export="excel97")
+
+
+def test_tables_of_a_phase_are_written_at_the_same_time(spark, source, tmp_path, monkeypatch):
+    met, parties = [], Barrier(2)
+    store = etl._store
+
+    def meeting(session, df, path):
+        if "/marts/" in path and path.endswith(("orders", "order_items")):
+            parties.wait(60)  # breaks where the tables are written one after the other
+            met.append(path.rsplit("/", 1)[1])
+        return store(session, df, path)
+
+    monkeypatch.setattr(etl, "_store", meeting)
+    cfg = etl.EtlConfig(source, str(tmp_path / "out"), prefix="shop_", export="parquet")
+    result = etl.run(spark, cfg)
+    assert sorted(met) == ["order_items", "orders"]
+    steps = [(r.step, r.table) for r in result.audit.orderBy("position").collect()]
+    clean = [t for s, t in steps if s == "clean"]
+    # Recorded in the order of the tables, whichever was done first.
+    assert clean == ["orders", "customers", "products", "order_items", "payments"]
+    assert steps == sorted(steps, key=lambda s: ("extract", "clean", "summarise", "export_parquet").index(s[0]))
+
+
+def test_steps_at_the_same_time_are_all_in_the_ledger(spark, tmp_path):
+    path, names = str(tmp_path / "ledger"), [f"t{i}" for i in range(12)]
+
+    def step(ledger, name):
+        return ledger.run("clean", name, lambda: name, lambda: "made", lambda: "read")
+
+    first = Ledger(spark, path)
+    assert together(spark, lambda n: step(first, n), names) == ["made"] * 12
+    again = Ledger(spark, path)
+    assert together(spark, lambda n: step(again, n), names) == ["read"] * 12
+
+
+def test_an_error_in_one_table_is_raised_and_begins_no_more(spark):
+    begun = []
+
+    def work(n):
+        begun.append(n)
+        if n == 0:
+            raise ValueError("bad table")
+        return n
+
+    assert together(spark, str, [3, 1, 2]) == ["3", "1", "2"]
+    with pytest.raises(ValueError, match="bad table"):
+        together(spark, work, range(100), at_once=1)
+    assert len(begun) < 100

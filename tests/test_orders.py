@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 from conftest import bag
+from pyspark.sql import functions as F
 
 from cartledger.operators import aggregates, derive, joins
 from cartledger.plans import marts
@@ -119,3 +120,20 @@ def test_marts_keep_the_first_row_of_the_file(spark):
     )
     assert bag(marts.sellers(df)) == [("s1", "early")]
     assert marts.sellers(df.drop(*FILE_POSITION)).first().seller_city == "early"
+
+
+def test_totals_add_short_and_long_amounts_exactly(spark):
+    longest = "9999999999999999.99"
+    rows = [
+        ("a", 1, longest, "999999.99"), ("a", 2, longest, "-1000000.00"), ("a", 3, "-0.01", None), ("b", 1, None, None),
+    ]
+    df = spark.createDataFrame(rows, "order_id string, order_item_id int, price string, freight_value string")
+    items = df.withColumns({c: F.col(c).cast("decimal(18,2)") for c in ("price", "freight_value")})
+    got = aggregates.items_per_order(items).orderBy("order_id")
+    assert dict(got.dtypes)["total_price"] == "decimal(28,2)"
+    assert [tuple(map(str, r)) for r in got.collect()] == [
+        ("a", "3", "19999999999999999.97", "-0.01"), ("b", "1", "0.00", "0.00"),
+    ]
+    # Short amounts are added as whole numbers.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("UnscaledValue") == 2
