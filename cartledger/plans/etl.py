@@ -11,6 +11,7 @@ import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -139,14 +140,15 @@ def transform(
         # Without fingerprints of what was landed nothing is known to be the same.
         return lambda: digest(*(raw.get(n) or uuid.uuid4() for n in names if n in landed))
 
-    def clean(name: str, df: DataFrame) -> DataFrame:
+    def clean(name: str, build: Callable[[], DataFrame]) -> DataFrame:
         path = f"{cfg.output}/marts/{name}"
         of = inputs(name, "category_translation") if name == "products" else inputs(name)
-        cleaned = ledger.run("clean", name, of, lambda: _store(spark, df, path), lambda: read_parquet(spark, path))
+        cleaned = ledger.run("clean", name, of, lambda: _store(spark, build(), path), lambda: read_parquet(spark, path))
         audit.done("clean", name)
         return cleaned
 
-    built = marts.build_all(landed)
+    # What lies in buckets by order is not exchanged anyway.
+    built = marts.builders(landed, [n for n in landed if not (cfg.buckets and n in PARTS)])
     tables = dict(zip(built, together(spark, lambda t: clean(*t), built.items())))
     for name, df in tables.items():
         audit.record("clean", name, landed[name], df, ("clean", name) in ledger.taken)
@@ -174,8 +176,28 @@ def load(
     """Export the tables, profile the sales mart, and fill the database if there is one.
 
     Exports are always written anew: they are copies of finished tables. The bundle is
-    published as a version of its own, so readers of the last one see it whole until then.
+    published as a version of its own, so readers of the last one see it whole until then. The
+    profile is made meanwhile.
     """
+    exported = partial(_export, spark, cfg, tables, audit)
+    _, quality = together(spark, lambda work: work(), [exported, partial(_profile, spark, cfg, tables)])
+    loads = load_tables(spark, tables, cfg.target) if cfg.target else None
+    if loads is not None:
+        for r in loads.collect():  # one row per table
+            audit.record("load", r["table"], tables[r["table"]], r["rows"])
+    return quality, loads
+
+
+def _profile(spark: SparkSession, cfg: EtlConfig, tables: dict[str, DataFrame]) -> DataFrame | None:
+    if "sales_summary" not in tables:
+        return None
+    reports = f"{cfg.output}/reports"
+    quality = _store(spark, quality_report(tables["sales_summary"]), f"{reports}/quality/sales_summary")
+    write_csv(quality, f"{reports}/csv/data_quality_report")
+    return quality
+
+
+def _export(spark: SparkSession, cfg: EtlConfig, tables: dict[str, DataFrame], audit: AuditLog) -> None:
     reports = f"{cfg.output}/reports"
     if cfg.export in ("csv", "all"):
         def as_csv(name: str) -> DataFrame:
@@ -201,16 +223,6 @@ def load(
             written = read_published(spark, f"{reports}/bundle", version)
             for name, df in chosen.items():
                 audit.record("export_bundle", name, df, written[name])
-    quality = None
-    if "sales_summary" in tables:
-        path = f"{reports}/quality/sales_summary"
-        quality = _store(spark, quality_report(tables["sales_summary"]), path)
-        write_csv(quality, f"{reports}/csv/data_quality_report")
-    loads = load_tables(spark, tables, cfg.target) if cfg.target else None
-    if loads is not None:
-        for r in loads.collect():  # one row per table
-            audit.record("load", r["table"], tables[r["table"]], r["rows"])
-    return quality, loads
 
 
 def run(spark: SparkSession, cfg: EtlConfig) -> EtlResult:

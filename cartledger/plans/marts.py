@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame
 
@@ -13,6 +14,7 @@ from cartledger.operators.cleaning import (
     drop_duplicate_rows,
     parse_dates,
 )
+from cartledger.operators.copies import drop_duplicate_keys_two_pass, drop_duplicate_rows_two_pass
 from cartledger.operators.derive import order_columns
 from cartledger.operators.joins import translate_categories
 from cartledger.sources.readers import FILE_POSITION, REJECTED
@@ -20,48 +22,49 @@ from cartledger.sources.readers import FILE_POSITION, REJECTED
 REVIEW_DATES = ("review_creation_date", "review_answer_timestamp")
 
 
-def _first_per_key(raw: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _first_per_key(raw: DataFrame, keys: Sequence[str], stored: bool = False) -> DataFrame:
     """One row per key: the first in the files where ``raw`` has its file position,
-    else the least in column order."""
+    else the least in column order. A stored table is read twice, so only copies are exchanged."""
     df = clean_names(raw).drop(REJECTED)
     position = [c for c in FILE_POSITION if c in df.columns]
-    return drop_duplicate_keys(df, keys, position or None).drop(*position)
+    drop = drop_duplicate_keys_two_pass if stored else drop_duplicate_keys
+    return drop(df, keys, position or None).drop(*position)
 
 
 def _all_rows(raw: DataFrame) -> DataFrame:
     return clean_names(raw).drop(*FILE_POSITION, REJECTED)
 
 
-def orders(raw: DataFrame) -> DataFrame:
-    return _first_per_key(raw, ["order_id"]).transform(order_columns)
+def orders(raw: DataFrame, stored: bool = False) -> DataFrame:
+    return _first_per_key(raw, ["order_id"], stored).transform(order_columns)
 
 
-def customers(raw: DataFrame) -> DataFrame:
-    return _first_per_key(raw, ["customer_id"])
+def customers(raw: DataFrame, stored: bool = False) -> DataFrame:
+    return _first_per_key(raw, ["customer_id"], stored)
 
 
-def products(raw: DataFrame, translation: DataFrame | None = None) -> DataFrame:
-    unique = _first_per_key(raw, ["product_id"])
+def products(raw: DataFrame, translation: DataFrame | None = None, stored: bool = False) -> DataFrame:
+    unique = _first_per_key(raw, ["product_id"], stored)
     if translation is None:
         return unique
     return translate_categories(unique, _all_rows(translation))
 
 
-def order_items(raw: DataFrame) -> DataFrame:
-    return _all_rows(raw).transform(drop_duplicate_rows)
+def order_items(raw: DataFrame, stored: bool = False) -> DataFrame:
+    return _all_rows(raw).transform(drop_duplicate_rows_two_pass if stored else drop_duplicate_rows)
 
 
-def payments(raw: DataFrame) -> DataFrame:
+def payments(raw: DataFrame, stored: bool = False) -> DataFrame:
     return _all_rows(raw)
 
 
-def reviews(raw: DataFrame) -> DataFrame:
+def reviews(raw: DataFrame, stored: bool = False) -> DataFrame:
     """One review may speak for several orders, so the key is the pair."""
-    return parse_dates(_first_per_key(raw, ["review_id", "order_id"]), REVIEW_DATES)
+    return parse_dates(_first_per_key(raw, ["review_id", "order_id"], stored), REVIEW_DATES)
 
 
-def sellers(raw: DataFrame) -> DataFrame:
-    return _first_per_key(raw, ["seller_id"])
+def sellers(raw: DataFrame, stored: bool = False) -> DataFrame:
+    return _first_per_key(raw, ["seller_id"], stored)
 
 
 def sales_summary(orders: DataFrame, items: DataFrame, payments: DataFrame) -> DataFrame:
@@ -76,15 +79,26 @@ def sales_summary(orders: DataFrame, items: DataFrame, payments: DataFrame) -> D
     )
 
 
-def build_all(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Every cleaned table whose input is in ``raw``."""
+def builders(
+    raw: Mapping[str, DataFrame], stored: Collection[str] = ()
+) -> dict[str, Callable[[], DataFrame]]:
+    """How to clean every table whose input is in ``raw``; nothing runs before it is called.
+
+    Of tables named in ``stored``, which are cheap to read twice, copies are counted first, by a job,
+    and only rows that have some are exchanged.
+    """
     steps = {
         "orders": orders,
         "customers": customers,
-        "products": lambda t: products(t, raw.get("category_translation")),
+        "products": partial(products, translation=raw.get("category_translation")),
         "order_items": order_items,
         "payments": payments,
         "reviews": reviews,
         "sellers": sellers,
     }
-    return {name: step(raw[name]) for name, step in steps.items() if name in raw}
+    return {name: partial(step, raw[name], stored=name in stored) for name, step in steps.items() if name in raw}
+
+
+def build_all(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Every cleaned table whose input is in ``raw``."""
+    return {name: build() for name, build in builders(raw).items()}

@@ -179,7 +179,7 @@ def read_csv(
         )
 
     spelled: dict[str, str] = {}
-    parts = []
+    opened = []
     for header, files in _groups(spark, path, reader, multi_line, options):
         clean = [_clean(c) for c in header]
         if len(set(clean)) < len(clean):
@@ -188,9 +188,12 @@ def read_csv(
             spelled.setdefault(c, name)
         text = StructType([StructField(c, StringType()) for c in header])
         # Files are checked against the header they were grouped by.
-        part = reader().schema(text).option("enforceSchema", False).csv(files)
+        opened.append((clean, reader().schema(text).option("enforceSchema", False).csv(files)))
+    flat = file_position and _in_one_folder(*[part for _, part in opened])
+    parts = []
+    for clean, part in opened:
         if file_position:
-            part = with_file_position(part)
+            part = _placed(part, flat)
         # One by one by their place: the names may hold dots and quotes.
         named = [spelled[c] for c in clean] + list(FILE_POSITION if file_position else ())
         parts.append(part.toDF(*named))
@@ -219,7 +222,10 @@ def read_csv(
     lost = {c: _quoted(c).isNotNull() & F.col(name).isNull() for c, name in made.items()}
     names = F.array().cast("array<string>")
     if lost:
-        named = F.array_compact(F.array(*[F.when(gone, F.lit(c)) for c, gone in lost.items()]))
+        # Not array_compact, whose lambda would keep the whole projection out of the generated code.
+        named = F.array_except(
+            F.array(*[F.when(gone, F.lit(c)) for c, gone in lost.items()]), F.array(F.lit(None).cast("string"))
+        )
         names = F.when(reduce(Column.__or__, lost.values()), named).otherwise(names)
     read = [F.col(made[c]).alias(c) if c in made else _quoted(c) for c in df.columns]
     rejected = _unused(rejects, df.columns)
@@ -239,12 +245,21 @@ def with_file_position(df: DataFrame) -> DataFrame:
     """Add ``FILE_POSITION`` columns, which order the rows as they stand in the files.
 
     Within a task rows are numbered as read, and a task reads the blocks of a file
-    one after the other, so (file, block, number) is the order in the file.
+    one after the other, so (file, block, number) is the order in the file. Files of one folder
+    are told by their names, as the folder would be repeated in each row.
     """
+    return _placed(df, _in_one_folder(df))
+
+
+def _in_one_folder(*parts: DataFrame) -> bool:
+    return len({file.rpartition("/")[0] for part in parts for file in part.inputFiles()}) < 2
+
+
+def _placed(df: DataFrame, flat: bool) -> DataFrame:
     file, block, row = (_unused(c, df.columns) for c in FILE_POSITION)
     return df.withColumns(
         {
-            file: F.col("_metadata.file_path"),
+            file: F.col("_metadata.file_name" if flat else "_metadata.file_path"),
             block: F.col("_metadata.file_block_start"),
             row: F.monotonically_increasing_id(),
         }

@@ -210,6 +210,33 @@ def test_copies_in_two_passes(spark, tmp_path, no_broadcast):
     assert copies.drop_duplicate_rows_two_pass(df.limit(0)).collect() == []
 
 
+def test_first_rows_by_key_in_two_passes(spark, tmp_path):
+    rows = [(1, "a", 5), (1, "a", 3), (None, "a", 2), (None, "a", 1), (None, None, 4), (2, None, 6), (None, "b", 7)]
+    rows += [(i, "c", i) for i in range(50)] + [(60, "hot", i) for i in range(40)]
+    spark.createDataFrame(rows, "i long, k string, _hash int").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    for keys in (["i", "k"], ["k"], ["_hash", "i"]):
+        got = copies.drop_duplicate_keys_two_pass(df, keys, ["_hash", "i", "k"])
+        assert bag(got) == bag(cleaning.drop_duplicate_keys(df, keys, ["_hash", "i", "k"]))
+    many = copies.drop_duplicate_keys_two_pass(df, ["k"], ["_hash"], SkewPolicy(broadcast_rows=1))
+    assert "LeftAnti" not in physical(many) and len(many.collect()) == 5
+
+
+def test_stored_tables_without_copies_are_cleaned_where_they_lie(spark, tmp_path):
+    tables = {
+        "orders": spark.range(40).selectExpr("cast(id as string) AS order_id", "'a' AS order_status", "id AS _row"),
+        "order_items": spark.range(40).selectExpr("cast(id as string) AS order_id", "id AS price", "id AS _row"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+    raw = {name: spark.read.parquet(f"{tmp_path}/{name}") for name in tables}
+    for name, build in marts.builders(raw, raw).items():
+        plan = physical(build())
+        assert "Exchange" not in plan and "Window" not in plan and "_row" not in plan
+        assert bag(build()) == bag(marts.build_all(raw)[name])
+        assert bag(marts.builders({name: raw[name].union(raw[name])}, [name])[name]()) == bag(build())
+
+
 def test_mode_from_summaries(spark):
     draw = random.Random(5)
     shapes = {

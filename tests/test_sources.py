@@ -9,6 +9,7 @@ from cartledger.operators.cleaning import drop_duplicate_keys
 from cartledger.sources import headers
 from cartledger.sources import (
     FILE_POSITION,
+    REJECTED,
     TABLES,
     read_catalog,
     read_csv,
@@ -146,6 +147,18 @@ def test_jdbc_read_options():
     }
 
 
+def test_files_of_one_folder_are_told_by_their_names(spark, tmp_path):
+    for name in ("t/b", "t/a", "u/x/b", "u/y/a"):
+        path = tmp_path / f"{name}.csv"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(f"key,at\nk,{name}\n" if name[0] == "t" else f"{'key,at' if 'x' in name else 'at,key'}\nk,k\n")
+    flat = read_csv(spark, str(tmp_path / "t"), file_position=True, rejects=REJECTED)
+    assert {r._file for r in flat.collect()} == {"a.csv", "b.csv"}
+    assert drop_duplicate_keys(flat, ["key"], FILE_POSITION).first()["at"] == "t/a"
+    deep = read_csv(spark, [str(tmp_path / "u/x"), str(tmp_path / "u/y")], file_position=True)
+    assert sorted(r._file.rsplit("/u/")[-1] for r in deep.collect()) == ["x/b.csv", "y/a.csv"]
+
+
 def test_columns_are_matched_by_name_in_every_file(spark, tmp_path):
     (tmp_path / "a.csv").write_text("seller_id,seller_city,seller_state\ns1,Lima,PE\n", encoding="utf-8")
     (tmp_path / "b.csv").write_text("seller_state, Seller ID \nBR,s2\n", encoding="utf-8")
