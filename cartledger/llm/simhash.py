@@ -118,8 +118,12 @@ def _flipped(value: Column, width: int) -> Column:
 
 
 def _verified(probes: DataFrame, table: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, within the distance; ``first``: an exact half, so seen from both ends."""
-    p, t = probes.alias("p"), table.alias("t")
+    """Pairs (a, b), a < b, within the distance; ``first``: an exact half, so seen from both ends.
+
+    Both sides are shuffled, whatever Spark takes their sizes for: it does not count the rows that
+    an explode adds, and would broadcast balls of many times the size of what they are made from.
+    """
+    p, t = probes.alias("p").hint("merge"), table.alias("t").hint("merge")
     near = F.bit_count(F.col("p.fp").bitwiseXOR(F.col("t.fp"))) <= DISTANCE
     once = ~F.col("p.first") | (F.col("p.fp") < F.col("t.fp"))
     return (

@@ -2,6 +2,7 @@ import random
 import re
 
 import corpus
+import corpus_pipeline
 import pytest
 import xxhash
 
@@ -100,3 +101,38 @@ def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, j) for j in range(101, 150)] + [(7, 7), (None, 3), (5, 4)]
     rows = graph.components(spark.createDataFrame(links, "a long, b long")).collect()
     assert {tuple(r) for r in rows} == {(i, 0) for i in range(41)} | {(j, 100) for j in range(100, 150)}
+
+
+def exploded_and_broadcast(plan):
+    """Sides of broadcast joins that hold an explode, whose rows Spark does not foresee."""
+    children = plan.children()
+    found = [x for i in range(children.size()) for x in exploded_and_broadcast(children.apply(i))]
+    if plan.nodeName().startswith("Broadcast") and plan.nodeName().endswith("Join"):
+        side = plan.left() if plan.buildSide().toString() == "BuildLeft" else plan.right()
+        found += [side.toString()] if "Generate" in side.toString() else []
+    return found
+
+
+@pytest.fixture
+def broadcasts(monkeypatch):
+    """What ``exploded_and_broadcast`` finds in every plan that is stored on the way."""
+    found, joins = [], []
+
+    def watched(df, label, store=graph.stored):
+        plan = df._jdf.queryExecution().sparkPlan()
+        found.extend(exploded_and_broadcast(plan))
+        joins.extend(re.findall("SortMergeJoin .*Inner", plan.toString()))
+        return store(df, label)
+
+    for module in (simhash, graph):
+        monkeypatch.setattr(module, "stored", watched)
+    return found, joins
+
+
+@pytest.mark.parametrize("split_above", [64, 1])
+def test_pipeline_broadcasts_no_balls(spark, sf_dir, monkeypatch, broadcasts, split_above):
+    monkeypatch.setattr(simhash, "SPLIT_ABOVE", split_above)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    corpus_pipeline.distinct_documents(spark, docs, sf_dir).collect()
+    found, joins = broadcasts
+    assert joins and not found
