@@ -6,7 +6,7 @@ import corpus_pipeline
 import pytest
 import xxhash
 
-from cartledger.llm import graph, simhash
+from cartledger.llm import graph, queries, simhash
 
 
 def plain_fingerprint(text):
@@ -136,3 +136,9 @@ def test_pipeline_broadcasts_no_balls(spark, sf_dir, monkeypatch, broadcasts, sp
     corpus_pipeline.distinct_documents(spark, docs, sf_dir).collect()
     found, joins = broadcasts
     assert joins and not found
+
+
+def test_op1_broadcasts_no_balls(spark, sf_dir, broadcasts):
+    queries.op1_simhash(spark, sf_dir).collect()
+    found, joins = broadcasts
+    assert joins and not found
