@@ -75,11 +75,16 @@ def _src_parquet(spark, sf_dir):
     return _doubles(read_parquet(spark, path))
 
 
+#: Source files lie on the disk until the run ends, so they are compressed, which takes no longer if
+#: it is done lightly; and as one task reads such a file, none is long.
+_PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": 300_000}
+
+
 def _write_sources(spark, sf_dir) -> str:
     """The mapped tables as source files, named as the catalogue expects them."""
     root = scratch_path(spark, "sources")
     raw = star.raw_tables(spark, sf_dir)
-    together(spark, lambda name: sinks.write_csv(raw[name], f"{root}/{TABLES[name].stem}.csv"), raw)
+    together(spark, lambda name: sinks.write_csv(raw[name], f"{root}/{TABLES[name].stem}.csv", **_PACKED), raw)
     return root
 
 

@@ -29,6 +29,7 @@ from cartledger.sources import (
 )
 from cartledger.sources.layouts import stored_table, write_bucketed
 from cartledger.sources.publish import publish_bundle, read_published
+from cartledger.sources.scratch import release_shuffles
 from cartledger.sources.sinks import (
     Target,
     load_tables,
@@ -193,6 +194,7 @@ def _profile(spark: SparkSession, cfg: EtlConfig, tables: dict[str, DataFrame])
         return None
     reports = f"{cfg.output}/reports"
     quality = _store(spark, quality_report(tables["sales_summary"]), f"{reports}/quality/sales_summary")
+    release_shuffles(spark)  # all values of the mart, while the exports go on
     write_csv(quality, f"{reports}/csv/data_quality_report")
     return quality
 
@@ -231,6 +233,7 @@ def run(spark: SparkSession, cfg: EtlConfig) -> EtlResult:
     audit, ledger = AuditLog(), _ledger(spark, cfg)
     landed, missing = extract(spark, cfg, audit, ledger)
     tables = transform(spark, cfg, landed, audit, ledger)
+    release_shuffles(spark)  # the exports need the room
     quality, loads = load(spark, cfg, tables, audit)
     rejected = audit.rejected()
     if rejected is not None:

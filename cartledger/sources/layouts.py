@@ -9,6 +9,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cartledger.operators.skew import DEFAULT_POLICY, SkewPolicy, hot_keys
+from cartledger.sources.sinks import PARQUET_CODEC, write_parquet
 
 YEAR = "purchase_year"
 #: Rows of the longest table that a bucket holds, about. Whoever joins and groups buckets keeps
@@ -44,11 +45,11 @@ def write_bucketed(
     name = _bucket_table(path)
     spark.sql(f"DROP TABLE IF EXISTS {name}")  # the files stay until they are overwritten
     if hot_keys(df, key, policy):
-        df.write.mode("overwrite").parquet(path)
+        write_parquet(df, path)
         return spark.read.parquet(path)
     (
         df.repartition(buckets, F.col(key)).write.mode("overwrite").format("parquet")
-        .bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+        .option("compression", PARQUET_CODEC).bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
     )
     return spark.table(name)
 
@@ -78,7 +79,8 @@ def write_years(df: DataFrame, path: str, timestamp: str) -> None:
     """
     (
         df.withColumn(YEAR, F.year(timestamp)).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy(YEAR).parquet(path)
+        .option("compression", PARQUET_CODEC).option("partitionOverwriteMode", "dynamic")
+        .partitionBy(YEAR).parquet(path)
     )
 
 

@@ -12,14 +12,20 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 # What to do when the target table exists, as a Spark save mode.
 SAVE_MODES = {"fail": "errorifexists", "replace": "overwrite", "append": "append"}
 INSERT_BATCH_ROWS = 1000
+#: Of Parquet files. A run keeps its tables several times over, and these take two thirds of the
+#: room that Spark's own choice takes, in no more time.
+PARQUET_CODEC = "zstd"
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).parquet(path)
+    df.write.mode(mode).option("compression", PARQUET_CODEC).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """A folder of CSV part files with headers; null and empty text are both blank."""
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", **options) -> None:
+    """A folder of CSV part files with headers; null and empty text are both blank.
+
+    Other keywords are Spark's options of a CSV writer, such as ``compression``.
+    """
     (
         df.write.mode(mode)
         .option("header", True)
@@ -29,6 +35,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
         .option("emptyValue", "")
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
         .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
+        .options(**options)
         .csv(path)
     )
 

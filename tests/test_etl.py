@@ -1,10 +1,15 @@
 import glob
+import os
+import time
 from threading import Barrier
 
 import pytest
 
-from cartledger.plans import etl
+from cartledger.checks import registry
+from cartledger.plans import etl, star_mapping as star
 from cartledger.plans.steps import Ledger
+from cartledger.sources import TABLES, read_catalog
+from cartledger.sources.scratch import release_shuffles
 from cartledger.sources.sinks import CatalogTarget
 from cartledger.sources.together import together
 
@@ -151,3 +156,50 @@ def test_an_error_in_one_table_is_raised_and_begins_no_more(spark):
     with pytest.raises(ValueError, match="bad table"):
         together(spark, work, range(100), at_once=1)
     assert len(begun) < 100
+
+
+def test_tables_of_a_run_are_packed_well(spark, source, tmp_path):
+    out = str(tmp_path / "out")
+    etl.run(spark, etl.EtlConfig(source, out, prefix="shop_", export="all"))
+    tables = glob.glob(f"{out}/**/orders/**/part-*.parquet", recursive=True)
+    assert {f.removeprefix(out).split("/")[1] for f in tables} == {"landing", "marts", "reports"}
+    assert all(f.endswith(".zstd.parquet") for f in tables)
+    assert glob.glob(f"{out}/reports/csv/orders/part-*.csv")  # for any reader
+
+
+def test_source_files_are_packed_and_hold_every_row(spark, sf_dir, monkeypatch):
+    monkeypatch.setitem(registry._PACKED, "maxRecordsPerFile", 1000)  # a table goes to several files
+    root = registry._write_sources(spark, sf_dir).removeprefix("file:")
+    raw, found = star.raw_tables(spark, sf_dir), read_catalog(spark, root).tables
+    assert found.keys() == raw.keys()
+    for name, df in found.items():
+        files = glob.glob(f"{root}/{TABLES[name].stem}.csv/part-*")
+        assert files and all(f.endswith(".csv.gz") for f in files)
+        assert df.count() == raw[name].count()
+    assert len(glob.glob(f"{root}/{TABLES['order_items'].stem}.csv/part-*")) > 1
+    priced = [t["order_items"].groupBy("order_id").sum("price") for t in (found, raw)]
+    assert sorted((int(r[0]), r[1]) for r in priced[0].collect()) == sorted(map(tuple, priced[1].collect()))
+
+
+def test_shuffle_files_of_finished_work_go(spark, tmp_path):
+    def files():
+        manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        found = manager.getAllFiles()
+        return {n for i in range(found.size()) if (n := found.apply(i).getName()).startswith("shuffle_")}
+
+    before = files()
+    etl._store(spark, spark.range(1000).repartition(3, "id"), str(tmp_path / "t"))
+    made = files() - before
+    assert made
+    release_shuffles(spark)
+    end = time.monotonic() + 60
+    while made & files() and time.monotonic() < end:
+        time.sleep(0.2)
+    assert not made & files()
+
+
+def test_shuffle_files_go_between_the_phases_of_a_run(spark, source, tmp_path, monkeypatch):
+    there = []
+    monkeypatch.setattr(etl, "release_shuffles", lambda _: there.append(os.path.exists(f"{tmp_path}/out/reports/csv")))
+    etl.run(spark, etl.EtlConfig(source, str(tmp_path / "out"), prefix="shop_"))
+    assert len(there) == 2 and not there[0]  # before the exports, and after the profile
